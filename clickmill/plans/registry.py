@@ -9,18 +9,18 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from clickmill.functions.time_uuid import decode_time_uuid
-from clickmill.operators import enrich, ingest, kpis, reports
+from clickmill.operators import enrich, kpis, reports
 from clickmill.operators import tracking as track
+from clickmill.operators.ingest import ACCEPTED
 from clickmill.plans.incremental import batch_rows, run_incremental
 from clickmill.schemas import HOURLY_KPI, JOB, PUBLISHER, TRACKING
 from clickmill.session import scratch_dir
-from clickmill.sources import sample
+from clickmill.sources import landing, sample
 from clickmill.sources.contract import schema_contract
 from clickmill.sources.readers import read_if_present, sink_watermark
 from clickmill.sources.writers import bootstrap_if_empty, by_partition
 from clickmill.streaming import compaction, ingest_stream, kpi_stream
 
-
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -214,45 +214,56 @@ def stream_compacted(spark, sf_dir):
 # --- ingestion ---------------------------------------------------------------------------------
 
 
-def _classified(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = sample.payloads(spark, sf_dir)
-    return ingest.classify(raw, F.col("raw"), F.col("arrived_at"), F.col("event_id"))
-
-
-def ingest_accepted(spark, sf_dir):
-    return ingest.accepted(_classified(spark, sf_dir))
+def _payload_columns():
+    return F.col("raw"), F.col("arrived_at"), F.col("event_id")
 
 
-def ingest_rejected(spark, sf_dir):
-    return ingest.rejected(_classified(spark, sf_dir))
+def _landed(spark: SparkSession, sf_dir: str) -> str:
+    """The payloads as one landed batch; the place it was landed at."""
+    path = scratch_dir(spark, "landing")
+    landing.land_payloads(sample.payloads(spark, sf_dir), *_payload_columns(), path)
+    return path
 
 
-def _landed_payloads(spark: SparkSession, sf_dir: str) -> str:
-    """Payloads through the ingest stream; the place they were landed at."""
-    inbox, landing = scratch_dir(spark, "inbox"), scratch_dir(spark, "landing")
+def _streamed(spark: SparkSession, sf_dir: str) -> str:
+    """The payloads landed by the ingest stream; the place they were landed at."""
+    inbox, path = scratch_dir(spark, "inbox"), scratch_dir(spark, "landing")
     raw = sample.payloads(spark, sf_dir)
     raw.write.parquet(inbox)
     stream = spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", 8).parquet(inbox)
     ingest_stream.start_ingest_stream(
-        stream, F.col("raw"), F.col("arrived_at"), F.col("event_id"), landing,
-        scratch_dir(spark, "progress"), once=True,
+        stream, *_payload_columns(), path, scratch_dir(spark, "progress"), once=True
     ).awaitTermination()
-    return landing
+    return path
+
+
+def _accepted(spark: SparkSession, path: str) -> DataFrame:
+    return landing.read_log(spark, path).select(*ACCEPTED)
+
+
+def _refused(spark: SparkSession, path: str) -> DataFrame:
+    return landing.read_refused(spark, path).select("raw", "reason")
+
+
+def ingest_accepted(spark, sf_dir):
+    return _accepted(spark, _landed(spark, sf_dir))
+
+
+def ingest_rejected(spark, sf_dir):
+    return _refused(spark, _landed(spark, sf_dir))
 
 
 def stream_ingest(spark, sf_dir):
-    log = ingest_stream.read_log(spark, _landed_payloads(spark, sf_dir))
-    return log.select(*ingest.ACCEPTED)
+    return _accepted(spark, _streamed(spark, sf_dir))
 
 
 def stream_ingest_refused(spark, sf_dir):
-    refused = ingest_stream.read_refused(spark, _landed_payloads(spark, sf_dir))
-    return refused.select("raw", "reason")
+    return _refused(spark, _streamed(spark, sf_dir))
 
 
 def stream_ingest_to_kpis(spark, sf_dir):
     """Payloads to the log and on to KPIs, both as streams."""
-    log = ingest_stream.read_log(spark, _landed_payloads(spark, sf_dir), stream=True)
+    log = landing.read_log(spark, _streamed(spark, sf_dir), stream=True)
     partials, checkpoint = scratch_dir(spark, "partials"), scratch_dir(spark, "progress")
     kpi_stream.start_kpi_stream(log, partials, checkpoint, once=True).awaitTermination()
     return reports.kpi_merged(compaction.served_partials(spark, partials))

@@ -1,61 +1,30 @@
-"""Payloads to the event log, as a stream."""
+"""Payloads to the landing table, as a stream."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import Column, DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from clickmill.operators.ingest import ACCEPTED, classify
-from clickmill.operators.tracking import LOG_DATE
-from clickmill.schemas import struct
+from clickmill.sources.landing import PARTITIONS, to_landed
 from clickmill.streaming.kpi_stream import EVERY, trigger
 
-LANDED = struct(
-    "create_time string, bid int, campaign_id int, custom_track string, group_id int, "
-    "job_id int, publisher_id int, ts string, raw string, reason string, "
-    f"status string, {LOG_DATE} date"
-)
-
 
 def start_ingest_stream(
     payloads: DataFrame, raw: Column, arrived_at: Column, identity: Column, landing_path: str,
     checkpoint: str, once: bool = False, every: str = EVERY, tasks: int | None = None,
 ) -> StreamingQuery:
-    """Append every payload once, in one pass, accepted or with the reason it was refused.
+    """Land every payload exactly once, in one pass over the stream.
 
-    Both go to one table partitioned by status and event date: readers of either side, and of a
-    range of dates, skip the rest, and a date is always that of the id minted with it. ``tasks``
-    bounds the files per batch where the source has many small partitions.
+    ``tasks`` bounds the files per batch where the source has many small partitions.
     """
-    fine = F.col("reason").isNull()
-    landed = classify(payloads, raw, arrived_at, identity).select(
-        *ACCEPTED,
-        F.when(~fine, F.col("raw")).alias("raw"), "reason",
-        F.when(fine, F.lit("accepted")).otherwise(F.lit("rejected")).alias("status"),
-        F.to_date("arrived_at").alias(LOG_DATE),
-    )
+    landed = to_landed(payloads, raw, arrived_at, identity)
     if tasks:
         landed = landed.coalesce(tasks)
     return (
         landed.writeStream.queryName("ingest").format("parquet")
-        .partitionBy("status", LOG_DATE)
+        .partitionBy(*PARTITIONS)
         .option("path", landing_path)
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger(once, every))
         .start()
     )
-
-
-def _read_landed(spark: SparkSession, landing_path: str, stream: bool, status: str) -> DataFrame:
-    reader = spark.readStream if stream else spark.read
-    return reader.schema(LANDED).parquet(landing_path).filter(F.col("status") == status)
-
-
-def read_log(spark: SparkSession, landing_path: str, stream: bool = False) -> DataFrame:
-    """The accepted events, with their date for pruning; the KPI stream's source."""
-    return _read_landed(spark, landing_path, stream, "accepted").select(*ACCEPTED, LOG_DATE)
-
-
-def read_refused(spark: SparkSession, landing_path: str, stream: bool = False) -> DataFrame:
-    return _read_landed(spark, landing_path, stream, "rejected").select("raw", "reason", LOG_DATE)
