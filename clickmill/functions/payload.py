@@ -26,12 +26,18 @@ def unseal(pair: Column, text: Column) -> Column:
     return F.when(whole, F.try_variant_get(pair, "$[0]", "variant"))
 
 
+def members(body: Column, names: list[str]) -> Column:
+    """Members of an object as a struct of VARIANTs, each NULL if absent; NULL for no object."""
+    fields = ", ".join(f"{name}: variant" for name in names)
+    return F.try_variant_get(body, "$", f"struct<{fields}>")
+
+
 def type_of(value: Column) -> Column:
     """``OBJECT``, ``ARRAY``, ``STRING``, ``BOOLEAN``, ``VOID`` (a null) or a numeric type.
 
     NULL where there is no value at all.
     """
-    return F.regexp_extract(F.schema_of_variant(value), "^[A-Z]+", 0)
+    return F.substring_index(F.schema_of_variant(value), "<", 1)
 
 
 def to_int(value: Column, kind: Column, text_may_have_fraction: bool) -> Column:

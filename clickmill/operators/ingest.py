@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickmill.functions.payload import parse_sealed, to_int, to_kind, type_of, unseal
+from clickmill.functions.payload import members, parse_sealed, to_int, to_kind, type_of, unseal
 from clickmill.functions.time_uuid import mint_time_uuid
 
 # Integer members of a payload, in the order they are checked. Those absent are 0,
@@ -55,20 +55,21 @@ def classify(payloads: DataFrame, raw: Column, arrived_at: Column, identity: Col
         raw.alias("raw"), arrived_at.alias("arrived_at"), identity.alias("identity"),
         parse_sealed(raw).alias("sealed"),
     ).select(*given, unseal(F.col("sealed"), F.col("raw")).alias("body"))
-    members = parsed.select(
-        *given, "body",
-        *[F.try_variant_get("body", f"$.{m}", "variant").alias(f"{m}_value") for m in _MEMBERS],
+    opened = parsed.select(
+        *given, type_of(F.col("body")).alias("body_type"),
+        members(F.col("body"), _MEMBERS).alias("member"),
     )
-    typed = members.withColumns(
-        {"body_type": type_of(F.col("body"))}
-        | {f"{m}_type": type_of(F.col(f"{m}_value")) for m in _MEMBERS}
-    ).drop("body")
-    read = {n: to_int(F.col(f"{n}_value"), _type(n), text_may_have_fraction=n == "bid") for n in _INTS}
+    typed = opened.withColumns(
+        {f"{m}_type": type_of(F.col(f"member.{m}")) for m in _MEMBERS}
+    )
+    read = {
+        n: to_int(F.col(f"member.{n}"), _type(n), text_may_have_fraction=n == "bid") for n in _INTS
+    }
     absent = {n: F.lit(0) for n in _INTS if n != _OPTIONAL}
     values = typed.withColumns({
         n: F.when(_type(n).isNull(), absent[n]).otherwise(read[n]) if n in absent else read[n]
         for n in _INTS
-    } | {"custom_track": to_kind(F.col("custom_track_value"), _type("custom_track"))})
+    } | {"custom_track": to_kind(F.col("member.custom_track"), _type("custom_track"))})
     return values.select(
         "raw", "arrived_at", *[c for c in ACCEPTED if c not in ("create_time", "ts")],
         _reason().alias("reason"),

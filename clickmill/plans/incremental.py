@@ -4,13 +4,11 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickmill.operators.enrich import company_enriched, sink_rows
-from clickmill.operators.kpis import (
-    batch_high_mark, finish_partials, hourly_partials,
-)
+from clickmill.operators.kpis import batch_high_mark, finish_partials, hourly_partials
 from clickmill.operators.tracking import incremental_slice
 from clickmill.schemas import DEFAULT_SOURCE, HOURLY_KPI
 from clickmill.session import scratch_dir
@@ -28,16 +26,17 @@ def stage(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def batch_rows(
-    events: DataFrame, jobs: DataFrame, staging: str, source: str = DEFAULT_SOURCE
-) -> DataFrame:
-    """Sink rows of one batch of events, reading the events exactly once.
+def stage_partials(events: DataFrame, path: str) -> DataFrame:
+    """Hourly partials of a batch, with what ``rows_of`` needs to know of its other events.
 
-    Every row carries the newest event time of the whole batch. That is known only after the last
-    event, so the hourly partials, a small fraction of the events, are staged; the mark and the
-    rows both come from there, and so from the same snapshot of a log that keeps growing.
+    The only pass over the events: whatever follows reads the staged rows, a small fraction, and
+    so the same snapshot of a log that keeps growing.
     """
-    partials = stage(hourly_partials(events, carry_other_kinds=True), staging)
+    return stage(hourly_partials(events, carry_other_kinds=True), path)
+
+
+def rows_of(partials: DataFrame, jobs: DataFrame, source: str = DEFAULT_SOURCE) -> DataFrame:
+    """Sink rows of staged partials, each with the newest event time of the whole batch."""
     mark = batch_high_mark(partials, "max_ts")
     kpis = company_enriched(finish_partials(partials), jobs)
     # One row by construction: an aggregate without grouping.
@@ -47,18 +46,18 @@ def batch_rows(
 def run_incremental(
     spark: SparkSession, events: DataFrame, jobs: DataFrame, sink_path: str,
     source: str = DEFAULT_SOURCE, inclusive: bool = True,
-    since: dt.datetime | str | Column | None = None,
+    since: dt.datetime | str | None = None,
 ) -> bool:
-    """Append the KPIs of events at or after the sink's watermark; tells whether there were any.
+    """Append the KPIs of events at or after the sink's watermark; tells whether there were events.
 
     As the comparison is inclusive, the last second of a run is read again by the next, and events
     older than the watermark are never read. ``streaming.kpi_stream`` has neither limit.
     """
-    sink = read_if_present(spark, sink_path, HOURLY_KPI)
-    mark = watermark_value(sink) if since is None else since
-    fresh = incremental_slice(events, mark, inclusive)
-    rows = batch_rows(fresh, jobs, scratch_dir(spark, "batch"), source)
-    if rows.isEmpty():
+    if since is None:
+        since = watermark_value(read_if_present(spark, sink_path, HOURLY_KPI))
+    fresh = incremental_slice(events, since, inclusive)
+    partials = stage_partials(fresh, scratch_dir(spark, "batch"))
+    if partials.isEmpty():
         return False
-    append_kpis(rows, sink_path)
+    append_kpis(rows_of(partials, jobs, source), sink_path)
     return True

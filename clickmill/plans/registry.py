@@ -12,7 +12,7 @@ from clickmill.functions.time_uuid import decode_time_uuid
 from clickmill.operators import enrich, kpis, reports
 from clickmill.operators import tracking as track
 from clickmill.operators.ingest import ACCEPTED
-from clickmill.plans.incremental import batch_rows, run_incremental
+from clickmill.plans.incremental import rows_of, run_incremental, stage_partials
 from clickmill.schemas import HOURLY_KPI, JOB, PUBLISHER, TRACKING
 from clickmill.session import scratch_dir
 from clickmill.sources import landing, sample
@@ -103,7 +103,7 @@ def batch_high_mark(spark, sf_dir):
 
 
 def _sink_rows(spark: SparkSession, events: DataFrame, sf_dir: str) -> DataFrame:
-    return batch_rows(events, sample.jobs(spark, sf_dir), scratch_dir(spark, "batch"))
+    return rows_of(stage_partials(events, scratch_dir(spark, "batch")), sample.jobs(spark, sf_dir))
 
 
 def sink_rows(spark, sf_dir):

@@ -14,6 +14,8 @@ SETTINGS = {
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
     # A repeated key in a payload keeps its last value, as most JSON readers do.
     "spark.sql.variant.allowDuplicateKeys": "true",
+    # The JVM does not compile methods beyond this size; smaller generated ones run much faster.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # State of the stateful stream lives off-heap and on disk.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",

@@ -66,11 +66,22 @@ PAYLOAD = f"""CASE event_id % 25
          || ',"publisher_id":1,"campaign_id":10,"group_id":' || {_K} || '}}'
     END"""
 
+# The given tables' columns that are read.
+GIVEN = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, props string",
+    "customer": "c_custkey bigint, c_nationkey int",
+    "supplier": "s_suppkey bigint, s_name string",
+}
+
+
+def _given(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    return spark.read.schema(GIVEN[table]).parquet(f"{sf_dir}/{table}.parquet")
+
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     apply_settings(spark)
     k = F.get_json_object("props", "$.k").cast("int")
-    return spark.read.parquet(f"{sf_dir}/events.parquet").withColumn("k", k)
+    return _given(spark, sf_dir, "events").withColumn("k", k)
 
 
 def _instant(column: str):
@@ -91,12 +102,12 @@ def tracking(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customers = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    customers = _given(spark, sf_dir, "customer")
     return customers.select(*[F.expr(text).alias(name) for name, text in JOB_COLUMNS.items()])
 
 
 def publishers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    suppliers = spark.read.parquet(f"{sf_dir}/supplier.parquet")
+    suppliers = _given(spark, sf_dir, "supplier")
     return suppliers.select(*[F.expr(text).alias(name) for name, text in PUBLISHER_COLUMNS.items()])
 
 
