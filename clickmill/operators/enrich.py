@@ -7,9 +7,8 @@ from pyspark.sql import functions as F
 
 from clickmill.schemas import DEFAULT_SOURCE, GRAIN, HOURLY_KPI
 
-# A lookup table up to this many rows is broadcast. Its rows are a key and at most one text of 255
-# characters, so this bounds what one executor receives to some 150 MB.
-BROADCAST_ROWS = 500_000
+# A lookup table up to this size is broadcast to every executor.
+BROADCAST_BYTES = 32 * 1024 * 1024
 # Beyond it, every key's rows are spread over this many join keys.
 SALTS = 16
 
@@ -42,22 +41,31 @@ def job_group_ids(jobs: DataFrame) -> DataFrame:
     return jobs.filter(F.col("group_id").isNotNull()).select(F.col("group_id").cast("int"))
 
 
+def lookup_bytes(lookup: DataFrame) -> int:
+    """The size of a lookup table's values: texts as they are, anything else as 8 bytes."""
+    texts = [f.name for f in lookup.schema if f.dataType.simpleString() == "string"]
+    fixed = 8 * (len(lookup.columns) - len(texts))
+    lengths = [F.coalesce(F.sum(F.octet_length(t)), F.lit(0)) for t in texts]
+    size = sum(lengths, F.count(F.lit(1)) * fixed)
+    return lookup.agg(size.alias("bytes")).first()["bytes"]
+
+
 def attach(
     facts: DataFrame,
     lookup: DataFrame,
     key: str,
     spread_by: list[str],
-    broadcast_rows: int = BROADCAST_ROWS,
+    broadcast_bytes: int = BROADCAST_BYTES,
     salts: int = SALTS,
 ) -> DataFrame:
     """Left join a lookup table with unique ``key`` to facts that may be skewed on it.
 
-    The lookup is counted first (parquet answers from its footers). Small enough, it is broadcast
-    and the facts stay where they are. Otherwise both sides are shuffled, with a hot key split
-    over ``salts`` partitions: facts get a salt from the columns ``spread_by``, and the lookup,
-    which is narrow, is repeated once per salt.
+    The lookup is measured first; for plain numbers parquet's footers tell. Small enough, it is
+    broadcast and the facts stay where they are. Otherwise both sides are shuffled, with a hot key
+    split over ``salts`` partitions: facts get a salt from the columns ``spread_by``, and the
+    lookup, which is narrow, is repeated once per salt.
     """
-    if lookup.count() <= broadcast_rows:
+    if lookup_bytes(lookup) <= broadcast_bytes:
         return facts.join(F.broadcast(lookup), key, "left")
     salt = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
     spread = lookup.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))

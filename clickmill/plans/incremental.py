@@ -4,16 +4,16 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickmill.operators.enrich import company_enriched, sink_rows
 from clickmill.operators.kpis import batch_high_mark, finish_partials, hourly_partials
 from clickmill.operators.tracking import incremental_slice
-from clickmill.schemas import DEFAULT_SOURCE, HOURLY_KPI
+from clickmill.schemas import DEFAULT_SOURCE
 from clickmill.session import scratch_dir
-from clickmill.sources.readers import read_if_present, watermark_value
-from clickmill.sources.writers import append_kpis
+from clickmill.sources.readers import watermark_value
+from clickmill.sources.sinks import Sink
 
 
 def stage(df: DataFrame, path: str) -> DataFrame:
@@ -44,9 +44,8 @@ def rows_of(partials: DataFrame, jobs: DataFrame, source: str = DEFAULT_SOURCE)
 
 
 def run_incremental(
-    spark: SparkSession, events: DataFrame, jobs: DataFrame, sink_path: str,
-    source: str = DEFAULT_SOURCE, inclusive: bool = True,
-    since: dt.datetime | str | None = None,
+    events: DataFrame, jobs: DataFrame, sink: Sink, source: str = DEFAULT_SOURCE,
+    inclusive: bool = True, since: dt.datetime | str | None = None,
 ) -> bool:
     """Append the KPIs of events at or after the sink's watermark; tells whether there were events.
 
@@ -54,10 +53,10 @@ def run_incremental(
     older than the watermark are never read. ``streaming.kpi_stream`` has neither limit.
     """
     if since is None:
-        since = watermark_value(read_if_present(spark, sink_path, HOURLY_KPI))
+        since = watermark_value(sink.updates())
     fresh = incremental_slice(events, since, inclusive)
-    partials = stage_partials(fresh, scratch_dir(spark, "batch"))
+    partials = stage_partials(fresh, scratch_dir(events.sparkSession, "batch"))
     if partials.isEmpty():
         return False
-    append_kpis(rows_of(partials, jobs, source), sink_path)
+    sink.append(rows_of(partials, jobs, source))
     return True

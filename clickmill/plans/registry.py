@@ -18,6 +18,7 @@ from clickmill.session import scratch_dir
 from clickmill.sources import landing, sample
 from clickmill.sources.contract import schema_contract
 from clickmill.sources.readers import read_if_present, sink_watermark
+from clickmill.sources.sinks import parquet_sink
 from clickmill.sources.writers import bootstrap_if_empty, by_partition
 from clickmill.streaming import compaction, ingest_stream, kpi_stream
 
@@ -132,10 +133,11 @@ def incremental_run(spark, sf_dir):
     """Two runs, the second over all events: its sink keeps the boundary rows of both."""
     sink = scratch_dir(spark, "sink")
     jobs = sample.jobs(spark, sf_dir)
-    run_incremental(spark, _arrived(spark, sf_dir, early=True), jobs, sink)
-    run_incremental(spark, _events(spark, sf_dir), jobs, sink)
+    for events in (_arrived(spark, sf_dir, early=True), _events(spark, sf_dir)):
+        run_incremental(events, jobs, parquet_sink(spark, sink))
     rows = read_if_present(spark, sink, HOURLY_KPI).drop("id")
-    money = {"bid_set": F.col("bid_set").cast("double"), "spend_hour": F.col("spend_hour").cast("bigint")}
+    types = {"bid_set": "double", "spend_hour": "bigint"}
+    money = {c: F.col(c).cast(kind) for c, kind in types.items()}
     return _without_zone(rows.withColumns(money), "updated_at")
 
 

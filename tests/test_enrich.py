@@ -29,12 +29,19 @@ def test_the_company_is_added_and_the_facts_keep_their_own_ids(log, spark):
 def test_a_large_lookup_is_joined_over_salts_with_equal_rows(log, spark):
     facts, jobs = _facts(log), _jobs(spark)
     small = enrich.company_enriched(facts, jobs)
-    large = enrich.company_enriched(facts, jobs, broadcast_rows=2, salts=4)
+    large = enrich.company_enriched(facts, jobs, broadcast_bytes=40, salts=4)
     plan = large._jdf.queryExecution().optimizedPlan().toString()
     assert "strategy=broadcast" not in plan and "salt" in plan
     assert rows(small) == rows(large)
 
 
+def test_lookups_are_measured_by_their_values(spark):
+    lookup = spark.createDataFrame([(1, "four"), (2, "é"), (3, None)], "id int, name string")
+    assert enrich.lookup_bytes(lookup) == 3 * 8 + 4 + 2
+    assert enrich.lookup_bytes(lookup.filter("id > 3")) == 0
+    assert enrich.lookup_bytes(lookup.drop("name")) == 24
+
+
 def test_salts_split_a_hot_key(log):
     rest = ["date", "hour", "publisher_id", "campaign_id", "group_id"]
     salted = _facts(log).filter("job_id = 7").groupBy(F.pmod(F.xxhash64(*rest), F.lit(4))).count()
