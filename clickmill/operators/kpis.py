@@ -26,22 +26,25 @@ def _split_hours(df: DataFrame) -> DataFrame:
     return df.withColumns({"date": date_of(hours), "hour": hour_of(hours)}).drop("hours")
 
 
-def _by_grain(events: DataFrame, *measures: Column) -> DataFrame:
-    """Aggregate per grain key; an hour is grouped as one number and split up afterwards."""
-    timed = events.withColumn("hours", gregorian_hours(F.col("ts")))
-    return _split_hours(timed.groupBy(*IDS, "hours").agg(*measures))
+def _by_grain(events: DataFrame, hours: Column, *measures: Column) -> DataFrame:
+    """Aggregate per grain key; an hour is grouped as one number and split up afterwards.
+
+    Events without a time form groups without a newest time. They are left out only here, as a
+    filter on each event would decode its id twice.
+    """
+    summed = events.withColumn("hours", hours).groupBy(*IDS, "hours").agg(*measures, F.max("ts").alias("max_ts"))
+    return _split_hours(summed.filter(F.col("max_ts").isNotNull()))
 
 
 def _of_kind(events: DataFrame, kind: str) -> DataFrame:
-    timed = (F.col("custom_track") == kind) & F.col("ts").isNotNull()
-    return fill_ids(events.filter(timed))
+    return fill_ids(events.filter(F.col("custom_track") == kind))
 
 
 def clicks_hourly(events: DataFrame) -> DataFrame:
     """Clicks, mean bid and spend per grain key; a missing bid counts as 0."""
     bid = F.coalesce(F.col("bid"), F.lit(0))
     per_hour = _by_grain(
-        _of_kind(events, "click"),
+        _of_kind(events, "click"), gregorian_hours(F.col("ts")),
         F.round(F.avg(bid), 2).alias("bid_set"),
         F.count(F.lit(1)).alias("clicks"),
         F.round(F.sum(bid), 2).alias("spend_hour"),
@@ -52,7 +55,8 @@ def clicks_hourly(events: DataFrame) -> DataFrame:
 def kind_hourly(events: DataFrame, kind: str) -> DataFrame:
     """Number of events of one kind per grain key."""
     count = F.count(F.lit(1)).alias(KINDS[kind])
-    return _by_grain(_of_kind(events, kind), count).select(*GRAIN, KINDS[kind])
+    per_hour = _by_grain(_of_kind(events, kind), gregorian_hours(F.col("ts")), count)
+    return per_hour.select(*GRAIN, KINDS[kind])
 
 
 def hourly_kpis_join(events: DataFrame) -> DataFrame:
@@ -70,19 +74,19 @@ def hourly_partials(events: DataFrame, carry_other_kinds: bool = False) -> DataF
     """
     kind = F.col("custom_track")
     known = F.coalesce(kind.isin(*KINDS), F.lit(False))
-    filled = fill_ids(events).withColumn("hours", gregorian_hours(F.col("ts")))
+    filled = fill_ids(events)
     if carry_other_kinds:
-        filled = filled.withColumns({c: F.when(known, F.col(c)) for c in [*IDS, "hours"]})
+        filled = filled.withColumns({c: F.when(known, F.col(c)) for c in IDS})
+        hours = F.when(known, gregorian_hours(F.col("ts")))
     else:
         filled = filled.filter(known)
-    summed = filled.groupBy(*IDS, "hours").agg(
+        hours = gregorian_hours(F.col("ts"))
+    partials = _by_grain(
+        filled, hours,
         *[F.count_if(kind == k).alias(name) for k, name in KINDS.items()],
         F.sum(F.when(kind == "click", F.coalesce(F.col("bid"), F.lit(0)))).alias("bid_sum"),
-        F.max("ts").alias("max_ts"),
     )
-    # Events without a time form groups without a newest time. Left out only here, as a filter on
-    # each event would decode its id twice.
-    return _split_hours(summed.filter(F.col("max_ts").isNotNull())).select(*PARTIAL_COLUMNS)
+    return partials.select(*PARTIAL_COLUMNS)
 
 
 def merge_partials(partials: DataFrame) -> DataFrame:

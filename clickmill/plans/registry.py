@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -34,9 +34,8 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return track.tracking_events(sample.tracking(spark, sf_dir))
 
 
-def _arrived(spark: SparkSession, sf_dir: str, early: bool) -> DataFrame:
+def _arrived(log: DataFrame, early: bool) -> DataFrame:
     """The events that reached the log before the cut, or those from then on."""
-    log = sample.tracking(spark, sf_dir)
     before = F.col("arrived_at") < F.lit(sample.CUT).cast("timestamp")
     return track.tracking_events(log.filter(before if early else ~before))
 
@@ -112,7 +111,7 @@ def sink_rows(spark, sf_dir):
 
 
 def watermark(spark, sf_dir):
-    early = _sink_rows(spark, _arrived(spark, sf_dir, early=True), sf_dir)
+    early = _sink_rows(spark, _arrived(sample.tracking(spark, sf_dir), early=True), sf_dir)
     return _without_zone(sink_watermark(early), "watermark")
 
 
@@ -124,16 +123,25 @@ def watermark_of_empty_sink(spark, sf_dir):
 
 def late_events(spark, sf_dir):
     """Events that reach the log after a run and are older than its high mark."""
-    mark = kpis.batch_high_mark(_arrived(spark, sf_dir, early=True))
-    arrivals = _arrived(spark, sf_dir, early=False).crossJoin(F.broadcast(mark))
+    mark = kpis.batch_high_mark(_arrived(sample.tracking(spark, sf_dir), early=True))
+    arrivals = _arrived(sample.tracking(spark, sf_dir), early=False).crossJoin(F.broadcast(mark))
     return track.late_events(arrivals, F.col("high_mark"))
 
 
+def _log_by(column: str, days: Column, spark: SparkSession, sf_dir: str) -> tuple[str, StructType]:
+    """The log written by day, as it would be kept or arrive: its place and schema."""
+    path = scratch_dir(spark, "log")
+    log = sample.tracking(spark, sf_dir).withColumn(column, F.to_date(days))
+    by_partition(log, column).write.partitionBy(column).parquet(path)
+    return path, log.schema
+
+
 def incremental_run(spark, sf_dir):
-    """Two runs, the second over all events: its sink keeps the boundary rows of both."""
+    """Two runs over a log kept by event date, the second when all events have arrived."""
+    path, schema = _log_by(track.LOG_DATE, F.col("ts"), spark, sf_dir)
+    log, jobs = spark.read.schema(schema).parquet(path), sample.jobs(spark, sf_dir)
     sink = scratch_dir(spark, "sink")
-    jobs = sample.jobs(spark, sf_dir)
-    for events in (_arrived(spark, sf_dir, early=True), _events(spark, sf_dir)):
+    for events in (_arrived(log, early=True), track.tracking_events(log)):
         run_incremental(events, jobs, parquet_sink(spark, sink))
     rows = read_if_present(spark, sink, HOURLY_KPI).drop("id")
     types = {"bid_set": "double", "spend_hour": "bigint"}
@@ -145,7 +153,7 @@ def incremental_run(spark, sf_dir):
 
 
 def kpi_merged(spark, sf_dir):
-    batches = [kpis.hourly_partials(_arrived(spark, sf_dir, early)) for early in (True, False)]
+    batches = [kpis.hourly_partials(_arrived(sample.tracking(spark, sf_dir), early)) for early in (True, False)]
     return reports.kpi_merged(batches[0].unionByName(batches[1]))
 
 
@@ -166,10 +174,8 @@ def kpi_by_campaign(spark, sf_dir):
 
 def _streamed_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The log as it would arrive: landed by day of arrival, several micro-batches long."""
-    path = scratch_dir(spark, "log")
-    log = sample.tracking(spark, sf_dir).withColumn("arrival_date", F.to_date("arrived_at"))
-    by_partition(log, "arrival_date").write.partitionBy("arrival_date").parquet(path)
-    return spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 8).parquet(path)
+    path, schema = _log_by("arrival_date", F.col("arrived_at"), spark, sf_dir)
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 8).parquet(path)
 
 
 def stream_kpis(spark, sf_dir):
