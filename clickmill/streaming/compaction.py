@@ -8,9 +8,11 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from clickmill.operators.kpis import PARTIAL_COLUMNS, merge_partials
 from clickmill.schemas import PARTIALS
-from clickmill.sources.readers import is_present, read_if_present
+from clickmill.sources.readers import read_if_present
 from clickmill.sources.writers import by_partition
 
+SPANS = StructType([StructField("through", LongType())])
+
 
 def read_batches(spark: SparkSession, partials_path: str, schema: StructType = PARTIALS) -> DataFrame:
     """Partials as the stream wrote them, with their ``batch_id``."""
@@ -18,18 +20,9 @@ def read_batches(spark: SparkSession, partials_path: str, schema: StructType = P
     return read_if_present(spark, partials_path, keyed)
 
 
-def _read_spans(spark: SparkSession, compacted_path: str, schema: StructType) -> DataFrame:
-    keyed = StructType(schema.fields + [StructField("through", LongType())])
-    return read_if_present(spark, compacted_path, keyed)
-
-
-def _finished_spans(spark: SparkSession, compacted_path: str, schema: StructType) -> list[int]:
-    """The last batch of every span that was written to its end; one value per compaction run."""
-    spans = _read_spans(spark, compacted_path, schema).select("through").distinct().collect()
-    return sorted(
-        s.through for s in spans
-        if is_present(spark, f"{compacted_path}/through={s.through}/_SUCCESS")
-    )
+def _finished_spans(spark: SparkSession, compacted_path: str) -> list[int]:
+    """The last batch of every finished span, oldest first; one value per compaction run."""
+    return sorted(s.through for s in read_if_present(spark, f"{compacted_path}/spans", SPANS).collect())
 
 
 def compact_partials(
@@ -38,17 +31,20 @@ def compact_partials(
 ) -> None:
     """Merge the batches up to ``through`` that are not in a finished span yet, kept by date.
 
-    A run that fails leaves an unfinished span, which nobody reads. Batches in a finished span are
-    not read again by ``served_partials`` and may be removed.
+    A span counts as finished once it is listed, after all its rows are written: a run that fails
+    leaves rows nobody reads. Batches in a finished span are not read again by
+    ``served_partials`` and may be removed.
     """
-    done = max(_finished_spans(spark, compacted_path, schema), default=-1)
+    done = max(_finished_spans(spark, compacted_path), default=-1)
     if through <= done:
         return
     batch = F.col("batch_id")
     span = read_batches(spark, partials_path, schema).filter((batch > done) & (batch <= through))
     merged = by_partition(merge_partials(span).select(*PARTIAL_COLUMNS), "date")
-    target = f"{compacted_path}/through={through}"
+    target = f"{compacted_path}/rows/through={through}"
     merged.write.mode("overwrite").partitionBy("date").parquet(target)
+    listed = spark.range(1).select(F.lit(through).cast("bigint").alias("through"))
+    listed.write.mode("append").parquet(f"{compacted_path}/spans")
 
 
 def served_partials(
@@ -57,9 +53,11 @@ def served_partials(
 ) -> DataFrame:
     """Finished spans and the batches after them, to be merged by ``kpi_merged``."""
     batches = read_batches(spark, partials_path, schema)
-    spans = _finished_spans(spark, compacted_path, schema) if compacted_path else []
+    spans = _finished_spans(spark, compacted_path) if compacted_path else []
     if not spans:
         return batches.select(*PARTIAL_COLUMNS)
-    merged = _read_spans(spark, compacted_path, schema).filter(F.col("through").isin(spans))
+    keyed = StructType(schema.fields + SPANS.fields)
+    rows = read_if_present(spark, f"{compacted_path}/rows", keyed)
+    finished = rows.filter(F.col("through").isin(spans))
     recent = batches.filter(F.col("batch_id") > spans[-1])
-    return merged.select(*PARTIAL_COLUMNS).unionByName(recent.select(*PARTIAL_COLUMNS))
+    return finished.select(*PARTIAL_COLUMNS).unionByName(recent.select(*PARTIAL_COLUMNS))
