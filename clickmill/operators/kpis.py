@@ -73,14 +73,13 @@ def hourly_partials(events: DataFrame, carry_other_kinds: bool = False) -> DataF
     ``batch_high_mark`` of the result is the newest time of the whole batch.
     """
     kind = F.col("custom_track")
-    known = F.coalesce(kind.isin(*KINDS), F.lit(False))
-    filled = fill_ids(events)
+    known = kind.isin(*KINDS)
+    hours = gregorian_hours(F.col("ts"))
     if carry_other_kinds:
-        filled = filled.withColumns({c: F.when(known, F.col(c)) for c in IDS})
-        hours = F.when(known, gregorian_hours(F.col("ts")))
+        filled = fill_ids(events).withColumns({c: F.when(known, F.col(c)) for c in IDS})
+        hours = F.when(known, hours)
     else:
-        filled = filled.filter(known)
-        hours = gregorian_hours(F.col("ts"))
+        filled = fill_ids(events.filter(known))
     partials = _by_grain(
         filled, hours,
         *[F.count_if(kind == k).alias(name) for k, name in KINDS.items()],

@@ -16,7 +16,9 @@ SETTINGS = {
     "spark.sql.variant.allowDuplicateKeys": "true",
     # The JVM does not compile methods beyond this size; smaller generated ones run much faster.
     "spark.sql.codegen.hugeMethodLimit": "8000",
-    # State of the stateful stream lives off-heap and on disk.
+}
+# State of the stateful stream lives off-heap and on disk.
+STATE_STORE = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
@@ -30,7 +32,7 @@ def build_session(name: str = "clickmill", master: str | None = None, **settings
     builder = SparkSession.builder.appName(name).config("spark.ui.enabled", "false")
     if master:
         builder = builder.master(master)
-    for key, value in SETTINGS.items():
+    for key, value in (SETTINGS | STATE_STORE).items():
         builder = builder.config(key, value)
     for key, value in settings.items():
         builder = builder.config(key.replace("__", "."), value)

@@ -145,7 +145,7 @@ def test_one_scan_one_shuffle_no_join_no_python(log, spark, tmp_path):
     one_pass = _plan(kpis.hourly_kpis(tracking_events(spark.read.parquet(path))))
     assert one_pass.count("FileScan") == one_pass.count("Exchange hashpartitioning") == 1
     assert "Join" not in one_pass and "Python" not in one_pass
-    assert "IsNotNull(job_id)" in one_pass
+    assert "IsNotNull(job_id), In(custom_track, [click,conversion,qualified,unqualified])" in one_pass
     assert "utm_source" not in one_pass
     branches = _plan(kpis.hourly_kpis_join(tracking_events(spark.read.parquet(path))))
     assert branches.count("FileScan") == 4
