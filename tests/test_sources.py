@@ -7,6 +7,7 @@ from clickmill.sources.contract import ContractError, require_schema, schema_con
 from clickmill.sources.readers import (
     is_present, jdbc_options, read_events, read_jobs, read_publishers,
 )
+from clickmill.sources.sinks import jdbc_sink
 from clickmill.sources.writers import (
     append_kpis, bootstrap_if_empty, create_table_if_missing, jdbc_write_options,
 )
@@ -60,6 +61,12 @@ def test_jdbc_writes_are_batched_over_few_connections():
     }
 
 
+def test_a_database_out_of_reach_is_an_error_not_an_empty_sink(spark):
+    sink = jdbc_sink(spark, "jdbc:nosuch:x", "events", user="u")
+    with pytest.raises(Exception, match="No suitable driver"):
+        sink.updates()
+
+
 def test_contract_reports_and_requires(spark):
     table = spark.createDataFrame([(1, None), (2, "x")], "id int, publisher_name string")
     narrow = type(PUBLISHER)([PUBLISHER["id"], PUBLISHER["publisher_name"]])
