@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from clickmill.operators.ingest import ACCEPTED, classify
 from clickmill.operators.tracking import LOG_DATE
 from clickmill.schemas import struct
+from clickmill.sources.writers import by_partition
 
 PARTITIONS = ["status", LOG_DATE]
 LANDED = struct(
@@ -34,10 +35,17 @@ def to_landed(payloads: DataFrame, raw: Column, arrived_at: Column, identity: Co
 
 
 def land_payloads(
-    payloads: DataFrame, raw: Column, arrived_at: Column, identity: Column, path: str
+    payloads: DataFrame, raw: Column, arrived_at: Column, identity: Column, path: str,
+    in_order: bool = False,
 ) -> None:
-    """Classify a batch of payloads in one pass and append it to the landing table."""
+    """Classify a batch of payloads in one pass and append it to the landing table.
+
+    Payloads ``in_order`` of arrival are written where they are, as a task holds few dates then;
+    others are first brought together by partition.
+    """
     landed = to_landed(payloads, raw, arrived_at, identity)
+    if not in_order:
+        landed = by_partition(landed, *PARTITIONS)
     landed.write.mode("append").partitionBy(*PARTITIONS).parquet(path)
 
 

@@ -9,13 +9,13 @@ from clickmill.operators.enrich import to_sink_types
 from clickmill.sources.readers import read_if_present
 
 
-def by_partition(df: DataFrame, column: str) -> DataFrame:
+def by_partition(df: DataFrame, *columns: str) -> DataFrame:
     """Bring rows of one partition value together before a partitioned write.
 
     Without it every task writes a file into every partition. The rebalance is sized at run time:
     small partitions share a task, and a hot date is split over several.
     """
-    return df.hint("rebalance", column)
+    return df.hint("rebalance", *columns)
 
 
 def append_kpis(rows: DataFrame, path: str) -> None:

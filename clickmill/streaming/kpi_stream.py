@@ -24,13 +24,7 @@ def trigger(once: bool, every: str = EVERY) -> dict[str, bool | str]:
 
 def replace_batch(df: DataFrame, batch_id: int, path: str) -> None:
     """Write one batch's rows as its partition, in place of what an earlier try left there."""
-    (
-        df.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch_id")
-        .parquet(path)
-    )
+    df.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
 
 def write_partials(path: str) -> BatchWriter:
