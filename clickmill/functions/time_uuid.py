@@ -52,6 +52,14 @@ def hour_of(hours: Column) -> Column:
     return (hours % F.lit(24)).cast("int")
 
 
+def utc_date(ts: Column) -> Column:
+    return date_of(gregorian_hours(ts))
+
+
+def utc_hour(ts: Column) -> Column:
+    return hour_of(gregorian_hours(ts))
+
+
 def mint_time_uuid(at: Column, identity: Column) -> Column:
     """A version-1 UUID for the instant ``at`` (timestamp) and the bigint ``identity``.
 

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickmill.functions.time_uuid import decode_time_uuid
+from clickmill.functions.time_uuid import decode_time_uuid, utc_date
 from clickmill.schemas import EVENT_COLUMNS, IDS
 
 # The date column a log may be partitioned by; see streaming.ingest_stream.
@@ -35,7 +35,7 @@ def incremental_slice(
     mark = (F.lit(watermark) if known else watermark).cast("timestamp")
     fresh = events.filter(F.col("ts") >= mark if inclusive else F.col("ts") > mark)
     if known and LOG_DATE in events.columns:
-        fresh = fresh.filter(F.col(LOG_DATE) >= F.to_date(mark))
+        fresh = fresh.filter(F.col(LOG_DATE) >= utc_date(mark))
     return fresh
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clickmill.functions.time_uuid import utc_date
 from clickmill.operators.ingest import ACCEPTED, classify
 from clickmill.operators.tracking import LOG_DATE
 from clickmill.schemas import struct
@@ -30,7 +31,7 @@ def to_landed(payloads: DataFrame, raw: Column, arrived_at: Column, identity: Co
         F.when(~fine, F.col("raw")).alias("raw"),
         "reason",
         F.when(fine, F.lit("accepted")).otherwise(F.lit("rejected")).alias("status"),
-        F.to_date("arrived_at").alias(LOG_DATE),
+        utc_date(F.col("arrived_at")).alias(LOG_DATE),
     )
 
 

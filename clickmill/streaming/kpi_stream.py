@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from clickmill.functions.time_uuid import utc_date, utc_hour
 from clickmill.operators.kpis import MEASURES, finish_partials, hourly_partials
 from clickmill.operators.tracking import fill_ids, tracking_events
 from clickmill.schemas import COUNTS, GRAIN, IDS, KINDS
@@ -80,6 +81,7 @@ def start_stateful_stream(
     kind = F.col("custom_track")
     events = fill_ids(tracking_events(log).filter(kind.isin(*KINDS) & F.col("ts").isNotNull()))
     click_bid = F.when(kind == "click", F.coalesce(F.col("bid"), F.lit(0)))
+    start = F.col("window.start")
     totals = (
         events.withWatermark("ts", delay)
         .groupBy(F.window("ts", "1 hour").alias("window"), *IDS)
@@ -88,7 +90,7 @@ def start_stateful_stream(
             F.sum(click_bid).alias("bid_sum"),
         )
         .select(
-            "job_id", F.to_date("window.start").alias("date"), F.hour("window.start").alias("hour"),
+            "job_id", utc_date(start).alias("date"), utc_hour(start).alias("hour"),
             "publisher_id", "campaign_id", "group_id", *COUNTS, "bid_sum",
         )
     )

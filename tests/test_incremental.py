@@ -18,6 +18,13 @@ def jobs(spark):
     )
 
 
+@pytest.fixture
+def zone(spark):
+    """Sets the session's time zone for one test."""
+    yield lambda name: spark.conf.set("spark.sql.session.timeZone", name)
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 @pytest.fixture
 def sink(tmp_path):
     return str(tmp_path / "sink")
@@ -84,3 +91,13 @@ def test_a_log_kept_by_date_is_pruned(spark, log, tmp_path):
     filters = plan.split("PartitionFilters: [")[1].split("], PushedFilters")[0]
     assert LOG_DATE in filters
     assert len({r.f for r in fresh.select(F.input_file_name().alias("f")).collect()}) == 2
+
+
+def test_pruning_goes_by_utc_dates_in_any_session_zone(spark, log, tmp_path, zone):
+    path = str(tmp_path / "log")
+    raw = log(event(at(1, 20)), event(at(1, 23)), event(at(2, 1)))
+    dates = tracking_events(raw).select("create_time", F.to_date("ts").alias(LOG_DATE))
+    raw.join(dates, "create_time").write.partitionBy(LOG_DATE).parquet(path)
+    zone("Asia/Tokyo")
+    fresh = incremental_slice(tracking_events(spark.read.parquet(path)), "2024-03-02 05:00:00")
+    assert fresh.count() == 3
