@@ -32,7 +32,8 @@ def _by_grain(events: DataFrame, hours: Column, *measures: Column) -> DataFrame:
     Events without a time form groups without a newest time. They are left out only here, as a
     filter on each event would decode its id twice.
     """
-    summed = events.withColumn("hours", hours).groupBy(*IDS, "hours").agg(*measures, F.max("ts").alias("max_ts"))
+    grouped = events.withColumn("hours", hours).groupBy(*IDS, "hours")
+    summed = grouped.agg(*measures, F.max("ts").alias("max_ts"))
     return _split_hours(summed.filter(F.col("max_ts").isNotNull()))
 
 

@@ -10,18 +10,27 @@ from pyspark.sql import functions as F
 from clickmill.functions.time_uuid import decode_time_uuid, utc_date
 from clickmill.schemas import EVENT_COLUMNS, IDS
 
-# The date column a log may be partitioned by; see streaming.ingest_stream.
+# Columns of a log kept with its event times: the decoded time and its UTC date, a partition.
+LOG_TIME = "event_time"
 LOG_DATE = "event_date"
 
 
+def with_event_time(log: DataFrame) -> DataFrame:
+    """A log with the time and date its ids tell, to be written once and not decoded again."""
+    timed = log.withColumn(LOG_TIME, decode_time_uuid(F.col("create_time")))
+    return timed.withColumn(LOG_DATE, utc_date(F.col(LOG_TIME)))
+
+
 def tracking_events(log: DataFrame) -> DataFrame:
     """Events of a known job, cut to the columns read, with event time decoded from the id.
 
-    A stored ``ts`` is never trusted. A ``event_date`` partition column is kept, for pruning.
+    The text column ``ts`` of a raw log is never trusted. A log kept with its event times gives
+    those, so that ids need not be read at all, and its date for pruning.
     """
-    kept = EVENT_COLUMNS + [LOG_DATE] * (LOG_DATE in log.columns)
-    known = log.filter(F.col("job_id").isNotNull()).select(*kept)
-    return known.withColumn("ts", decode_time_uuid(F.col("create_time")))
+    kept = [c for c in (LOG_TIME, LOG_DATE) if c in log.columns]
+    known = log.filter(F.col("job_id").isNotNull()).select(*EVENT_COLUMNS, *kept)
+    decoded = F.col(LOG_TIME) if LOG_TIME in kept else decode_time_uuid(F.col("create_time"))
+    return known.withColumn("ts", decoded).drop(LOG_TIME)
 
 
 def incremental_slice(

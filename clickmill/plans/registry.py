@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -19,7 +19,7 @@ from clickmill.sources import landing, sample
 from clickmill.sources.contract import schema_contract
 from clickmill.sources.readers import read_if_present, sink_watermark
 from clickmill.sources.sinks import parquet_sink
-from clickmill.sources.writers import bootstrap_if_empty, by_partition
+from clickmill.sources.writers import bootstrap_if_empty, by_partition, write_log
 from clickmill.streaming import compaction, ingest_stream, kpi_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -103,7 +103,8 @@ def batch_high_mark(spark, sf_dir):
 
 
 def _sink_rows(spark: SparkSession, events: DataFrame, sf_dir: str) -> DataFrame:
-    return rows_of(stage_partials(events, scratch_dir(spark, "batch")), sample.jobs(spark, sf_dir))
+    partials = stage_partials(events, scratch_dir(spark, "batch"))
+    return rows_of(partials, sample.jobs(spark, sf_dir))
 
 
 def sink_rows(spark, sf_dir):
@@ -128,18 +129,11 @@ def late_events(spark, sf_dir):
     return track.late_events(arrivals, F.col("high_mark"))
 
 
-def _log_by(column: str, days: Column, spark: SparkSession, sf_dir: str) -> tuple[str, StructType]:
-    """The log written by day, as it would be kept or arrive: its place and schema."""
-    path = scratch_dir(spark, "log")
-    log = sample.tracking(spark, sf_dir).withColumn(column, F.to_date(days))
-    by_partition(log, column).write.partitionBy(column).parquet(path)
-    return path, log.schema
-
-
 def incremental_run(spark, sf_dir):
     """Two runs over a log kept by event date, the second when all events have arrived."""
-    path, schema = _log_by(track.LOG_DATE, F.col("ts"), spark, sf_dir)
-    log, jobs = spark.read.schema(schema).parquet(path), sample.jobs(spark, sf_dir)
+    path, jobs = scratch_dir(spark, "log"), sample.jobs(spark, sf_dir)
+    write_log(sample.tracking(spark, sf_dir), path)
+    log = spark.read.parquet(path)
     sink = scratch_dir(spark, "sink")
     for events in (_arrived(log, early=True), track.tracking_events(log)):
         run_incremental(events, jobs, parquet_sink(spark, sink))
@@ -153,8 +147,10 @@ def incremental_run(spark, sf_dir):
 
 
 def kpi_merged(spark, sf_dir):
-    batches = [kpis.hourly_partials(_arrived(sample.tracking(spark, sf_dir), early)) for early in (True, False)]
-    return reports.kpi_merged(batches[0].unionByName(batches[1]))
+    """Partials of two batches, added up."""
+    log = sample.tracking(spark, sf_dir)
+    first, second = (kpis.hourly_partials(_arrived(log, early)) for early in (True, False))
+    return reports.kpi_merged(first.unionByName(second))
 
 
 def kpi_by_job_day(spark, sf_dir):
@@ -174,8 +170,10 @@ def kpi_by_campaign(spark, sf_dir):
 
 def _streamed_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The log as it would arrive: landed by day of arrival, several micro-batches long."""
-    path, schema = _log_by("arrival_date", F.col("arrived_at"), spark, sf_dir)
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 8).parquet(path)
+    path = scratch_dir(spark, "log")
+    log = sample.tracking(spark, sf_dir).withColumn("arrival_date", F.to_date("arrived_at"))
+    by_partition(log, "arrival_date").write.partitionBy("arrival_date").parquet(path)
+    return spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 8).parquet(path)
 
 
 def stream_kpis(spark, sf_dir):

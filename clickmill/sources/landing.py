@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from clickmill.functions.time_uuid import utc_date
 from clickmill.operators.ingest import ACCEPTED, classify
-from clickmill.operators.tracking import LOG_DATE
+from clickmill.operators.tracking import LOG_DATE, LOG_TIME
 from clickmill.schemas import struct
 from clickmill.sources.writers import by_partition
 
@@ -15,7 +15,7 @@ PARTITIONS = ["status", LOG_DATE]
 LANDED = struct(
     "create_time string, bid int, campaign_id int, custom_track string, group_id int, "
     "job_id int, publisher_id int, ts string, raw string, reason string, "
-    f"status string, {LOG_DATE} date"
+    f"{LOG_TIME} timestamp, status string, {LOG_DATE} date"
 )
 
 
@@ -23,13 +23,14 @@ def to_landed(payloads: DataFrame, raw: Column, arrived_at: Column, identity: Co
     """Classified payloads as they are landed, of a batch or of a stream.
 
     Both sides go to one table partitioned by status and event date: readers of either, and of a
-    range of dates, skip the rest, and a date is always that of the id minted with it.
+    range of dates, skip the rest. Time and date are those of the id minted with them.
     """
     fine = F.col("reason").isNull()
     return classify(payloads, raw, arrived_at, identity).select(
         *ACCEPTED,
         F.when(~fine, F.col("raw")).alias("raw"),
         "reason",
+        F.date_trunc("second", "arrived_at").alias(LOG_TIME),
         F.when(fine, F.lit("accepted")).otherwise(F.lit("rejected")).alias("status"),
         utc_date(F.col("arrived_at")).alias(LOG_DATE),
     )
@@ -56,8 +57,8 @@ def _read(spark: SparkSession, path: str, stream: bool, status: str) -> DataFram
 
 
 def read_log(spark: SparkSession, path: str, stream: bool = False) -> DataFrame:
-    """The accepted events, with their date for pruning; the KPI stream's source."""
-    return _read(spark, path, stream, "accepted").select(*ACCEPTED, LOG_DATE)
+    """The accepted events, with their time and date; the KPI stream's source."""
+    return _read(spark, path, stream, "accepted").select(*ACCEPTED, LOG_TIME, LOG_DATE)
 
 
 def read_refused(spark: SparkSession, path: str, stream: bool = False) -> DataFrame:

@@ -7,9 +7,9 @@ import datetime as dt
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, StructField, StructType
+from pyspark.sql.types import DateType, StructField, StructType, TimestampType
 
-from clickmill.operators.tracking import LOG_DATE
+from clickmill.operators.tracking import LOG_DATE, LOG_TIME
 from clickmill.schemas import FIRST_WATERMARK, JOB, PUBLISHER, TRACKING
 
 # Formats that take a schema at read time; the others bring their own.
@@ -31,12 +31,12 @@ def read_table(
 
 
 def read_events(
-    spark: SparkSession, fmt: str = "parquet", stream: bool = False, by_date: bool = False,
+    spark: SparkSession, fmt: str = "parquet", stream: bool = False, kept: bool = False,
     **options: str,
 ) -> DataFrame:
-    """The raw event log, as a batch or a stream; ``by_date`` if partitioned by event date."""
-    dated = [StructField(LOG_DATE, DateType())] if by_date else []
-    schema = StructType(TRACKING.fields + dated)
+    """The raw event log, as a batch or a stream; ``kept`` if ``write_log`` wrote it."""
+    times = [StructField(LOG_TIME, TimestampType()), StructField(LOG_DATE, DateType())]
+    schema = StructType(TRACKING.fields + (times if kept else []))
     return read_table(spark, fmt, schema, stream, **options)
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from clickmill.operators.enrich import to_sink_types
+from clickmill.operators.tracking import LOG_DATE, with_event_time
 from clickmill.sources.readers import read_if_present
 
 
@@ -18,6 +19,15 @@ def by_partition(df: DataFrame, *columns: str) -> DataFrame:
     return df.hint("rebalance", *columns)
 
 
+def write_log(log: DataFrame, path: str) -> None:
+    """Append raw events to a log kept with their event times and partitioned by date.
+
+    Later reads skip dates, row groups and the ids themselves.
+    """
+    timed = by_partition(with_event_time(log), LOG_DATE)
+    timed.write.mode("append").partitionBy(LOG_DATE).parquet(path)
+
+
 def append_kpis(rows: DataFrame, path: str) -> None:
     """Append sink rows to a parquet table partitioned by date."""
     typed = by_partition(to_sink_types(rows), "dates")

@@ -3,12 +3,14 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from clickmill.operators import kpis
 from clickmill.operators.tracking import LOG_DATE, incremental_slice, tracking_events
 from clickmill.plans.incremental import run_incremental
 from clickmill.schemas import FIRST_WATERMARK, HOURLY_KPI
-from clickmill.sources.readers import read_if_present, sink_watermark, watermark_value
+from clickmill.sources.readers import read_events, read_if_present, sink_watermark, watermark_value
 from clickmill.sources.sinks import parquet_sink
-from tests.helpers import at, event
+from clickmill.sources.writers import write_log
+from tests.helpers import at, event, rows
 
 
 @pytest.fixture
@@ -79,25 +81,27 @@ def test_only_a_missing_sink_gives_the_first_watermark(spark, sink):
         read_if_present(spark, "nosuchscheme://x/y", HOURLY_KPI)
 
 
-def test_a_log_kept_by_date_is_pruned(spark, log, tmp_path):
-    path = str(tmp_path / "log")
-    raw = log(*[event(at(d, 8)) for d in (1, 2, 3)])
-    dates = tracking_events(raw).select("create_time", F.to_date("ts").alias(LOG_DATE))
-    dated = raw.join(dates, "create_time")
-    dated.write.partitionBy(LOG_DATE).parquet(path)
-    fresh = incremental_slice(tracking_events(spark.read.parquet(path)), "2024-03-02 08:00:00")
-    assert fresh.count() == 2
-    plan = fresh._jdf.queryExecution().executedPlan().toString()
-    filters = plan.split("PartitionFilters: [")[1].split("], PushedFilters")[0]
-    assert LOG_DATE in filters
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_kept_log_is_pruned_by_date_and_time_and_its_ids_are_not_read(spark, log, tmp_path):
+    path, mark = str(tmp_path / "log"), "2024-03-02 08:00:00"
+    raw = log(*[event(at(d, 8)) for d in (1, 2, 3)], event(at(2, 7)), event(at(3, 8)) | {"create_time": "x"})
+    write_log(raw, path)
+    events = tracking_events(read_events(spark, kept=True, path=path))
+    fresh = incremental_slice(events, mark)
+    assert rows(fresh.drop(LOG_DATE)) == rows(incremental_slice(tracking_events(raw), mark))
     assert len({r.f for r in fresh.select(F.input_file_name().alias("f")).collect()}) == 2
+    plan = _plan(kpis.hourly_kpis(fresh))
+    assert LOG_DATE in plan.split("PartitionFilters: [")[1].split("], PushedFilters")[0]
+    assert "GreaterThanOrEqual(event_time" in plan and "create_time" not in plan
+    assert rows(kpis.hourly_kpis(events)) == rows(kpis.hourly_kpis(tracking_events(raw)))
 
 
 def test_pruning_goes_by_utc_dates_in_any_session_zone(spark, log, tmp_path, zone):
     path = str(tmp_path / "log")
-    raw = log(event(at(1, 20)), event(at(1, 23)), event(at(2, 1)))
-    dates = tracking_events(raw).select("create_time", F.to_date("ts").alias(LOG_DATE))
-    raw.join(dates, "create_time").write.partitionBy(LOG_DATE).parquet(path)
+    write_log(log(event(at(1, 20)), event(at(1, 23)), event(at(2, 1))), path)
     zone("Asia/Tokyo")
     fresh = incremental_slice(tracking_events(spark.read.parquet(path)), "2024-03-02 05:00:00")
     assert fresh.count() == 3
