@@ -26,45 +26,53 @@ def _split_hours(df: DataFrame) -> DataFrame:
     return df.withColumns({"date": date_of(hours), "hour": hour_of(hours)}).drop("hours")
 
 
-def _by_grain(events: DataFrame, hours: Column, *measures: Column) -> DataFrame:
-    """Aggregate per grain key; an hour is grouped as one number and split up afterwards.
+def _by_hour(events: DataFrame, hours: Column, *measures: Column) -> DataFrame:
+    """Aggregate per grain key, with the hour as one number; ``_split_hours`` takes it apart.
 
     Events without a time form groups without a newest time. They are left out only here, as a
     filter on each event would decode its id twice.
     """
     grouped = events.withColumn("hours", hours).groupBy(*IDS, "hours")
-    summed = grouped.agg(*measures, F.max("ts").alias("max_ts"))
-    return _split_hours(summed.filter(F.col("max_ts").isNotNull()))
+    return grouped.agg(*measures, F.max("ts").alias("max_ts")).filter(F.col("max_ts").isNotNull())
 
 
-def _of_kind(events: DataFrame, kind: str) -> DataFrame:
-    return fill_ids(events.filter(F.col("custom_track") == kind))
+def _of_kind(events: DataFrame, kind: str, *measures: Column) -> DataFrame:
+    filled = fill_ids(events.filter(F.col("custom_track") == kind))
+    return _by_hour(filled, gregorian_hours(F.col("ts")), *measures).drop("max_ts")
 
 
-def clicks_hourly(events: DataFrame) -> DataFrame:
-    """Clicks, mean bid and spend per grain key; a missing bid counts as 0."""
+def _clicks(events: DataFrame) -> DataFrame:
     bid = F.coalesce(F.col("bid"), F.lit(0))
-    per_hour = _by_grain(
-        _of_kind(events, "click"), gregorian_hours(F.col("ts")),
+    return _of_kind(
+        events, "click",
         F.round(F.avg(bid), 2).alias("bid_set"),
         F.count(F.lit(1)).alias("clicks"),
         F.round(F.sum(bid), 2).alias("spend_hour"),
     )
-    return per_hour.select(*GRAIN, "bid_set", "clicks", "spend_hour")
+
+
+def _count(events: DataFrame, kind: str) -> DataFrame:
+    return _of_kind(events, kind, F.count(F.lit(1)).alias(KINDS[kind]))
+
+
+def clicks_hourly(events: DataFrame) -> DataFrame:
+    """Clicks, mean bid and spend per grain key; a missing bid counts as 0."""
+    return _split_hours(_clicks(events)).select(*GRAIN, "bid_set", "clicks", "spend_hour")
 
 
 def kind_hourly(events: DataFrame, kind: str) -> DataFrame:
     """Number of events of one kind per grain key."""
-    count = F.count(F.lit(1)).alias(KINDS[kind])
-    per_hour = _by_grain(_of_kind(events, kind), gregorian_hours(F.col("ts")), count)
-    return per_hour.select(*GRAIN, KINDS[kind])
+    return _split_hours(_count(events, kind)).select(*GRAIN, KINDS[kind])
 
 
 def hourly_kpis_join(events: DataFrame) -> DataFrame:
-    """All KPIs as four aggregates joined in full; the same rows as ``hourly_kpis``, for checking."""
-    branches = [clicks_hourly(events)] + [kind_hourly(events, k) for k in KINDS if k != "click"]
-    joined = reduce(lambda left, right: left.join(right, GRAIN, "full"), branches)
-    return joined.select(*GRAIN, *MEASURES)
+    """All KPIs as four aggregates joined in full; the same rows as ``hourly_kpis``, for checking.
+
+    Joined on the columns grouped by, so that the aggregates' partitioning serves the joins.
+    """
+    branches = [_clicks(events)] + [_count(events, k) for k in KINDS if k != "click"]
+    joined = reduce(lambda left, right: left.join(right, [*IDS, "hours"], "full"), branches)
+    return _split_hours(joined).select(*GRAIN, *MEASURES)
 
 
 def hourly_partials(events: DataFrame, carry_other_kinds: bool = False) -> DataFrame:
@@ -81,12 +89,12 @@ def hourly_partials(events: DataFrame, carry_other_kinds: bool = False) -> DataF
         hours = F.when(known, hours)
     else:
         filled = fill_ids(events.filter(known))
-    partials = _by_grain(
+    partials = _by_hour(
         filled, hours,
         *[F.count_if(kind == k).alias(name) for k, name in KINDS.items()],
         F.sum(F.when(kind == "click", F.coalesce(F.col("bid"), F.lit(0)))).alias("bid_sum"),
     )
-    return partials.select(*PARTIAL_COLUMNS)
+    return _split_hours(partials).select(*PARTIAL_COLUMNS)
 
 
 def merge_partials(partials: DataFrame) -> DataFrame:
