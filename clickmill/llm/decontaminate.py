@@ -100,7 +100,7 @@ def _bound(tokens, suffixes, low, high, depth, wanted, after: bool) -> np.ndarra
         if not live.any():
             return low
         middle = (low + high) // 2
-        word = tokens[suffixes[np.where(live, middle, 0)] + depth]
+        word = tokens[np.minimum(suffixes[np.where(live, middle, 0)] + depth, len(tokens) - 1)]
         right = live & ((word <= wanted) if after else (word < wanted))
         low = np.where(right, middle + 1, low)
         high = np.where(live & ~right, middle, high)
