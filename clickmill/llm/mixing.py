@@ -170,7 +170,7 @@ def _parts() -> tuple[Column, Column]:
 
     Exact thirds and wholes come out a rounding error off; those count as whole.
     """
-    expected = F.col("target") / F.col("source_size")
+    expected = F.coalesce(F.try_divide("target", "source_size"), F.lit(0.0))
     near = F.round(expected)
     whole = F.when(F.abs(expected - near) < 1e-9, near).otherwise(F.floor(expected))
     return whole, F.greatest(F.lit(0.0), expected - whole)

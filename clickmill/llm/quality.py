@@ -54,9 +54,11 @@ def _powers() -> tuple[np.ndarray, np.ndarray]:
 _POWERS: list[tuple[np.ndarray, np.ndarray]] = []
 
 
-def _buckets(chars: np.ndarray, settings: Settings) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _buckets(chars: np.ndarray, texts: np.ndarray, settings: Settings) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Places and buckets of the features of a block of characters, one kind after the other.
 
+    ``texts`` are the places where its texts start.
+
     The block starts and ends with a space. A word is its characters between spaces, a pair the
     next two words; an n-gram may begin or end with a space, which marks the word's edge, but has
     none inside.
@@ -74,7 +76,9 @@ def _buckets(chars: np.ndarray, settings: Settings) -> Iterator[tuple[np.ndarray
     words = (total[ends] - total[starts]) * downs[starts] * MIX
     yield starts, words >> shift
     # A pair of words is the difference of their hashes: a word said twice is the same for all words.
-    yield starts[1:], ((words[1:] - words[:-1]) * PRIME) >> shift
+    owner = np.searchsorted(texts, starts, "right")
+    pair = np.flatnonzero(owner[1:] == owner[:-1])
+    yield starts[pair + 1], ((words[pair + 1] - words[pair]) * PRIME) >> shift
     rolled, inside = wide, np.ones(len(chars), bool)
     for n in range(2, max(settings.grams) + 1):
         rolled = rolled[:-1] * PRIME + wide[n - 1:]
@@ -123,8 +127,8 @@ def _joined(parts: list[str]) -> np.ndarray:
 def features(text: str, settings: Settings) -> tuple[np.ndarray, np.ndarray]:
     """Distinct buckets of a text and how often each occurs."""
     counts = np.zeros(1 << settings.buckets_log2, np.int64)
-    for chars, _, _ in _blocks([text]):
-        for _, buckets in _buckets(chars, settings):
+    for chars, _, starts in _blocks([text]):
+        for _, buckets in _buckets(chars, starts, settings):
             counts += np.bincount(buckets.astype(np.int64), minlength=len(counts))
     found = np.flatnonzero(counts)
     return found, counts[found]
@@ -133,7 +137,7 @@ def features(text: str, settings: Settings) -> tuple[np.ndarray, np.ndarray]:
 def logits(texts: list[str], model: Model) -> np.ndarray:
     sums, counts = np.zeros(len(texts)), np.zeros(len(texts))
     for chars, owners, starts in _blocks(texts):
-        for at, buckets in _buckets(chars, model.settings):
+        for at, buckets in _buckets(chars, starts, model.settings):
             summed = np.concatenate(([0.0], np.cumsum(model.weights[buckets.astype(np.int64)], dtype=np.float64)))
             # A text's features start at its leading space or later.
             first = np.searchsorted(at, starts - 1)

@@ -102,8 +102,9 @@ def count_tokens(docs: DataFrame, cache_path: str, path: str | None = None, limi
     first = keyed.alias("k").join(
         misses.alias("m"),
         F.col("k.doc_id").eqNullSafe(F.col("m.doc_id")) & (F.col("k.content") == F.col("m.content")), "left_semi")
+    # Rows that agree in id and text are encoded once each, and stored once.
     coded = first.select("content", "text").mapInArrow(_encode(path, version), CACHE_SCHEMA)
-    coded.write.mode("append").parquet(cache_path)
+    coded.groupBy("content", "version").agg(F.max("n_tokens").alias("n_tokens")).write.mode("append").parquet(cache_path)
     return sizes.join(stored(), "content").select(
         "doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
 

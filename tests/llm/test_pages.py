@@ -1,0 +1,77 @@
+import pytest
+
+from clickmill.llm import pages
+
+
+def page(title, body, extra=""):
+    return (
+        f"<!DOCTYPE html><html><head><title>{title}</title><script>var a='</p>';</script></head><body>"
+        f"<nav><ul><li><a href='/x'>{title} menu</a></li></ul></nav><div class='ad'>buy {title}</div>"
+        f"<article><h1>{title}</h1>{body}</article>{extra}<footer>&copy; us {title}</footer></body></html>")
+
+
+def test_article_of_one_page():
+    html = page("A &amp; B", "<p><b>one  two<br><p>three\n<i>four</i>five</p><ul><li>six<li>seven</ul>",
+                "<section id=comments><article class=comment><p>first!</p></article></section>")
+    assert pages.extract(html, None) == "A & B\none two\nthree fourfive\nsix\nseven"
+
+
+@pytest.mark.parametrize("html, text", [
+    ("", ""), ("plain text", "plain text"), ("<p>a<p>b", "a\nb"), ("<p>1 < 2 &lt; 3&nbsp;&#233;", "1 < 2 < 3 é"),
+    ("<!-- x --><p>a<!-- <p>b --></p>", "a"), ("<div><form>name</form><aside>s</aside>t</div>", "t"),
+    ("<style>p{}</style><noscript>n</noscript><p>ok", "ok"), ("<p title='a>b'>x</p", "x"), ("<p>open <a href=\"x", "open"),
+    ("<div class='cookie-notice'>c</div><div role=navigation>n</div><main>m</main><div>o</div>", "m"),
+    ("<table><tr><td>a<td>b<tr><td>c</table>", "a\nb\nc"), ("<article><p>a</article><p>b", "a"),
+])
+def test_single_pages(html, text):
+    assert pages.extract(html, None) == text
+
+
+def test_deep_nesting():
+    assert pages.extract("<div>" * 5000 + "x" + "</div>" * 5000 + "<p>y", None) == "x\ny"
+
+
+def induced(htmls):
+    whole = pages.wrapper_of(pages.parse(htmls[0])[0])
+    for h in htmls[1:]:
+        whole = pages.merge(whole, pages.wrapper_of(pages.parse(h)[0]))
+    return pages.compile_wrapper(whole)
+
+
+def test_wrapper_tells_template_from_content():
+    """No page says what its article is; constant nodes and thin varying ones are left out."""
+    make = lambda i: (
+        f"<body><div class=top>Our paper</div>{'<div class=extra>now and then</div>' if i % 3 == 0 else ''}"
+        f"<div class=box><div class=story><h2>Title {i}</h2><div class=tools>Print this page</div>"
+        + "".join(f"<p>{i} paragraph {k} " + "words " * 30 + "</p>" for k in range(1 + i % 4))
+        + f"</div></div><div class=date>day {i}</div></body>")
+    htmls = [make(i) for i in range(30)]
+    rules = induced(htmls)
+    for i, h in enumerate(htmls):
+        lines = pages.extract(h, rules).split("\n")
+        assert lines[0] == f"Title {i}" and len(lines) == 2 + i % 4
+        assert all(x.startswith(f"{i} paragraph") for x in lines[1:])
+
+
+def test_simple_tree_matching():
+    leaf = lambda label, *kids: [label, 1, 0, False, 0, list(kids)]
+    one = leaf("r", leaf("a", leaf("x"), leaf("y")), leaf("b"), leaf("d"))
+    two = leaf("r", leaf("a", leaf("y")), leaf("c"), leaf("d"))
+    assert pages._weight(one, two) == 4
+    merged = pages.merge(one, two)
+    assert [k[0] for k in merged[-1]] in (["a", "b", "c", "d"], ["a", "c", "b", "d"])
+    assert [k[1] for k in merged[-1][0][-1]] == [1, 2]
+
+
+def test_extraction_over_hosts_and_odd_rows(spark):
+    rows = [(i, f"https://h{i % 3}.example.com/{i}", page(f"T{i}", f"<p>text {i}</p>"), "x") for i in range(60)]
+    rows += [(100, None, page("N", "<p>n</p>"), "x"), (101, "no url", "<p>bare", "x"), (102, "https://h0.example.com/", None, "x"),
+             (None, "https://h0.example.com/", "", "x"), (5, "https://h2.example.com/5", page("T5", "<p>text 5</p>"), "x")]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string, text string").repartition(5)
+    for limit in (1 << 20, 0):
+        found = pages.extract_pages(frame, limit)
+        assert found.columns == ["page_id", "url", "text", "n_chars"]
+        got = sorted((r["page_id"] if r["page_id"] is not None else -1, r["text"]) for r in found.collect())
+        expected = [(i, f"T{i}\ntext {i}") for i in range(60)] + [(5, "T5\ntext 5"), (100, "N\nn"), (101, "bare"), (102, ""), (-1, "")]
+        assert got == sorted(expected)
+    assert pages.extract_pages(frame.limit(0)).collect() == []
