@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickmill.llm.common import held_out, labelled_sample, text_rows
+from clickmill.llm.common import held_out, labelled_ids, text_rows
 
 BLOCK = 1 << 19  # characters hashed at once
 PRIME = np.uint64(0x9E3779B97F4A7C15)
@@ -210,7 +210,9 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -
         yield pa.RecordBatch.from_pydict({
             "weights": pa.array([model.weights.tobytes()], pa.binary()), "bias": [model.bias]})
 
-    sample = labelled_sample(docs.select("doc_id", "text"), labels, settings.sample_rows)
+    # Of several texts of one id the least stands for it, so that the bound holds.
+    sample = docs.select("doc_id", "text").join(labelled_ids(labels, settings.sample_rows), "doc_id").groupBy(
+        "doc_id", "label").agg(F.min("text").alias("text"))
     counts = sample.select("doc_id", "label", "text").mapInArrow(
         counted, "doc_id bigint, label int, buckets array<int>, counts array<int>")
     row = counts.coalesce(1).mapInArrow(trained, "weights binary, bias double").first()

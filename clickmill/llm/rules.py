@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickmill.llm.common import SPACES, held_out, kept, text_rows
+from clickmill.llm.common import SPACES, kept, labelled_ids, text_rows
 
 SYMBOLS = "#*$%&|<>"
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_upper", "n_marks", "n_digits")
@@ -171,21 +171,16 @@ def learn(values: dict[str, np.ndarray], bad: np.ndarray, settings: Settings = S
 
 
 def labelled_statistics(stats: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
-    """At most ``rows`` rows of statistics with a label that is not held out, by hash of the id."""
-    known = (
-        labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-        .groupBy("doc_id").agg(F.min("quality").alias("label"))
-    )
+    """At most ``rows`` rows of shares with a label that is not held out, one for each id."""
     shares = [F.expr(sql).alias(name) for name, sql in FEATURES.items()]
-    return (
-        stats.join(known, "doc_id").select("doc_id", "label", *shares)
-        .orderBy(F.xxhash64("doc_id"), "doc_id", *FEATURES).limit(rows)
-    )
+    found = stats.join(labelled_ids(labels, rows), "doc_id").groupBy("doc_id", "label").agg(
+        F.min(F.struct(*shares)).alias("shares"))
+    return found.select("doc_id", "label", "shares.*")
 
 
 def fit(stats: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> list[Rule]:
     """Learn a list from statistics and labels; rows of at most ``sample_rows`` numbers are collected."""
-    sample = labelled_statistics(stats, labels, settings.sample_rows).toPandas()
+    sample = labelled_statistics(stats, labels, settings.sample_rows).toPandas().sort_values("doc_id", ignore_index=True)
     values = {name: sample[name].to_numpy(float) for name in FEATURES}
     return learn(values, sample["label"].to_numpy() == 0, settings)
 
