@@ -17,7 +17,9 @@ from clickmill.llm.common import kept, text_rows
 from clickmill.session import scratch_dir
 
 CACHE_SCHEMA = "content binary, version binary, n_tokens bigint"
-ROWS_AT_ONCE = 32
+RUNS_AT_ONCE = 4096
+SHORT = 64
+REMEMBERED = 300_000
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -32,12 +34,14 @@ def tokenizer_version(path: str) -> bytes:
         return hashlib.sha256(file.read()).digest()
 
 
-def content_digest(text: Column) -> Column:
-    """Digest of the text with runs of ASCII white space as one space, none at the ends.
+def content_digest(text: Column, parts_at_space: bool = True) -> Column:
+    """Digest of the text, null as the empty one.
 
-    The tokenizer drops white space and only cuts at it, so texts equal in this form have equal
-    counts. A null text is the empty one.
+    If the tokenizer drops white space and only cuts at it, runs of ASCII white space count as one
+    space and those at the ends as none: texts equal in this form have equal counts.
     """
+    if not parts_at_space:
+        return F.unhex(F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256))
     flat = F.regexp_replace(F.coalesce(text, F.lit("")), r"[ \t\n\x0B\f\r]+", " ")
     return F.unhex(F.sha2(F.trim(flat).cast("binary"), 256))
 
@@ -51,22 +55,54 @@ def open_cache(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(CACHE_SCHEMA).parquet(path)
 
 
-def _encode(path: str, version: bytes):
-    loaded = []
+class Counter:
+    """Token counts of texts, each distinct run of other than ASCII white space encoded once.
+
+    The tokenizer turns white space into spaces and never joins what they part, so the count of a
+    text is the sum over such runs, special strings included. Runs up to ``SHORT`` bytes are
+    remembered, at most ``REMEMBERED`` at a time.
+    """
+
+    def __init__(self, path: str, parts_at_space: bool = True) -> None:
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.parts_at_space = parts_at_space
+        self.known: dict[bytes, int] = {}
+
+    def counts(self, texts: list[str]) -> list[int]:
+        raw = [t.encode("utf-8") for t in texts]
+        runs = [t.split() for t in raw] if self.parts_at_space else [[t] for t in raw]
+        missing = list({run for text in runs for run in text} - self.known.keys())
+        fresh = {}
+        for start in range(0, len(missing), RUNS_AT_ONCE):
+            part = missing[start:start + RUNS_AT_ONCE]
+            coded = self.tokenizer.encode_batch_fast([r.decode("utf-8") for r in part], add_special_tokens=False)
+            fresh.update(zip(part, map(len, coded), strict=True))
+        if len(self.known) > REMEMBERED:
+            found = [[self.known[r] if r in self.known else fresh[r] for r in text] for text in runs]
+            self.known = {}
+        else:
+            self.known.update(fresh)
+            found = [map(self.known.__getitem__, text) for text in runs]
+        out = [sum(f) for f in found]
+        for run in fresh:
+            if len(run) > SHORT:
+                self.known.pop(run, None)
+        return out
+
+
+def _encode(path: str, version: bytes, parts_at_space: bool):
+    counter = []
 
     def encode(batches):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        if not loaded:
-            loaded.append(Tokenizer.from_file(path))
+        if not counter:
+            counter.append(Counter(path, parts_at_space))
         for part, texts in text_rows(batches):
-            counts = []
-            for start in range(0, len(texts), ROWS_AT_ONCE):
-                coded = loaded[0].encode_batch_fast(texts[start:start + ROWS_AT_ONCE], add_special_tokens=False)
-                counts += [len(c) for c in coded]
+            counts = counter[0].counts(texts)
             yield pa.RecordBatch.from_arrays(
                 [part.column("content"), pa.array([version] * len(counts), pa.binary()),
                  pa.array(counts, pa.int64())],
@@ -75,11 +111,13 @@ def _encode(path: str, version: bytes):
     return encode
 
 
-def count_tokens(docs: DataFrame, cache_path: str, path: str | None = None, limit: int = 2048) -> DataFrame:
+def count_tokens(docs: DataFrame, cache_path: str, path: str | None = None, limit: int = 2048,
+                 parts_at_space: bool = True) -> DataFrame:
     """``doc_id, n_bytes, n_tokens, over_limit`` for every row of ``docs`` (``doc_id, text``).
 
-    The counts are those of the tokenizer file at ``path`` without added special tokens; special
-    strings inside a text are handled as the library does by default. Null texts are empty and
+    The counts are those of the tokenizer file at ``path`` without added special tokens.
+    ``parts_at_space`` says that it drops white space and only cuts at it, as the given one does.
+    Special strings inside a text are handled as the library does by default. Null texts are empty and
     have no tokens. Null and repeated ids, repeated rows and empty tables need nothing special;
     other columns are not read. Counts missing in the cache at ``cache_path`` are appended to it;
     two runs appending the same count do no harm, as the cache is read as one count per key.
@@ -87,8 +125,10 @@ def count_tokens(docs: DataFrame, cache_path: str, path: str | None = None, limi
     spark = docs.sparkSession
     path = path or tokenizer_path()
     version = tokenizer_version(path)
+    if not parts_at_space:
+        version = hashlib.sha256(version).digest()  # other digests of contents, so other keys
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    keyed = texts.withColumn("content", content_digest(F.col("text")))
+    keyed = texts.withColumn("content", content_digest(F.col("text"), parts_at_space))
     sizes = kept(keyed.select("doc_id", "content", F.octet_length("text").cast("bigint").alias("n_bytes")), "token-keys")
 
     def stored() -> DataFrame:
@@ -103,7 +143,7 @@ def count_tokens(docs: DataFrame, cache_path: str, path: str | None = None, limi
         misses.alias("m"),
         F.col("k.doc_id").eqNullSafe(F.col("m.doc_id")) & (F.col("k.content") == F.col("m.content")), "left_semi")
     # Rows that agree in id and text are encoded once each, and stored once.
-    coded = first.select("content", "text").mapInArrow(_encode(path, version), CACHE_SCHEMA)
+    coded = first.select("content", "text").mapInArrow(_encode(path, version, parts_at_space), CACHE_SCHEMA)
     coded.groupBy("content", "version").agg(F.max("n_tokens").alias("n_tokens")).write.mode("append").parquet(cache_path)
     return sizes.join(stored(), "content").select(
         "doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))

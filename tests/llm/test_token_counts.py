@@ -15,8 +15,8 @@ def docs(spark):
     return spark.createDataFrame([(i, t, 0) for i, t in TEXTS], "doc_id long, text string, n_tokens int")
 
 
-def expected():
-    t = Tokenizer.from_file(tc.tokenizer_path())
+def expected(path=None):
+    t = Tokenizer.from_file(path or tc.tokenizer_path())
     out = []
     for i, x in TEXTS:
         n = len(t.encode(x or "", add_special_tokens=False))
@@ -54,9 +54,20 @@ def test_a_stored_count_is_used(spark, docs, tmp_path):
 def test_another_tokenizer_file_shares_nothing(spark, docs, tmp_path):
     cache = str(tmp_path / "c")
     tc.count_tokens(docs, cache).collect()
-    tc.count_tokens(docs, cache, tc.tokenizer_path("byte_bpe_50k.json")).collect()
+    other = tc.tokenizer_path("byte_bpe_50k.json")
+    found = tc.count_tokens(docs, cache, other, parts_at_space=False)
+    assert sorted(map(tuple, found.collect()), key=repr) == expected(other)
     assert spark.read.parquet(cache).select("version").distinct().count() == 2
 
 
 def test_empty_table(spark, docs, tmp_path):
     assert tc.count_tokens(docs.limit(0), str(tmp_path / "c")).collect() == []
+
+
+def test_a_full_memory_and_long_runs_change_nothing(monkeypatch):
+    monkeypatch.setattr(tc, "REMEMBERED", 3)
+    monkeypatch.setattr(tc, "SHORT", 4)
+    t, counter = Tokenizer.from_file(tc.tokenizer_path()), tc.Counter(tc.tokenizer_path())
+    texts = ["a b c d e", "a lengthyword b", "f g h i a", "", "a lengthyword lengthyword é1\x1cx"] * 2
+    assert [counter.counts([x])[0] for x in texts] == [len(t.encode(x, add_special_tokens=False)) for x in texts]
+    assert not any(len(r) > 4 for r in counter.known)
