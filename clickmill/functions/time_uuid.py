@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -60,6 +63,28 @@ def utc_hour(ts: Column) -> Column:
     return hour_of(gregorian_hours(ts))
 
 
+def utc_text(ts: Column) -> Column:
+    """``yyyy-MM-dd HH:mm:ss`` in UTC, whatever the session's time zone."""
+    seconds = F.unix_seconds(ts)
+    minute = F.call_function("div", F.pmod(seconds, F.lit(3600)), F.lit(60))
+    text = F.format_string(
+        "%s %02d:%02d:%02d", utc_date(ts).cast("string"), utc_hour(ts), minute, F.pmod(seconds, F.lit(60)))
+    return F.when(ts.isNotNull(), text)
+
+
+def utc_instant(value: int | str | dt.datetime | Column) -> Column:
+    """A moment as a timestamp: microseconds since 1970, a text or a time; UTC if it says no zone."""
+    if isinstance(value, Column):
+        return value.cast("timestamp")
+    if isinstance(value, str):
+        zoned = re.search(r"(Z|[+-]\d\d:?\d\d)$", value.strip())
+        return F.lit(value if zoned else value + "Z").cast("timestamp")
+    if isinstance(value, dt.datetime):
+        aware = value if value.tzinfo else value.replace(tzinfo=dt.timezone.utc)
+        value = (aware - dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc)) // dt.timedelta(microseconds=1)
+    return F.timestamp_micros(F.lit(value).cast("bigint"))
+
+
 def mint_time_uuid(at: Column, identity: Column) -> Column:
     """A version-1 UUID for the instant ``at`` (timestamp) and the bigint ``identity``.
 

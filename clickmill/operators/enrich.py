@@ -67,6 +67,8 @@ def attach(
     """
     if lookup_bytes(lookup) <= broadcast_bytes:
         return facts.join(F.broadcast(lookup), key, "left")
+    if salts == 1:
+        return facts.join(lookup, key, "left")
     salt = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
     spread = lookup.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return facts.withColumn("salt", salt).join(spread, [key, "salt"], "left").drop("salt")
@@ -88,7 +90,10 @@ def sink_rows(
 
 
 def to_sink_types(rows: DataFrame) -> DataFrame:
-    """All sink columns in their declared types and order, with a repeatable surrogate id."""
+    """All sink columns in their declared types and order, with a repeatable surrogate id.
+
+    The id is a hash: among billions of rows some share one. The key is the grain and ``updated_at``.
+    """
     grain = [SINK_NAMES.get(c, c) for c in GRAIN]
     keyed = rows.withColumn("id", F.xxhash64(*grain, "updated_at"))
     return keyed.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in HOURLY_KPI])

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickmill.functions.payload import members, parse_sealed, to_int, to_kind, type_of, unseal
-from clickmill.functions.time_uuid import mint_time_uuid
+from clickmill.functions.time_uuid import mint_time_uuid, utc_text
 
 # Integer members of a payload, in the order they are checked. Those absent are 0,
 # but for the group, which may be absent or null.
@@ -74,5 +74,5 @@ def classify(payloads: DataFrame, raw: Column, arrived_at: Column, identity: Col
         "raw", "arrived_at", *[c for c in ACCEPTED if c not in ("create_time", "ts")],
         _reason().alias("reason"),
         mint_time_uuid(F.col("arrived_at"), F.col("identity")).alias("create_time"),
-        F.date_format("arrived_at", "yyyy-MM-dd HH:mm:ss").alias("ts"),
+        utc_text(F.col("arrived_at")).alias("ts"),
     )

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickmill.operators.enrich import attach
+from clickmill.operators.enrich import SINK_NAMES, attach
 from clickmill.operators.kpis import finish_partials, merge_partials
+from clickmill.schemas import COUNTS, GRAIN
 
 
 def kpi_merged(partials: DataFrame) -> DataFrame:
@@ -14,6 +15,34 @@ def kpi_merged(partials: DataFrame) -> DataFrame:
     return finish_partials(merge_partials(partials))
 
 
+def sink_merged(rows: DataFrame, recounted: DataFrame | None = None) -> DataFrame:
+    """One row per key from sink rows of many runs, each second of events counted once.
+
+    ``recounted`` has the partials of seconds that two runs counted (``Sink.recounted``). Means
+    are money over clicks of the whole hour, not means of means.
+    """
+    keys = [SINK_NAMES.get(c, c) for c in GRAIN]
+    counts = [SINK_NAMES.get(c, c) for c in COUNTS]
+    parts = rows.select(*keys, *counts, "spend_hour", "company_id", "updated_at")
+    if recounted is not None:
+        less = [(-F.col(c)).alias(c) for c in [*counts, "spend_hour"]]
+        parts = parts.unionByName(recounted.select(*keys, *less), allowMissingColumns=True)
+    totals = parts.groupBy(*keys).agg(
+        *[F.nullif(F.sum(c), F.lit(0)).alias(c) for c in counts],
+        F.sum("spend_hour").alias("spend_hour"),
+        F.max("company_id").alias("company_id"), F.max("updated_at").alias("updated_at"),
+    )
+    spend = F.when(F.col("clicks").isNotNull(), F.col("spend_hour"))
+    return totals.withColumns({
+        "bid_set": F.round(F.try_divide(spend, F.col("clicks")), 2), "spend_hour": spend,
+    })
+
+
+def kpis_of_sink(merged: DataFrame) -> DataFrame:
+    """Merged sink rows under the KPIs' own names, for the reports below."""
+    return merged.withColumnsRenamed({sink: name for name, sink in SINK_NAMES.items()})
+
+
 def kpi_by_job_day(kpis: DataFrame) -> DataFrame:
     return kpis.groupBy("job_id", F.col("date").alias("dates")).agg(
         F.sum("clicks").alias("clicks"),
@@ -35,7 +64,8 @@ def kpi_by_publisher(kpis: DataFrame, publishers: DataFrame, **join: int) -> Dat
     )
     names = publishers.select(F.col("id").alias("publisher_id"), "publisher_name")
     rated = totals.withColumn("quality", F.try_divide(F.coalesce("qualified", F.lit(0)), F.col("judged")))
-    return attach(rated.drop("judged"), names, "publisher_id", ["publisher_id"], **join)
+    # One row per publisher, so no key is hot.
+    return attach(rated.drop("judged"), names, "publisher_id", ["publisher_id"], salts=1, **join)
 
 
 def kpi_by_campaign(kpis: DataFrame) -> DataFrame:

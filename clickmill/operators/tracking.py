@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickmill.functions.time_uuid import decode_time_uuid, utc_date
+from clickmill.functions.time_uuid import decode_time_uuid, utc_date, utc_instant
 from clickmill.schemas import EVENT_COLUMNS, IDS
 
 # Columns of a log kept with its event times: the decoded time and its UTC date, a partition.
@@ -34,14 +34,15 @@ def tracking_events(log: DataFrame) -> DataFrame:
 
 
 def incremental_slice(
-    events: DataFrame, watermark: dt.datetime | str | Column, inclusive: bool = True
+    events: DataFrame, watermark: int | dt.datetime | str | Column, inclusive: bool = True
 ) -> DataFrame:
     """Events from the watermark on; events without a time are never in it.
 
-    A watermark given as a value also prunes the partitions of a log kept by event date.
+    A watermark given as a value (microseconds, text or time; UTC) also prunes the partitions of a
+    log kept by event date. Of a raw log every id is decoded, below the filter and above it.
     """
     known = not isinstance(watermark, Column)
-    mark = (F.lit(watermark) if known else watermark).cast("timestamp")
+    mark = utc_instant(watermark)
     fresh = events.filter(F.col("ts") >= mark if inclusive else F.col("ts") > mark)
     if known and LOG_DATE in events.columns:
         fresh = fresh.filter(F.col(LOG_DATE) >= utc_date(mark))
@@ -63,7 +64,7 @@ def filled_events(events: DataFrame) -> DataFrame:
 
 def late_events(arrived: DataFrame, watermark: Column | dt.datetime | str) -> DataFrame:
     """How many events a watermark leaves behind, by kind and whole hours of lateness."""
-    mark = (watermark if isinstance(watermark, Column) else F.lit(watermark)).cast("timestamp")
+    mark = utc_instant(watermark)
     behind = F.unix_seconds(mark) - F.unix_seconds(F.col("ts"))
     hours = F.call_function("div", behind, F.lit(3600))
     return (

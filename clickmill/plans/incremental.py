@@ -4,16 +4,16 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickmill.operators.enrich import company_enriched, sink_rows
+from clickmill.functions.time_uuid import utc_instant
+from clickmill.operators.enrich import SINK_NAMES, company_enriched, sink_rows
 from clickmill.operators.kpis import batch_high_mark, finish_partials, hourly_partials
-from clickmill.operators.tracking import incremental_slice
-from clickmill.schemas import DEFAULT_SOURCE
-from clickmill.session import scratch_dir
-from clickmill.sources.readers import watermark_value
-from clickmill.sources.sinks import Sink
+from clickmill.operators.tracking import LOG_DATE, incremental_slice
+from clickmill.schemas import DEFAULT_SOURCE, TAILS
+from clickmill.session import scratch
+from clickmill.sources.sinks import Run, Sink
 
 
 def stage(df: DataFrame, path: str) -> DataFrame:
@@ -43,20 +43,44 @@ def rows_of(partials: DataFrame, jobs: DataFrame, source: str = DEFAULT_SOURCE)
     return sink_rows(kpis.crossJoin(F.broadcast(mark)), F.col("high_mark"), source)
 
 
+def tails_of(events: DataFrame, mark: int) -> DataFrame:
+    """Partials of the second ``mark`` (microseconds), which an inclusive run counts again."""
+    last = incremental_slice(events, mark).where(F.unix_micros("ts") == mark)
+    named = hourly_partials(last).withColumnsRenamed(SINK_NAMES).withColumnRenamed("bid_sum", "spend_hour")
+    stamped = named.withColumn("updated_at", F.timestamp_micros(F.lit(mark)))
+    return stamped.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in TAILS])
+
+
 def run_incremental(
     events: DataFrame, jobs: DataFrame, sink: Sink, source: str = DEFAULT_SOURCE,
-    inclusive: bool = True, since: dt.datetime | str | None = None,
+    inclusive: bool = True, since: int | dt.datetime | str | None = None,
 ) -> bool:
-    """Append the KPIs of events at or after the sink's watermark; tells whether there were events.
+    """Publish the KPIs of events at or after the sink's mark; tells whether there were events.
+
+    ``events`` come from a log kept by date (``write_log``), so that a run reads the dates and row
+    groups it needs and decodes no id; a raw log is refused. A run that fails leaves nothing to
+    be seen and is simply run again. A run that finds only the newest second of the one before,
+    or no event of a counted kind, leaves the sink as it is.
 
-    As the comparison is inclusive, the last second of a run is read again by the next, and events
-    older than the watermark are never read. ``streaming.kpi_stream`` has neither limit.
+    As the comparison is inclusive, the last second of a run is read again by the next; what is
+    counted twice is kept next to the rows (``reports.sink_merged``). Events older than the mark
+    are never read. ``streaming.kpi_stream`` has neither limit.
     """
-    if since is None:
-        since = watermark_value(sink.updates())
-    fresh = incremental_slice(events, since, inclusive)
-    partials = stage_partials(fresh, scratch_dir(events.sparkSession, "batch"))
-    if partials.isEmpty():
-        return False
-    sink.append(rows_of(partials, jobs, source))
-    return True
+    if LOG_DATE not in events.columns:
+        raise ValueError("bring the log's new events into one kept by date first, with write_log")
+    spark = events.sparkSession
+    with sink.writing(), scratch(spark, "batch") as folder:
+        start = sink.mark() if since is None else _micros(spark, since)
+        fresh = incremental_slice(events, start, inclusive)
+        partials = stage_partials(fresh, f"{folder}/partials")
+        mark = partials.agg(F.max(F.unix_micros("max_ts"))).first()[0]
+        if mark is None:
+            return False
+        if not partials.where(F.col("job_id").isNotNull()).isEmpty():
+            tails = stage(tails_of(events, mark), f"{folder}/tails")
+            sink.publish(Run(rows_of(partials, jobs, source), tails, start, mark, inclusive))
+        return True
+
+
+def _micros(spark: SparkSession, moment: int | dt.datetime | str) -> int:
+    return spark.range(1).select(F.unix_micros(utc_instant(moment))).first()[0]

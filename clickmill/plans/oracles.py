@@ -205,6 +205,28 @@ def _contract() -> str:
     )
 
 
+INCREMENTAL = _with(
+    EVENTS, TABLES, EARLY, MARK,
+    "\nfresh AS (SELECT * FROM tracking WHERE ts >= (SELECT high_mark FROM mark))",
+    _kpis("early", "first_run"), _kpis("fresh", "second_run"),
+) + _sink("first_run", "(SELECT high_mark FROM mark)") + "\nUNION ALL\n" + _sink(
+    "second_run", "(SELECT max(ts) FROM fresh)")
+# Each second once: the first run's events before its mark, and all from the mark on.
+COUNTED = _with(
+    EVENTS, TABLES, EARLY, MARK, """
+counted AS (
+    SELECT * FROM early WHERE ts < (SELECT high_mark FROM mark)
+    UNION ALL SELECT * FROM tracking WHERE ts >= (SELECT high_mark FROM mark)
+)""", _kpis("counted"))
+
+
+def _merged(kpis: str) -> str:
+    return f"""SELECT f.job_id, f.date AS dates, f.hour AS hours, f.publisher_id, j.company_id, f.campaign_id,
+       f.group_id, f.unqualified AS disqualified_application, f.qualified AS qualified_application,
+       f.conversions AS conversion, f.clicks, f.bid_set, f.spend_hour
+FROM {kpis} f LEFT JOIN job j ON j.id = f.job_id"""
+
+
 ORACLES: dict[str, str] = {
     "tracking_events": _with(EVENTS) + f"SELECT {EVENT} FROM tracking",
     "job_dim": _with(TABLES) + "SELECT id AS job_id, company_id, group_id, campaign_id FROM job",
@@ -232,6 +254,10 @@ ORACLES: dict[str, str] = {
         SELECT {", ".join("kpis." + k for k in KEYS)}, bid_set, clicks, spend_hour, conversions,
                qualified, unqualified, company_id
         FROM kpis LEFT JOIN job ON job.id = kpis.job_id""",
+    "company_salted": _with(EVENTS, TABLES, _kpis("tracking")) + f"""
+        SELECT {", ".join("kpis." + k for k in KEYS)}, bid_set, clicks, spend_hour, conversions,
+               qualified, unqualified, company_id
+        FROM kpis LEFT JOIN job ON job.id = kpis.job_id""",
     "batch_high_mark": _with(EVENTS) + "SELECT max(ts) AS high_mark FROM tracking",
     "sink_rows": _with(EVENTS, TABLES, _kpis("tracking"))
         + _sink("kpis", "(SELECT max(ts) FROM tracking)"),
@@ -243,12 +269,34 @@ ORACLES: dict[str, str] = {
         SELECT custom_track, CAST(epoch(high_mark) - epoch(ts) AS BIGINT) // 3600 AS hours_late,
                count(*) AS events
         FROM tracking, mark WHERE arrived_at >= {CUT} AND ts < high_mark GROUP BY ALL""",
-    "incremental_run": _with(
-        EVENTS, TABLES, EARLY, MARK,
-        "\nfresh AS (SELECT * FROM tracking WHERE ts >= (SELECT high_mark FROM mark))",
-        _kpis("early", "first_run"), _kpis("fresh", "second_run"),
-    ) + _sink("first_run", "(SELECT high_mark FROM mark)") + "\nUNION ALL\n"
-      + _sink("second_run", "(SELECT max(ts) FROM fresh)"),
+    "incremental_run": INCREMENTAL,
+    "incremental_retry": INCREMENTAL,
+    "sink_merged": COUNTED + _merged("kpis"),
+    "sink_by_job_day": COUNTED + """SELECT job_id, date AS dates, CAST(sum(clicks) AS BIGINT) AS clicks,
+        CAST(sum(conversions) AS BIGINT) AS conversions, CAST(sum(qualified) AS BIGINT) AS qualified,
+        CAST(sum(unqualified) AS BIGINT) AS unqualified, CAST(sum(spend_hour) AS BIGINT) AS spend
+        FROM kpis GROUP BY ALL""",
+    "sink_by_publisher": COUNTED + """SELECT publisher_id, CAST(sum(clicks) AS BIGINT) AS clicks,
+        CAST(sum(qualified) AS BIGINT) AS qualified, CAST(sum(unqualified) AS BIGINT) AS unqualified,
+        CAST(coalesce(sum(qualified), 0) AS DOUBLE)
+            / nullif(coalesce(sum(qualified), 0) + coalesce(sum(unqualified), 0), 0) AS quality,
+        any_value(publisher_name) AS publisher_name
+        FROM kpis LEFT JOIN publisher ON publisher.id = publisher_id GROUP BY publisher_id""",
+    "sink_by_campaign": COUNTED + """SELECT campaign_id, CAST(sum(clicks) AS BIGINT) AS clicks,
+        CAST(sum(conversions) AS BIGINT) AS conversions, CAST(sum(spend_hour) AS BIGINT) AS spend,
+        CAST(sum(spend_hour) AS DOUBLE) / sum(conversions) AS cost_per_conversion
+        FROM kpis GROUP BY campaign_id""",
+    "stream_sink_rows": _with(EVENTS, TABLES, _kpis("tracking")) + _merged("kpis"),
+    "stream_distinct": KPIS,
+    "ingest_mixed": ACCEPTED,
+    "fractional_bids": _with(EVENTS, """
+priced AS (
+    SELECT job_id, CAST(t.ts AS DATE) AS date, CAST(hour(t.ts) AS INT) AS hour,
+           coalesce(publisher_id, 0) AS publisher_id, coalesce(campaign_id, 0) AS campaign_id,
+           coalesce(group_id, 0) AS group_id, ev.k
+    FROM tracking t JOIN ev USING (event_id) WHERE custom_track = 'click'
+)""") + f"""SELECT {KEY_LIST}, CAST((50 * sum(k) + count(*)) // (2 * count(*)) AS DOUBLE) / 100 AS bid_set,
+        count(*) AS clicks, CAST(sum(k) AS DOUBLE) / 4 AS spend_hour FROM priced GROUP BY ALL""",
     "kpi_merged": KPIS,
     "kpi_by_job_day": _with(EVENTS) + """
         SELECT job_id, CAST(ts AS DATE) AS dates,

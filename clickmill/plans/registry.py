@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,14 +14,14 @@ from clickmill.operators import enrich, kpis, reports
 from clickmill.operators import tracking as track
 from clickmill.operators.ingest import ACCEPTED
 from clickmill.plans.incremental import rows_of, run_incremental, stage_partials
-from clickmill.schemas import HOURLY_KPI, JOB, PUBLISHER, TRACKING
+from clickmill.schemas import JOB, PUBLISHER, TRACKING
 from clickmill.session import scratch_dir
 from clickmill.sources import landing, sample
 from clickmill.sources.contract import schema_contract
 from clickmill.sources.readers import read_if_present, sink_watermark
-from clickmill.sources.sinks import parquet_sink
+from clickmill.sources.sinks import Run, Sink, parquet_sink
 from clickmill.sources.writers import bootstrap_if_empty, by_partition, write_log
-from clickmill.streaming import compaction, ingest_stream, kpi_stream
+from clickmill.streaming import compaction, ingest_stream, kpi_stream, sink_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -68,8 +69,17 @@ def decode_ids(spark, sf_dir):
     return _without_zone(ids.withColumn("ts", decode_time_uuid(F.col("create_time"))), "ts")
 
 
+def _kept_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The event log, decoded once and kept by date."""
+    path = scratch_dir(spark, "log")
+    write_log(sample.tracking(spark, sf_dir), path)
+    return spark.read.parquet(path)
+
+
 def incremental_slice(spark, sf_dir):
-    return _without_zone(track.incremental_slice(_events(spark, sf_dir), sample.CUT), "ts")
+    """Dates and row groups before the watermark are not read."""
+    events = track.tracking_events(_kept_log(spark, sf_dir))
+    return _without_zone(track.incremental_slice(events, sample.CUT).drop(track.LOG_DATE), "ts")
 
 
 # --- aggregates and joins ----------------------------------------------------------------------
@@ -95,6 +105,20 @@ def company_enriched(spark, sf_dir):
     return enrich.company_enriched(hourly_kpis(spark, sf_dir), sample.jobs(spark, sf_dir))
 
 
+def company_salted(spark, sf_dir):
+    """The same where the jobs are too many to broadcast."""
+    return enrich.company_enriched(
+        hourly_kpis(spark, sf_dir), sample.jobs(spark, sf_dir), broadcast_bytes=-1)
+
+
+def fractional_bids(spark, sf_dir):
+    """Clicks priced in quarters; sums of decimals do not depend on the order of events."""
+    raw = sample.events(spark, sf_dir).select("event_id", (F.col("k").cast("decimal(10,2)") / 4).cast("decimal(10,2)").alias("bid"))
+    log = sample.tracking(spark, sf_dir).drop("bid").join(raw, "event_id")
+    priced = kpis.clicks_hourly(track.tracking_events(log))
+    return priced.withColumns({c: F.col(c).cast("double") for c in ("bid_set", "spend_hour")})
+
+
 def batch_high_mark(spark, sf_dir):
     return _without_zone(kpis.batch_high_mark(_events(spark, sf_dir)), "high_mark")
 
@@ -129,18 +153,67 @@ def late_events(spark, sf_dir):
     return track.late_events(arrivals, F.col("high_mark"))
 
 
-def incremental_run(spark, sf_dir):
-    """Two runs over a log kept by event date, the second when all events have arrived."""
-    path, jobs = scratch_dir(spark, "log"), sample.jobs(spark, sf_dir)
-    write_log(sample.tracking(spark, sf_dir), path)
-    log = spark.read.parquet(path)
-    sink = scratch_dir(spark, "sink")
-    for events in (_arrived(log, early=True), track.tracking_events(log)):
-        run_incremental(events, jobs, parquet_sink(spark, sink))
-    rows = read_if_present(spark, sink, HOURLY_KPI).drop("id")
+def _plain_money(rows: DataFrame) -> DataFrame:
     types = {"bid_set": "double", "spend_hour": "bigint"}
-    money = {c: F.col(c).cast(kind) for c, kind in types.items()}
-    return _without_zone(rows.withColumns(money), "updated_at")
+    return rows.withColumns({c: F.col(c).cast(kind) for c, kind in types.items()})
+
+
+def _two_runs(spark: SparkSession, sf_dir: str, fail: bool = False) -> Sink:
+    """Two runs over a log kept by event date, the second when all events have arrived."""
+    log, jobs = _kept_log(spark, sf_dir), sample.jobs(spark, sf_dir)
+    sink = parquet_sink(spark, scratch_dir(spark, "sink"))
+    run_incremental(_arrived(log, early=True), jobs, sink)
+    if fail:
+        def half(run: Run) -> None:
+            """Half of the dates get into the sink, and the run ends."""
+            some = run.rows.where(F.dayofmonth("dates") % 2 == 0)
+            sink.publish(replace(run, rows=some, mark=run.since))
+            raise RuntimeError("the run was lost")
+
+        try:
+            run_incremental(track.tracking_events(log), jobs, replace(sink, publish=half))
+        except RuntimeError:
+            pass
+    run_incremental(track.tracking_events(log), jobs, sink)
+    return sink
+
+
+def incremental_run(spark, sf_dir):
+    rows = _two_runs(spark, sf_dir).rows().drop("id")
+    return _without_zone(_plain_money(rows), "updated_at")
+
+
+def incremental_retry(spark, sf_dir):
+    """The same after a second run that was lost halfway."""
+    rows = _two_runs(spark, sf_dir, fail=True).rows().drop("id")
+    return _without_zone(_plain_money(rows), "updated_at")
+
+
+def _merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sink = _two_runs(spark, sf_dir)
+    return reports.sink_merged(sink.rows(), sink.recounted())
+
+
+def sink_merged(spark, sf_dir):
+    """One row per key of a sink of two runs, the second they share counted once."""
+    return _plain_money(_merged(spark, sf_dir)).drop("updated_at")
+
+
+def sink_by_job_day(spark, sf_dir):
+    report = reports.kpi_by_job_day(reports.kpis_of_sink(_merged(spark, sf_dir)))
+    return report.withColumn("spend", F.col("spend").cast("bigint"))
+
+
+def sink_by_publisher(spark, sf_dir):
+    return reports.kpi_by_publisher(
+        reports.kpis_of_sink(_merged(spark, sf_dir)), sample.publishers(spark, sf_dir))
+
+
+def sink_by_campaign(spark, sf_dir):
+    report = reports.kpi_by_campaign(reports.kpis_of_sink(_merged(spark, sf_dir)))
+    return report.withColumns({
+        "spend": F.col("spend").cast("bigint"),
+        "cost_per_conversion": F.try_divide(F.col("spend").cast("double"), F.col("conversions"))})
 
 
 # --- reports -----------------------------------------------------------------------------------
@@ -180,7 +253,27 @@ def stream_kpis(spark, sf_dir):
     partials, checkpoint = scratch_dir(spark, "partials"), scratch_dir(spark, "progress")
     log = _streamed_log(spark, sf_dir)
     kpi_stream.start_kpi_stream(log, partials, checkpoint, once=True).awaitTermination()
-    return reports.kpi_merged(compaction.served_partials(spark, partials))
+    return reports.kpi_merged(compaction.served_partials(spark, partials, checkpoint))
+
+
+def stream_distinct(spark, sf_dir):
+    """A log that holds every event twice."""
+    path, log = scratch_dir(spark, "log"), sample.tracking(spark, sf_dir)
+    log.unionAll(log).write.parquet(path)
+    twice = spark.readStream.schema(log.schema).parquet(path)
+    partials, checkpoint = scratch_dir(spark, "partials"), scratch_dir(spark, "progress")
+    kpi_stream.start_kpi_stream(
+        twice, partials, checkpoint, once=True, distinct_within="60 days").awaitTermination()
+    return reports.kpi_merged(compaction.served_partials(spark, partials, checkpoint))
+
+
+def stream_sink_rows(spark, sf_dir):
+    """The log to sink rows as a stream, merged."""
+    sink, checkpoint = scratch_dir(spark, "sink"), scratch_dir(spark, "progress")
+    sink_stream.start_sink_stream(
+        _streamed_log(spark, sf_dir), sample.jobs(spark, sf_dir), sink, checkpoint, once=True).awaitTermination()
+    rows = reports.sink_merged(sink_stream.streamed_rows(spark, sink, checkpoint))
+    return _plain_money(rows).drop("updated_at")
 
 
 def stream_kpis_stateful(spark, sf_dir):
@@ -204,17 +297,23 @@ def stream_replay(spark, sf_dir):
         kpi_stream.start_kpi_stream(
             log, partials, checkpoint, once=True, write=twice
         ).awaitTermination()
-    return reports.kpi_merged(compaction.served_partials(spark, partials))
+    return reports.kpi_merged(compaction.served_partials(spark, partials, checkpoint))
 
 
 def stream_compacted(spark, sf_dir):
-    """Streamed partials, the first batches compacted by date and the later ones as they are."""
+    """Streamed partials, compacted while the stream goes on, spans merged with each other."""
     partials, compacted = scratch_dir(spark, "partials"), scratch_dir(spark, "compacted")
     log, checkpoint = _streamed_log(spark, sf_dir), scratch_dir(spark, "progress")
-    kpi_stream.start_kpi_stream(log, partials, checkpoint, once=True).awaitTermination()
-    for through in (0, 2):
-        compaction.compact_partials(spark, partials, compacted, through)
-    return reports.kpi_merged(compaction.served_partials(spark, partials, compacted))
+    write = kpi_stream.write_partials(partials)
+
+    def write_and_compact(events: DataFrame, batch_id: int) -> None:
+        write(events, batch_id)
+        if batch_id % 2:
+            compaction.compact_partials(spark, partials, compacted, checkpoint, most_spans=1)
+
+    kpi_stream.start_kpi_stream(
+        log, partials, checkpoint, once=True, write=write_and_compact).awaitTermination()
+    return reports.kpi_merged(compaction.served_partials(spark, partials, checkpoint, compacted))
 
 
 # --- ingestion ---------------------------------------------------------------------------------
@@ -231,10 +330,10 @@ def _landed(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
-def _streamed(spark: SparkSession, sf_dir: str) -> str:
+def _streamed(spark: SparkSession, sf_dir: str, some: str = "true", path: str | None = None) -> str:
     """The payloads landed by the ingest stream; the place they were landed at."""
-    inbox, path = scratch_dir(spark, "inbox"), scratch_dir(spark, "landing")
-    raw = sample.payloads(spark, sf_dir)
+    inbox, path = scratch_dir(spark, "inbox"), path or scratch_dir(spark, "landing")
+    raw = sample.payloads(spark, sf_dir).where(some)
     raw.write.parquet(inbox)
     stream = spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", 8).parquet(inbox)
     ingest_stream.start_ingest_stream(
@@ -251,6 +350,14 @@ def _refused(spark: SparkSession, path: str) -> DataFrame:
     return landing.read_refused(spark, path).select("raw", "reason")
 
 
+def ingest_mixed(spark, sf_dir):
+    """Half of the payloads landed by a stream and half as a batch, at one place."""
+    path = _streamed(spark, sf_dir, "event_id % 2 = 0")
+    rest = sample.payloads(spark, sf_dir).where("event_id % 2 = 1")
+    landing.land_payloads(rest, *_payload_columns(), path)
+    return _accepted(spark, path)
+
+
 def ingest_accepted(spark, sf_dir):
     return _accepted(spark, _landed(spark, sf_dir))
 
@@ -272,7 +379,7 @@ def stream_ingest_to_kpis(spark, sf_dir):
     log = landing.read_log(spark, _streamed(spark, sf_dir), stream=True)
     partials, checkpoint = scratch_dir(spark, "partials"), scratch_dir(spark, "progress")
     kpi_stream.start_kpi_stream(log, partials, checkpoint, once=True).awaitTermination()
-    return reports.kpi_merged(compaction.served_partials(spark, partials))
+    return reports.kpi_merged(compaction.served_partials(spark, partials, checkpoint))
 
 
 # --- schemas and reference tables --------------------------------------------------------------
@@ -286,15 +393,15 @@ def contract(spark, sf_dir):
     checks = [
         schema_contract(
             sample.tracking(spark, sf_dir), "tracking",
-            _declared(TRACKING, *track.EVENT_COLUMNS, "ts", "uid"),
+            _declared(TRACKING, *track.EVENT_COLUMNS, "ts", "uid"), counts=True,
         ),
         schema_contract(
             sample.jobs(spark, sf_dir), "job",
-            _declared(JOB, "id", "company_id", "group_id", "campaign_id"),
+            _declared(JOB, "id", "company_id", "group_id", "campaign_id"), counts=True,
         ),
         schema_contract(
             sample.publishers(spark, sf_dir), "publisher",
-            _declared(PUBLISHER, "id", "publisher_name"),
+            _declared(PUBLISHER, "id", "publisher_name"), counts=True,
         ),
     ]
     return checks[0].unionByName(checks[1]).unionByName(checks[2])
@@ -324,12 +431,19 @@ QUERIES: dict[str, Query] = {
     "hourly_kpis": hourly_kpis,
     "hourly_kpis_join": hourly_kpis_join,
     "company_enriched": company_enriched,
+    "company_salted": company_salted,
+    "fractional_bids": fractional_bids,
     "batch_high_mark": batch_high_mark,
     "sink_rows": sink_rows,
     "sink_watermark": watermark,
     "sink_watermark_empty": watermark_of_empty_sink,
     "late_events": late_events,
     "incremental_run": incremental_run,
+    "incremental_retry": incremental_retry,
+    "sink_merged": sink_merged,
+    "sink_by_job_day": sink_by_job_day,
+    "sink_by_publisher": sink_by_publisher,
+    "sink_by_campaign": sink_by_campaign,
     "kpi_merged": kpi_merged,
     "kpi_by_job_day": kpi_by_job_day,
     "kpi_by_publisher": kpi_by_publisher,
@@ -337,9 +451,12 @@ QUERIES: dict[str, Query] = {
     "stream_hourly_kpis": stream_kpis,
     "stream_hourly_kpis_stateful": stream_kpis_stateful,
     "stream_replay": stream_replay,
+    "stream_distinct": stream_distinct,
+    "stream_sink_rows": stream_sink_rows,
     "stream_compacted": stream_compacted,
     "ingest_accepted": ingest_accepted,
     "ingest_rejected": ingest_rejected,
+    "ingest_mixed": ingest_mixed,
     "stream_ingest": stream_ingest,
     "stream_ingest_rejected": stream_ingest_refused,
     "stream_ingest_to_kpis": stream_ingest_to_kpis,

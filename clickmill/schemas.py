@@ -22,7 +22,7 @@ def struct(spec: str) -> T.StructType:
     return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
-# Column names, types and order of the four tables and of the payload.
+# Column names, types and order of the four tables.
 TRACKING = struct(
     "create_time string, bid int, bn string, campaign_id int, cd int, custom_track string, "
     "de string, dl string, dt string, ed string, ev int, group_id int, id string, job_id int, "
@@ -54,9 +54,6 @@ HOURLY_KPI = struct(
     "campaign_id int, publisher_id int, bid_set wide_money, clicks bigint, impression int, "
     "spend_hour wide_money, sources string, updated_at timestamp"
 )
-INGEST_PAYLOAD = struct(
-    "custom_track string, bid int, job_id int, publisher_id int, campaign_id int, group_id int"
-)
 
 # The columns of an event the KPI job reads.
 EVENT_COLUMNS = [
@@ -83,6 +80,13 @@ FIRST_WATERMARK = "1998-01-01 23:59:59"
 # Fixed value: lineage text of rows derived from the event log.
 DEFAULT_SOURCE = "Cassandra"
 
+# Partials of the newest second of a run, under the sink's names, with the run's mark.
+TAILS = struct(
+    "job_id int, dates date, hours int, publisher_id int, campaign_id int, group_id int, "
+    "clicks bigint, conversion bigint, qualified_application bigint, "
+    "disqualified_application bigint, spend_hour wide_money, updated_at timestamp"
+)
+
 # Additive hourly partials of a log with whole bids.
 PARTIALS = struct(
     "job_id int, date date, hour int, publisher_id int, campaign_id int, group_id int, "

@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -48,11 +54,30 @@ def apply_settings(spark: SparkSession) -> None:
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder under the shared folder named by ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a folder of this machine.
+    Only a session that runs in this one process may go without that setting, as tests do: it gets
+    a folder that goes away with the process.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if root is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        root = tempfile.mkdtemp(prefix="clickmill-")
+        root = _own_root()
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+@cache
+def _own_root() -> str:
+    root = tempfile.mkdtemp(prefix="clickmill-")
+    atexit.register(shutil.rmtree, root, ignore_errors=True)
+    return root
+
+
+@contextmanager
+def scratch(spark: SparkSession, purpose: str) -> Iterator[str]:
+    """A new folder under the shared folder, removed with all in it when the work ends or fails."""
+    path = scratch_dir(spark, purpose)
+    try:
+        yield path
+    finally:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

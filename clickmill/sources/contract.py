@@ -11,18 +11,26 @@ class ContractError(ValueError):
     """A table does not have the columns its readers need."""
 
 
-def schema_contract(table: DataFrame, name: str, expected: StructType) -> DataFrame:
-    """One row per column of the table or its declaration: both types, agreement, rows and NULLs.
+def schema_contract(
+    table: DataFrame, name: str, expected: StructType, counts: bool = False
+) -> DataFrame:
+    """One row per column of the table or its declaration: both types and whether they agree.
 
-    Counted in one pass over the table. ``ok`` is about presence and type.
+    With ``counts`` also rows and NULLs, from one pass over every column of the table; without,
+    these are NULL and nothing of the table is read.
     """
     declared = {f.name: f.dataType.simpleString() for f in expected}
     found = {f.name: f.dataType.simpleString() for f in table.schema}
     columns = list(declared) + [c for c in found if c not in declared]
-    counts = table.agg(
-        F.count(F.lit(1)).alias("rows"),
-        *[F.count_if(F.col(f"`{c}`").isNull()).alias(f"nulls {c}") for c in found],
-    )
+    nothing = F.lit(None).cast("bigint")
+    if counts:
+        counted = table.agg(
+            F.count(F.lit(1)).alias("rows"),
+            *[F.count_if(F.col(f"`{c}`").isNull()).alias(f"nulls {c}") for c in found],
+        )
+    else:
+        counted = table.sparkSession.range(1).select(
+            nothing.alias("rows"), *[nothing.alias(f"nulls {c}") for c in found])
     checks = F.array(*[
         F.struct(
             F.lit(name).alias("table"),
@@ -31,11 +39,11 @@ def schema_contract(table: DataFrame, name: str, expected: StructType) -> DataFr
             F.lit(found.get(c)).cast("string").alias("actual"),
             F.lit(declared.get(c) == found.get(c)).alias("ok"),
             F.col("rows"),
-            (F.col(f"`nulls {c}`") if c in found else F.lit(None).cast("bigint")).alias("nulls"),
+            (F.col(f"`nulls {c}`") if c in found else nothing).alias("nulls"),
         )
         for c in columns
     ])
-    return counts.select(F.inline(checks))
+    return counted.select(F.inline(checks))
 
 
 def require_schema(table: DataFrame, name: str, expected: StructType) -> DataFrame:

@@ -1,0 +1,65 @@
+"""Small steps on the shared file system: what is there, one writer at a time, whole or not at all."""
+
+from __future__ import annotations
+
+import time
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import SparkSession
+
+LEASE_SECONDS = 3600
+
+
+def _at(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if it is not there."""
+    files, place = _at(spark, path)
+    return [s.getPath().getName() for s in files.listStatus(place)] if files.exists(place) else []
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    files, place = _at(spark, path)
+    files.delete(place, True)
+
+
+def create_empty(spark: SparkSession, path: str) -> bool:
+    """Make an empty file; tells whether it was not there before."""
+    files, place = _at(spark, path)
+    files.mkdirs(place.getParent())
+    return files.createNewFile(place)
+
+
+def move_into_place(spark: SparkSession, staged: str, target: str) -> bool:
+    """Rename a folder written elsewhere to ``target`` unless that is there already.
+
+    Readers see all of it or nothing where the file system renames folders at once, as HDFS does.
+    """
+    files, place = _at(spark, target)
+    files.mkdirs(place.getParent())
+    moved = not files.exists(place) and files.rename(_at(spark, staged)[1], place)
+    if not moved:
+        remove(spark, staged)
+    return moved
+
+
+@contextmanager
+def only_writer(spark: SparkSession, path: str, lease: int = LEASE_SECONDS) -> Iterator[None]:
+    """Hold the lock file of a table; a second writer is refused.
+
+    A lock older than ``lease`` seconds is that of a writer that died, and is taken over.
+    """
+    lock = f"{path}/_writer"
+    files, place = _at(spark, lock)
+    if files.exists(place) and time.time() - files.getFileStatus(place).getModificationTime() / 1000 > lease:
+        files.delete(place, False)
+    if not create_empty(spark, lock):
+        raise RuntimeError(f"another run is writing {path}")
+    try:
+        yield
+    finally:
+        files.delete(place, False)

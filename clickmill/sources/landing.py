@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from clickmill.functions.time_uuid import utc_date
 from clickmill.operators.ingest import ACCEPTED, classify
 from clickmill.operators.tracking import LOG_DATE, LOG_TIME
 from clickmill.schemas import struct
+from clickmill.sources.files import move_into_place
 from clickmill.sources.writers import by_partition
 
 PARTITIONS = ["status", LOG_DATE]
+PART = "part"
 LANDED = struct(
     "create_time string, bid int, campaign_id int, custom_track string, group_id int, "
     "job_id int, publisher_id int, ts string, raw string, reason string, "
@@ -40,7 +45,9 @@ def land_payloads(
     payloads: DataFrame, raw: Column, arrived_at: Column, identity: Column, path: str,
     in_order: bool = False,
 ) -> None:
-    """Classify a batch of payloads in one pass and append it to the landing table.
+    """Classify a batch of payloads in one pass and add it to the landing table.
+
+    Batches and streams may land at one place.
 
     Payloads ``in_order`` of arrival are written where they are, as a task holds few dates then;
     others are first brought together by partition.
@@ -48,12 +55,25 @@ def land_payloads(
     landed = to_landed(payloads, raw, arrived_at, identity)
     if not in_order:
         landed = by_partition(landed, *PARTITIONS)
-    landed.write.mode("append").partitionBy(*PARTITIONS).parquet(path)
+    put_in_place(landed, path, f"batch-{uuid.uuid4().hex}")
+
+
+def put_in_place(landed: DataFrame, path: str, name: str) -> None:
+    """Add landed rows as a part of their own, seen as a whole or not at all.
+
+    The part is written where no reader looks and then renamed. A part that is there already stays:
+    a stream's batch that is delivered again has the same rows, ids included.
+    """
+    spark = landed.sparkSession
+    staged = f"{path}/_staged/{uuid.uuid4().hex}"
+    landed.write.partitionBy(*PARTITIONS).parquet(staged)
+    move_into_place(spark, staged, f"{path}/{PART}={name}")
 
 
 def _read(spark: SparkSession, path: str, stream: bool, status: str) -> DataFrame:
     reader = spark.readStream if stream else spark.read
-    return reader.schema(LANDED).parquet(path).filter(F.col("status") == status)
+    schema = StructType([*LANDED.fields, StructField(PART, StringType())])
+    return reader.schema(schema).parquet(path).filter(F.col("status") == status)
 
 
 def read_log(spark: SparkSession, path: str, stream: bool = False) -> DataFrame:

@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StructField, StructType, TimestampType
 
+from clickmill.functions.time_uuid import utc_instant
 from clickmill.operators.tracking import LOG_DATE, LOG_TIME
 from clickmill.schemas import FIRST_WATERMARK, JOB, PUBLISHER, TRACKING
+from clickmill.sources.contract import require_schema
 
 # Formats that take a schema at read time; the others bring their own.
 _FILE_FORMATS = {"parquet", "orc", "json", "csv", "avro"}
+_SELF_DESCRIBING = {"parquet", "orc", "avro"}
 
 
 def read_table(
@@ -30,6 +31,22 @@ def read_table(
     return reader.load(path) if path else reader.load()
 
 
+def read_checked(
+    spark: SparkSession, name: str, schema: StructType, fmt: str, stream: bool = False, **options: str,
+) -> DataFrame:
+    """A table that has the columns declared, with their types, or ``ContractError``.
+
+    Of files that carry a schema one footer is read; texts take the schema given.
+    """
+    if fmt in _FILE_FORMATS - _SELF_DESCRIBING:
+        return read_table(spark, fmt, schema, stream, **options)
+    if not stream:
+        found = read_table(spark, fmt, **options)
+        require_schema(found.select(*[c for c in found.columns if c in schema.names]), name, schema)
+    table = read_table(spark, fmt, schema, stream, **options)
+    return table.select(*schema.names)
+
+
 def read_events(
     spark: SparkSession, fmt: str = "parquet", stream: bool = False, kept: bool = False,
     **options: str,
@@ -37,15 +54,15 @@ def read_events(
     """The raw event log, as a batch or a stream; ``kept`` if ``write_log`` wrote it."""
     times = [StructField(LOG_TIME, TimestampType()), StructField(LOG_DATE, DateType())]
     schema = StructType(TRACKING.fields + (times if kept else []))
-    return read_table(spark, fmt, schema, stream, **options)
+    return read_checked(spark, "tracking", schema, fmt, stream, **options)
 
 
 def read_jobs(spark: SparkSession, fmt: str = "parquet", **options: str) -> DataFrame:
-    return read_table(spark, fmt, JOB, **options)
+    return read_checked(spark, "job", JOB, fmt, **options)
 
 
 def read_publishers(spark: SparkSession, fmt: str = "parquet", **options: str) -> DataFrame:
-    return read_table(spark, fmt, PUBLISHER, **options)
+    return read_checked(spark, "publisher", PUBLISHER, fmt, **options)
 
 
 def jdbc_options(
@@ -96,11 +113,10 @@ def is_present(spark: SparkSession, path: str) -> bool:
 
 def sink_watermark(sink: DataFrame, default: str = FIRST_WATERMARK) -> DataFrame:
     """One row: the sink's newest ``updated_at``, or the default for a sink without rows."""
-    first = F.lit(default).cast("timestamp")
+    first = utc_instant(default)
     return sink.agg(F.coalesce(F.max("updated_at"), first).alias("watermark"))
 
 
-def watermark_value(sink: DataFrame, default: str = FIRST_WATERMARK) -> dt.datetime | str:
-    """The watermark as a literal for pruning; text, so that no local time zone gets involved."""
-    text = F.date_format("watermark", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("watermark")
-    return sink_watermark(sink, default).select(text).first()["watermark"]
+def watermark_value(sink: DataFrame, default: str = FIRST_WATERMARK) -> int:
+    """The watermark as a literal for pruning: microseconds, in which no time zone is involved."""
+    return sink_watermark(sink, default).select(F.unix_micros("watermark")).first()[0]

@@ -17,10 +17,10 @@ TRACKING_COLUMNS = {
     "custom_track": "CASE event_type WHEN 'click' THEN 'click' WHEN 'purchase' THEN 'conversion' "
                     "WHEN 'signup' THEN 'qualified' WHEN 'error' THEN 'unqualified' "
                     "ELSE event_type END",
-    "job_id": "CASE WHEN event_id % 50 = 0 THEN NULL ELSE CAST(user_id % 3 AS INT) END",
+    "job_id": "CASE WHEN event_id % 50 = 0 THEN NULL ELSE CAST(user_id AS INT) END",
     "bid": "CASE WHEN k % 10 = 0 THEN NULL WHEN k % 4 = 3 THEN 5 ELSE CAST(k % 4 AS INT) END",
-    "publisher_id": "CASE WHEN event_id % 17 = 0 THEN NULL ELSE CAST(1 + k % 2 AS INT) END",
-    "campaign_id": "CAST(user_id % 3 % 2 AS INT)",
+    "publisher_id": "CASE WHEN event_id % 17 = 0 THEN NULL ELSE CAST(1 + k % 7 AS INT) END",
+    "campaign_id": "CAST(user_id % 11 AS INT)",
     "group_id": "CASE WHEN user_id % 3 = 2 THEN NULL ELSE CAST(user_id % 3 AS INT) END",
 }
 # Every eleventh event reaches the log a day and a half late.
@@ -63,7 +63,7 @@ PAYLOAD = f"""CASE event_id % 25
     WHEN 21 THEN '{{"custom_track":"conversion","job_id":' || {_U} || ',"more":{{"a":[1,2]}}}}'
     WHEN 22 THEN ' {{"custom_track":"qualified" , "group_id":"' || {_K} || '"}} '
     ELSE '{{"custom_track":"click","bid":' || {_K} || ',"job_id":' || {_U}
-         || ',"publisher_id":1,"campaign_id":10,"group_id":' || {_K} || '}}'
+         || ',"publisher_id":3,"campaign_id":27,"group_id":' || {_K} || '}}'
     END"""
 
 # The given tables' columns that are read.

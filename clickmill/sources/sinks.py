@@ -1,42 +1,174 @@
-"""Where incremental batches go: rows are appended, and their newest update is read back."""
+"""Where incremental batches go: rows are published whole or not at all, one run after the other."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import AbstractContextManager, nullcontext
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from clickmill.schemas import HOURLY_KPI
-from clickmill.sources.readers import jdbc_options, read_if_present
-from clickmill.sources.writers import append_kpis, append_kpis_jdbc
+from clickmill.operators.enrich import to_sink_types
+from clickmill.schemas import HOURLY_KPI, TAILS
+from clickmill.sources.files import create_empty, names_in, only_writer, remove
+from clickmill.sources.readers import jdbc_options, read_if_present, watermark_value
+from clickmill.sources.writers import by_partition, jdbc_write_options
+
+
+@dataclass(frozen=True)
+class Run:
+    """What one run adds: its rows, and the partials of its newest second.
+
+    ``since`` and ``mark`` are microseconds: where it starts, and its newest event. An ``inclusive``
+    run has read the newest second of the run before again.
+    """
+
+    rows: DataFrame
+    tails: DataFrame
+    since: int
+    mark: int
+    inclusive: bool
 
 
 @dataclass(frozen=True)
 class Sink:
-    """``updates`` gives a DataFrame with the ``updated_at`` of the rows there, or their maximum."""
+    """``mark`` gives the newest published mark, or the default of an empty sink; ``rows`` what is
+    published; ``recounted`` the partials of seconds that are in two runs' rows; ``writing`` keeps
+    a second writer out."""
+
+    mark: Callable[[], int]
+    publish: Callable[[Run], None]
+    rows: Callable[[], DataFrame]
+    recounted: Callable[[], DataFrame]
+    writing: Callable[[], AbstractContextManager]
+
+
+def _of_runs(schema: StructType) -> StructType:
+    return StructType(schema.fields + [StructField("run", LongType())])
+
+
+class _ParquetSink:
+    """A folder per run, named by the mark it starts at; an empty file names the newest mark.
+
+    The file is made last. A run that failed starts at that mark, so its folder is not below it:
+    nobody reads it, and the next run, which starts there too, replaces it.
+    """
+
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        self.spark, self.path = spark, path
+
+    def _marks(self) -> list[int]:
+        return sorted(int(n) for n in names_in(self.spark, f"{self.path}/marks") if n.lstrip("-").isdigit())
+
+    def mark(self) -> int:
+        marks = self._marks()
+        return marks[-1] if marks else watermark_value(self.spark.createDataFrame([], HOURLY_KPI))
+
+    def _published(self, part: str, schema: StructType) -> DataFrame:
+        table = read_if_present(self.spark, f"{self.path}/{part}", _of_runs(schema))
+        marks = self._marks()
+        return table.where(F.col("run") < marks[-1] if marks else F.lit(False))
 
-    updates: Callable[[], DataFrame]
-    append: Callable[[DataFrame], None]
+    def rows(self) -> DataFrame:
+        return self._published("rows", HOURLY_KPI).drop("run")
+
+    def recounted(self) -> DataFrame:
+        return self._published("recounted", TAILS).drop("run")
+
+    def publish(self, run: Run) -> None:
+        def write(df: DataFrame, part: str, *partitions: str) -> None:
+            df.write.mode("overwrite").partitionBy(*partitions).parquet(f"{self.path}/{part}/run={run.since}")
+
+        write(by_partition(to_sink_types(run.rows), "dates"), "rows", "dates")
+        if run.inclusive:
+            before = self._published("tails", TAILS).where(F.unix_micros("updated_at") == run.since)
+            write(before.drop("run"), "recounted")
+        write(run.tails, "tails")
+        create_empty(self.spark, f"{self.path}/marks/{run.mark}")
+        for old in self._marks()[:-1]:
+            remove(self.spark, f"{self.path}/marks/{old}")
+
+    def writing(self) -> AbstractContextManager:
+        return only_writer(self.spark, self.path)
 
 
 def parquet_sink(spark: SparkSession, path: str) -> Sink:
-    """A parquet table partitioned by date; an append is seen as a whole or not at all."""
-    return Sink(
-        updates=lambda: read_if_present(spark, path, HOURLY_KPI).select("updated_at"),
-        append=lambda rows: append_kpis(rows, path),
+    """Parquet by run and date. The mark is a file's name; no row is read to find it."""
+    table = _ParquetSink(spark, path)
+    return Sink(table.mark, table.publish, table.rows, table.recounted, table.writing)
+
+
+def publish_statement(table: str, columns: list[str]) -> str:
+    """One statement that moves staged rows into a table unless those of their mark are there."""
+    names = ", ".join(columns)
+    return (
+        f"INSERT INTO {table} ({names}) SELECT {names} FROM {table}_staging s "
+        f"WHERE NOT EXISTS (SELECT 1 FROM {table} t WHERE t.updated_at = s.updated_at)"
     )
 
 
-def jdbc_sink(spark: SparkSession, url: str, table: str, **connection: str) -> Sink:
-    """A relational table; the maximum is found by the database.
+def recount_statement(table: str) -> str:
+    """Copies the tails of the run before, whose mark is given for both markers, to ``_recounted``."""
+    names = ", ".join(f.name for f in TAILS)
+    return (
+        f"INSERT INTO {table}_recounted ({names}) SELECT {names} FROM {table}_tails t WHERE t.updated_at = ? "
+        f"AND NOT EXISTS (SELECT 1 FROM {table}_recounted r WHERE r.updated_at = ?)"
+    )
+
 
-    Spark commits each partition for itself, so an append that fails halfway leaves rows behind.
+def _through_driver(spark: SparkSession, url: str, connection: dict[str, str]) -> Callable[..., None]:
+    def execute(statement: str, *micros: int) -> None:
+        properties = spark._jvm.java.util.Properties()
+        for key, value in connection.items():
+            properties.setProperty(key, value)
+        database = spark._jvm.java.sql.DriverManager.getConnection(url, properties)
+        try:
+            prepared = database.prepareStatement(statement)
+            for place, value in enumerate(micros, 1):
+                moment = spark._jvm.java.sql.Timestamp(value // 1000)
+                moment.setNanos(value % 1_000_000 * 1000)
+                prepared.setTimestamp(place, moment)
+            prepared.executeUpdate()
+        finally:
+            database.close()
+
+    return execute
+
+
+def jdbc_sink(
+    spark: SparkSession, url: str, table: str, execute: Callable[..., None] | None = None, **connection: str
+) -> Sink:
+    """A relational table; the newest mark is found by the database.
+
+    Rows go to ``<table>_staging`` first, as Spark commits each partition for itself, and are moved
+    by one statement. The statement does nothing if the mark is there already, so a run may be
+    tried again and two runs from one mark leave one. Tails go to ``<table>_tails``, and what is
+    counted twice to ``<table>_recounted``.
     """
-    newest = f"(SELECT MAX(updated_at) AS updated_at FROM {table}) newest"
+    run_statement = execute or _through_driver(spark, url, connection)
+    columns = [f.name for f in HOURLY_KPI if f.name != "id"]
+
+    def read(query: str) -> DataFrame:
+        return spark.read.format("jdbc").options(**jdbc_options(url, query, **connection)).load()
+
+    def write(df: DataFrame, name: str, mode: str) -> None:
+        options = jdbc_write_options(url=url, table=name, **connection)
+        df.write.format("jdbc").options(**options).option("truncate", "true").mode(mode).save()
+
+    def publish(run: Run) -> None:
+        write(to_sink_types(run.rows).drop("id"), f"{table}_staging", "overwrite")
+        write(run.tails, f"{table}_tails_staging", "overwrite")
+        run_statement(publish_statement(f"{table}_tails", [f.name for f in TAILS]))
+        if run.inclusive:
+            run_statement(recount_statement(table), run.since, run.since)
+        run_statement(publish_statement(table, columns))
+
     return Sink(
-        updates=lambda: spark.read.format("jdbc").options(
-            **jdbc_options(url, newest, **connection)
-        ).load(),
-        append=lambda rows: append_kpis_jdbc(rows, url=url, table=table, **connection),
+        mark=lambda: watermark_value(read(f"(SELECT MAX(updated_at) AS updated_at FROM {table}) newest")),
+        publish=publish,
+        rows=lambda: read(table),
+        recounted=lambda: read(f"{table}_recounted"),
+        writing=nullcontext,
     )

@@ -7,6 +7,7 @@ from pyspark.sql.types import StructType
 
 from clickmill.operators.enrich import to_sink_types
 from clickmill.operators.tracking import LOG_DATE, with_event_time
+from clickmill.sources.contract import require_schema
 from clickmill.sources.readers import read_if_present
 
 
@@ -71,6 +72,19 @@ def create_table_if_missing(
     spark.sql(ddl)
 
 
+def bootstrap(
+    spark: SparkSession, name: str, schema: StructType, source: DataFrame, location: str,
+    defaults: dict[str, str] | None = None,
+) -> bool:
+    """Make a reference table if it is missing, check its columns, fill it if it is empty."""
+    create_table_if_missing(spark, name, schema, defaults, location=location)
+    require_schema(spark.table(name), name, schema)
+    filled = bootstrap_if_empty(spark, require_schema(source, name, schema), location)
+    if filled:
+        spark.catalog.refreshTable(name)
+    return filled
+
+
 def bootstrap_if_empty(spark: SparkSession, source: DataFrame, path: str) -> bool:
     """Fill a reference table unless it holds rows already; tells whether it did."""
     if not read_if_present(spark, path, source.schema).isEmpty():

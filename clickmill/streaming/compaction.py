@@ -4,14 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from clickmill.operators.kpis import PARTIAL_COLUMNS, merge_partials
 from clickmill.schemas import PARTIALS
+from clickmill.sources.files import create_empty, names_in, remove
 from clickmill.sources.readers import read_if_present
 from clickmill.sources.writers import by_partition
+from clickmill.streaming.kpi_stream import committed_through
 
-SPANS = StructType([StructField("through", LongType())])
+# Finished spans side by side before they are merged with each other.
+SPANS = 8
 
 
 def read_batches(spark: SparkSession, partials_path: str, schema: StructType = PARTIALS) -> DataFrame:
@@ -20,44 +23,88 @@ def read_batches(spark: SparkSession, partials_path: str, schema: StructType = P
     return read_if_present(spark, partials_path, keyed)
 
 
-def _finished_spans(spark: SparkSession, compacted_path: str) -> list[int]:
-    """The last batch of every finished span, oldest first; one value per compaction run."""
-    return sorted(s.through for s in read_if_present(spark, f"{compacted_path}/spans", SPANS).collect())
+def _finished_spans(spark: SparkSession, compacted_path: str) -> list[tuple[int, int]]:
+    """The finished spans that are served, oldest first: each after one batch, through another.
+
+    Where spans have been merged, the merged one stands for them.
+    """
+    names = names_in(spark, f"{compacted_path}/spans")
+    found = sorted(tuple(map(int, n.split("~"))) for n in names if "~" in n and not n.startswith("."))
+    served, end = [], max((through for _, through in found), default=-1)
+    while end > -1:
+        after = min(a for a, through in found if through == end)
+        served.append((after, end))
+        end = after
+    return served[::-1]
+
+
+def _rows(spark: SparkSession, compacted_path: str, schema: StructType, spans: list[tuple[int, int]]) -> DataFrame:
+    keyed = StructType(schema.fields + [StructField("span", StringType())])
+    rows = read_if_present(spark, f"{compacted_path}/rows", keyed)
+    return rows.filter(F.col("span").isin([f"{a}~{b}" for a, b in spans])).select(*PARTIAL_COLUMNS)
+
+
+def _write(span: DataFrame, compacted_path: str, name: str) -> None:
+    """Merge a span's partials, keep them by date, and list the span once all rows are there."""
+    spark = span.sparkSession
+    merged = by_partition(merge_partials(span).select(*PARTIAL_COLUMNS), "date")
+    merged.write.mode("overwrite").partitionBy("date").parquet(f"{compacted_path}/rows/span={name}")
+    create_empty(spark, f"{compacted_path}/spans/{name}")
 
 
 def compact_partials(
-    spark: SparkSession, partials_path: str, compacted_path: str, through: int,
-    schema: StructType = PARTIALS,
-) -> None:
-    """Merge the batches up to ``through`` that are not in a finished span yet, kept by date.
+    spark: SparkSession, partials_path: str, compacted_path: str, checkpoint: str,
+    through: int | None = None, schema: StructType = PARTIALS, most_spans: int = SPANS,
+) -> int:
+    """Merge the finished batches that are not in a span yet, kept by date; the last one merged.
 
-    A span counts as finished once it is listed, after all its rows are written: a run that fails
-    leaves rows nobody reads. Batches in a finished span are not read again by
-    ``served_partials`` and may be removed.
+    A span ends at the newest batch that the stream's checkpoint lists as committed, or at an
+    earlier one given as ``through``; a later one is refused, since batches up to it would still
+    be written and never be read. A run that fails leaves rows nobody reads. Batches in a finished
+    span are not read again by ``served_partials`` and may be removed.
+
+    More than ``most_spans`` spans are merged into one, so that neither rows per key nor files per
+    date grow with the number of runs.
     """
-    done = max(_finished_spans(spark, compacted_path), default=-1)
-    if through <= done:
-        return
-    batch = F.col("batch_id")
-    span = read_batches(spark, partials_path, schema).filter((batch > done) & (batch <= through))
-    merged = by_partition(merge_partials(span).select(*PARTIAL_COLUMNS), "date")
-    target = f"{compacted_path}/rows/through={through}"
-    merged.write.mode("overwrite").partitionBy("date").parquet(target)
-    listed = spark.range(1).select(F.lit(through).cast("bigint").alias("through"))
-    listed.write.mode("append").parquet(f"{compacted_path}/spans")
+    newest = committed_through(spark, checkpoint)
+    end = newest if through is None else through
+    if end > newest:
+        raise ValueError(f"batch {end} is not committed yet; the newest one is {newest}")
+    spans = _finished_spans(spark, compacted_path)
+    done = spans[-1][1] if spans else -1
+    if end > done:
+        batch = F.col("batch_id")
+        fresh = read_batches(spark, partials_path, schema).filter((batch > done) & (batch <= end))
+        _write(fresh, compacted_path, f"{done}~{end}")
+        spans.append((done, end))
+    if len(spans) > most_spans:
+        whole = f"{spans[0][0]}~{spans[-1][1]}"
+        _write(_rows(spark, compacted_path, schema, spans), compacted_path, whole)
+    return max(end, done)
+
+
+def remove_merged(spark: SparkSession, compacted_path: str) -> None:
+    """Delete spans that a merged one stands for, when no reader is at them any more."""
+    served = {f"{a}~{b}" for a, b in _finished_spans(spark, compacted_path)}
+    for name in names_in(spark, f"{compacted_path}/spans"):
+        if "~" in name and name not in served:
+            remove(spark, f"{compacted_path}/spans/{name}")
+            remove(spark, f"{compacted_path}/rows/span={name}")
 
 
 def served_partials(
-    spark: SparkSession, partials_path: str, compacted_path: str | None = None,
+    spark: SparkSession, partials_path: str, checkpoint: str, compacted_path: str | None = None,
     schema: StructType = PARTIALS,
 ) -> DataFrame:
-    """Finished spans and the batches after them, to be merged by ``kpi_merged``."""
-    batches = read_batches(spark, partials_path, schema)
+    """Finished spans and the committed batches after them, to be merged by ``kpi_merged``.
+
+    A batch that is being written, or written again after a failure, is not served.
+    """
+    batch = F.col("batch_id")
+    newest = committed_through(spark, checkpoint)
+    batches = read_batches(spark, partials_path, schema).filter(batch <= newest)
     spans = _finished_spans(spark, compacted_path) if compacted_path else []
     if not spans:
         return batches.select(*PARTIAL_COLUMNS)
-    keyed = StructType(schema.fields + SPANS.fields)
-    rows = read_if_present(spark, f"{compacted_path}/rows", keyed)
-    finished = rows.filter(F.col("through").isin(spans))
-    recent = batches.filter(F.col("batch_id") > spans[-1])
-    return finished.select(*PARTIAL_COLUMNS).unionByName(recent.select(*PARTIAL_COLUMNS))
+    recent = batches.filter(batch > spans[-1][1])
+    return _rows(spark, compacted_path, schema, spans).unionByName(recent.select(*PARTIAL_COLUMNS))

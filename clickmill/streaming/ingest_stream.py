@@ -5,25 +5,30 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from clickmill.sources.landing import PARTITIONS, to_landed
-from clickmill.streaming.kpi_stream import EVERY, trigger
+from clickmill.sources.landing import put_in_place, to_landed
+from clickmill.streaming.kpi_stream import EVERY, stream_id, trigger
 
 
 def start_ingest_stream(
     payloads: DataFrame, raw: Column, arrived_at: Column, identity: Column, landing_path: str,
     checkpoint: str, once: bool = False, every: str = EVERY, tasks: int | None = None,
 ) -> StreamingQuery:
-    """Land every payload exactly once, in one pass over the stream.
+    """Land every payload exactly once, in one pass over the stream, next to landed batches.
 
-    ``tasks`` bounds the files per batch where the source has many small partitions.
+    ``tasks`` bounds the files per batch where the source has many small partitions. Each stream
+    has parts of its own, named by its id.
     """
     landed = to_landed(payloads, raw, arrived_at, identity)
     if tasks:
         landed = landed.coalesce(tasks)
+
+    def land(rows: DataFrame, batch_id: int) -> None:
+        stream = stream_id(rows.sparkSession, checkpoint)
+        put_in_place(rows, landing_path, f"stream-{stream}-{batch_id}")
+
     return (
-        landed.writeStream.queryName("ingest").format("parquet")
-        .partitionBy(*PARTITIONS)
-        .option("path", landing_path)
+        landed.writeStream.queryName("ingest")
+        .foreachBatch(land)
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger(once, every))
         .start()

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -12,6 +12,7 @@ from clickmill.functions.time_uuid import utc_date, utc_hour
 from clickmill.operators.kpis import MEASURES, finish_partials, hourly_partials
 from clickmill.operators.tracking import fill_ids, tracking_events
 from clickmill.schemas import COUNTS, GRAIN, IDS, KINDS
+from clickmill.sources.files import create_empty, names_in
 from clickmill.sources.readers import is_present
 
 EVERY = "3 minutes"
@@ -37,13 +38,44 @@ def write_partials(path: str) -> BatchWriter:
     return lambda events, batch_id: replace_batch(hourly_partials(events), batch_id, path)
 
 
+def stream_id(spark: SparkSession, checkpoint: str) -> str | None:
+    """The id of the stream that a checkpoint belongs to, if it has been started."""
+    if not is_present(spark, f"{checkpoint}/metadata"):
+        return None
+    written = spark.read.text(f"{checkpoint}/metadata", wholetext=True)
+    return written.select(F.get_json_object("value", "$.id")).first()[0]
+
+
+def committed_through(spark: SparkSession, checkpoint: str) -> int:
+    """The newest batch that a stream has finished; -1 before the first."""
+    names = names_in(spark, f"{checkpoint}/commits")
+    return max((int(n) for n in names if n.isdigit()), default=-1)
+
+
 def _refuse_foreign_table(events: DataFrame, path: str, checkpoint: str) -> None:
-    """Batch ids restart with a new checkpoint, and would replace partitions of the old one."""
+    """Batch ids restart with each checkpoint, and would replace partitions of another stream.
+
+    The id of the stream that writes a table lies next to its partitions.
+    """
     spark = events.sparkSession
-    if is_present(spark, path) and not is_present(spark, f"{checkpoint}/metadata"):
+    writers, mine = names_in(spark, f"{path}/_stream"), stream_id(spark, checkpoint)
+    if (writers and writers != [mine]) or (mine is None and is_present(spark, path)):
         raise ValueError(f"{path} was written under another checkpoint")
 
 
+def _claim(query: StreamingQuery, spark: SparkSession, path: str) -> StreamingQuery:
+    create_empty(spark, f"{path}/_stream/{query.id}")
+    return query
+
+
+def late_dropped(query: StreamingQuery) -> int:
+    """Events that a limit on lateness has dropped, over the batches the query still reports."""
+    return sum(
+        state.get("numRowsDroppedByWatermark", 0)
+        for report in query.recentProgress for state in report["stateOperators"]
+    )
+
+
 def start_kpi_stream(
     log: DataFrame, partials_path: str, checkpoint: str, once: bool = False, every: str = EVERY,
     distinct_within: str | None = None, write: BatchWriter | None = None,
@@ -52,19 +84,20 @@ def start_kpi_stream(
 
     Progress is the checkpoint's alone. If the log itself may hold an event twice,
     ``distinct_within`` keeps the ids of that span as state and drops repeats; events later than
-    that are then dropped too. Without it there is no state and no event is ever too late.
+    that are then dropped too, and ``late_dropped`` tells how many. Without it there is no state and no event is ever too late.
     """
     _refuse_foreign_table(log, partials_path, checkpoint)
     events = tracking_events(log)
     if distinct_within:
         timed = events.filter(F.col("ts").isNotNull()).withWatermark("ts", distinct_within)
         events = timed.dropDuplicatesWithinWatermark(["create_time"])
-    return (
+    return _claim(
         events.writeStream.queryName("hourly_kpis")
         .foreachBatch(write or write_partials(partials_path))
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger(once, every))
-        .start()
+        .start(),
+        log.sparkSession, partials_path,
     )
 
 
@@ -75,7 +108,8 @@ def start_stateful_stream(
     """The same KPIs as running totals of hourly windows held in state.
 
     Every batch writes the new totals of the hours it touched. State is dropped ``delay`` after an
-    hour has passed, and so are events later than that; ``start_kpi_stream`` has no such limit.
+    hour has passed, and so are events later than that, which ``late_dropped`` counts;
+    ``start_kpi_stream`` has no such limit.
     """
     _refuse_foreign_table(log, totals_path, checkpoint)
     kind = F.col("custom_track")
@@ -94,13 +128,14 @@ def start_stateful_stream(
             "publisher_id", "campaign_id", "group_id", *COUNTS, "bid_sum",
         )
     )
-    return (
+    return _claim(
         totals.writeStream.queryName("hourly_kpis_stateful")
         .outputMode("update")
         .foreachBatch(lambda changed, batch_id: replace_batch(changed, batch_id, totals_path))
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger(once, every))
-        .start()
+        .start(),
+        log.sparkSession, totals_path,
     )
 
 

@@ -4,15 +4,23 @@ import pytest
 from pyspark.sql import functions as F
 
 from clickmill.operators import kpis
-from clickmill.operators.tracking import LOG_DATE, incremental_slice, tracking_events
+from clickmill.operators.reports import sink_merged
+from clickmill.operators.tracking import LOG_DATE, incremental_slice, tracking_events, with_event_time
 from clickmill.plans.incremental import run_incremental
 from clickmill.schemas import FIRST_WATERMARK, HOURLY_KPI
 from clickmill.sources.readers import read_events, read_if_present, sink_watermark, watermark_value
+from clickmill.session import scratch_dir
+from clickmill.sources import sinks
+from clickmill.sources.files import only_writer
 from clickmill.sources.sinks import parquet_sink
 from clickmill.sources.writers import write_log
 from tests.helpers import at, event, rows
 
 
+def micros(moment):
+    return (moment - dt.datetime(1970, 1, 1)) // dt.timedelta(microseconds=1)
+
+
 @pytest.fixture
 def jobs(spark):
     return spark.createDataFrame(
@@ -33,12 +41,13 @@ def sink(tmp_path):
 
 
 def _run(spark, raw, jobs, sink, **options):
-    return run_incremental(tracking_events(raw), jobs, parquet_sink(spark, sink), **options)
+    events = tracking_events(with_event_time(raw))
+    return run_incremental(events, jobs, parquet_sink(spark, sink), **options)
 
 
 def _sink(spark, sink):
     columns = ["dates", "hours", "clicks", "conversion", "company_id", "updated_at"]
-    found = read_if_present(spark, sink, HOURLY_KPI).select(*columns)
+    found = parquet_sink(spark, sink).rows().select(*columns)
     return sorted(
         (r.hours, r.clicks, r.conversion, r.company_id, r.updated_at.replace(tzinfo=None))
         for r in found.collect()
@@ -64,12 +73,13 @@ def test_an_exclusive_run_without_news_writes_nothing(spark, log, jobs, sink):
     before = _sink(spark, sink)
     assert not _run(spark, raw, jobs, sink, inclusive=False)
     assert _sink(spark, sink) == before
-    assert _run(spark, raw, jobs, sink) and len(_sink(spark, sink)) == 2
+    # An inclusive run without news finds the last second again, and adds nothing.
+    assert _run(spark, raw, jobs, sink) and _sink(spark, sink) == before
 
 
 def test_kinds_not_counted_move_the_mark_only_with_others(spark, log, jobs, sink):
     assert _run(spark, log(event(at(1, 9), "view")), jobs, sink)
-    assert watermark_value(read_if_present(spark, sink, HOURLY_KPI)).startswith(FIRST_WATERMARK)
+    assert parquet_sink(spark, sink).mark() == micros(dt.datetime.fromisoformat(FIRST_WATERMARK))
     assert _run(spark, log(event(at(1, 8)), event(at(1, 9), "view")), jobs, sink)
     assert _sink(spark, sink) == [(8, 1, None, 10, at(1, 9))]
 
@@ -103,5 +113,104 @@ def test_pruning_goes_by_utc_dates_in_any_session_zone(spark, log, tmp_path, zon
     path = str(tmp_path / "log")
     write_log(log(event(at(1, 20)), event(at(1, 23)), event(at(2, 1))), path)
     zone("Asia/Tokyo")
-    fresh = incremental_slice(tracking_events(spark.read.parquet(path)), "2024-03-02 05:00:00")
+    fresh = incremental_slice(tracking_events(spark.read.parquet(path)), "2024-03-02 05:00:00+09:00")
     assert fresh.count() == 3
+
+
+@pytest.mark.parametrize("name, moment", [
+    ("Europe/Berlin", "2024-10-27 00:30:00"), ("Europe/Berlin", "2024-10-27 01:30:00"), ("Asia/Tokyo", "2024-03-02 05:00:00"),
+])
+def test_a_mark_comes_back_as_it_was_in_any_session_zone(spark, log, jobs, sink, zone, name, moment):
+    zone(name)
+    when = dt.datetime.fromisoformat(moment)
+    assert _run(spark, log(event(when), event(when - dt.timedelta(hours=3))), jobs, sink)
+    table = parquet_sink(spark, sink)
+    assert table.mark() == watermark_value(table.rows()) == micros(when)
+    assert incremental_slice(tracking_events(log(event(when))), table.mark()).count() == 1
+    assert incremental_slice(tracking_events(log(event(when))), moment).count() == 1
+    assert incremental_slice(tracking_events(log(event(when - dt.timedelta(seconds=1)))), when).count() == 0
+    empty = parquet_sink(spark, sink + "-none")
+    assert empty.mark() == micros(dt.datetime.fromisoformat(FIRST_WATERMARK))
+
+
+def test_a_run_lost_halfway_is_not_seen_and_is_made_good(spark, log, jobs, sink, monkeypatch):
+    first, later = [event(at(1, 8)), event(at(1, 9))], [event(at(1, 10)), event(at(2, 8)), event(at(3, 8))]
+    assert _run(spark, log(*first), jobs, sink)
+    before = _sink(spark, sink)
+    create = sinks.create_empty
+
+    def lost(session, path):
+        if "/marks/" in path:
+            raise RuntimeError("lost")
+        return create(session, path)
+
+    monkeypatch.setattr(sinks, "create_empty", lost)
+    with pytest.raises(RuntimeError, match="lost"):
+        _run(spark, log(*first, *later), jobs, sink)
+    assert _sink(spark, sink) == before
+    monkeypatch.undo()
+    more = event(at(3, 9))
+    assert _run(spark, log(*first, *later, more), jobs, sink)
+    assert len(_sink(spark, sink)) == 2 + 5
+    merged = sink_merged(parquet_sink(spark, sink).rows(), parquet_sink(spark, sink).recounted())
+    assert sum(r.clicks for r in merged.collect()) == 6
+
+
+def test_a_second_writer_is_refused_and_a_dead_ones_lock_taken_over(spark, log, jobs, sink):
+    with only_writer(spark, sink):
+        with pytest.raises(RuntimeError, match="another run"):
+            _run(spark, log(event(at(1, 8))), jobs, sink)
+    assert _run(spark, log(event(at(1, 8))), jobs, sink)
+    with only_writer(spark, sink), only_writer(spark, sink, lease=-1):
+        pass
+
+
+def test_merged_rows_count_the_shared_second_once(spark, log, jobs, sink):
+    first = [event(at(1, 8), bid=1), event(at(1, 9), bid=2), event(at(1, 9), node=1, bid=4)]
+    _run(spark, log(*first), jobs, sink)
+    later = [event(at(1, 9), node=2, bid=6), event(at(1, 9, 30), bid=8), event(at(1, 9, 40), "conversion")]
+    _run(spark, log(*first, *later), jobs, sink)
+    _run(spark, log(*first, *later), jobs, sink)
+    _run(spark, log(*first, *later, event(at(1, 10), bid=3)), jobs, sink)
+    table = parquet_sink(spark, sink)
+    found = {r.hours: (r.clicks, float(r.spend_hour or 0), r.conversion, r.company_id) for r in sink_merged(
+        table.rows(), table.recounted()).collect()}
+    assert found == {8: (1, 1.0, None, 10), 9: (4, 20.0, 1, 10), 10: (1, 3.0, None, 10)}
+    assert {float(r.bid_set) for r in sink_merged(table.rows(), table.recounted()).collect()} == {1.0, 5.0, 3.0}
+
+
+def test_a_raw_log_is_refused(spark, log, jobs, sink):
+    with pytest.raises(ValueError, match="write_log"):
+        run_incremental(tracking_events(log(event(at(1, 8)))), jobs, parquet_sink(spark, sink))
+
+
+def test_a_run_leaves_nothing_in_the_shared_folder(spark, log, jobs, sink, tmp_path, monkeypatch):
+    shared = tmp_path / "shared"
+    shared.mkdir()
+    old = spark.conf.get("spark.checkpoint.dir", None)
+    monkeypatch.setattr("clickmill.session.scratch_dir", lambda s, p: f"{shared}/{p}")
+    assert _run(spark, log(event(at(1, 8))), jobs, sink)
+    assert list(shared.iterdir()) == []
+    with pytest.raises(Exception):
+        _run(spark, log(event(at(1, 9))), jobs.drop("company_id"), sink)
+    assert list(shared.iterdir()) == [] and spark.conf.get("spark.checkpoint.dir", None) == old
+
+
+def test_a_cluster_must_name_its_shared_folder():
+    class Session:
+        class conf:
+            get = staticmethod(lambda *_: None)
+
+        class sparkContext:
+            master = "local-cluster[2,1,1024]"
+            getCheckpointDir = staticmethod(lambda: None)
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_dir(Session, "x")
+
+
+def test_publishing_to_a_database():
+    assert sinks.publish_statement("kpi", ["job_id", "updated_at"]) == (
+        "INSERT INTO kpi (job_id, updated_at) SELECT job_id, updated_at FROM kpi_staging s "
+        "WHERE NOT EXISTS (SELECT 1 FROM kpi t WHERE t.updated_at = s.updated_at)")
+    assert sinks.recount_statement("kpi").startswith("INSERT INTO kpi_recounted (job_id, dates")

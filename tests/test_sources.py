@@ -9,7 +9,7 @@ from clickmill.sources.readers import (
 )
 from clickmill.sources.sinks import jdbc_sink
 from clickmill.sources.writers import (
-    append_kpis, bootstrap_if_empty, create_table_if_missing, jdbc_write_options,
+    append_kpis, bootstrap, bootstrap_if_empty, create_table_if_missing, jdbc_write_options,
 )
 from tests.helpers import at, event, rows
 
@@ -59,14 +59,14 @@ def test_jdbc_writes_are_batched_over_few_connections():
 def test_a_database_out_of_reach_is_an_error_not_an_empty_sink(spark):
     sink = jdbc_sink(spark, "jdbc:nosuch:x", "events", user="u")
     with pytest.raises(Exception, match="No suitable driver"):
-        sink.updates()
+        sink.mark()
 
 
 def test_contract_reports_and_requires(spark):
     table = spark.createDataFrame([(1, None), (2, "x")], "id int, publisher_name string")
     narrow = type(PUBLISHER)([PUBLISHER["id"], PUBLISHER["publisher_name"]])
     assert require_schema(table, "publisher", narrow) is table
-    found = {r.column: r for r in schema_contract(table, "publisher", PUBLISHER).collect()}
+    found = {r.column: r for r in schema_contract(table, "publisher", PUBLISHER, counts=True).collect()}
     assert len(found) == 20 and not found["min_bid"].ok and found["min_bid"].actual is None
     name = found["publisher_name"]
     assert (name.ok, name.rows, name.nulls) == (True, 2, 1)
@@ -92,6 +92,33 @@ def test_tables_are_created_once_with_their_defaults(spark, tmp_path):
         spark.sql("DROP TABLE hourly_kpi_test")
 
 
+def test_contract_without_counts_reads_nothing(spark, tmp_path):
+    spark.createDataFrame([(1, None)], "id int, publisher_name string").write.parquet(str(tmp_path / "p"))
+    checks = schema_contract(spark.read.parquet(str(tmp_path / "p")), "publisher", PUBLISHER)
+    assert "FileScan" not in checks._jdf.queryExecution().executedPlan().toString()
+    assert {r.rows for r in checks.collect()} == {None}
+
+
+def test_readers_check_what_they_read(spark, tmp_path):
+    place = str(tmp_path / "job")
+    spark.createDataFrame([(1, "x")], "id bigint, title string").write.parquet(place)
+    with pytest.raises(ContractError, match="id: bigint instead of int"):
+        read_jobs(spark, path=place)
+
+
+def test_bootstrap_makes_checks_and_fills(spark, tmp_path):
+    source = spark.createDataFrame([(1, 2)], "id int, company_id int")
+    place = str(tmp_path / "boot")
+    try:
+        for expected in (True, False):
+            assert bootstrap(spark, "job_boot_test", source.schema, source, place) is expected
+        assert spark.table("job_boot_test").count() == 1
+        with pytest.raises(ContractError):
+            bootstrap(spark, "job_boot_test", PUBLISHER, source, place)
+    finally:
+        spark.sql("DROP TABLE IF EXISTS job_boot_test")
+
+
 def test_bootstrap_fills_an_empty_table_only(spark, tmp_path):
     place = str(tmp_path / "job")
     source = spark.createDataFrame([(1, 2)], "id int, company_id int")

@@ -7,7 +7,8 @@ from clickmill.operators import kpis, reports
 from clickmill.operators.tracking import LOG_DATE, tracking_events
 from clickmill.schemas import TRACKING
 from clickmill.sources.landing import land_payloads, read_log, read_refused
-from clickmill.streaming import compaction, ingest_stream, kpi_stream
+from clickmill.sources.files import names_in
+from clickmill.streaming import compaction, ingest_stream, kpi_stream, sink_stream
 from tests.helpers import at, event, rows
 
 
@@ -34,7 +35,7 @@ class Feed:
 
     def served(self, compacted=None):
         return rows(reports.kpi_merged(
-            compaction.served_partials(self.spark, self.partials, compacted)
+            compaction.served_partials(self.spark, self.partials, self.checkpoint, compacted)
         ))
 
     def batch(self):
@@ -141,7 +142,7 @@ def test_compaction_keeps_the_result_and_spares_the_batches(feed, spark, tmp_pat
     feed.run()
     whole, compacted = feed.served(), str(tmp_path / "compacted")
     for through in (0, 2, 1, 2):
-        compaction.compact_partials(spark, feed.partials, compacted, through)
+        compaction.compact_partials(spark, feed.partials, compacted, feed.checkpoint, through)
         assert feed.served(compacted) == whole
     # Compacted batches are not read any more.
     batches = spark.read.parquet(feed.partials)
@@ -149,7 +150,65 @@ def test_compaction_keeps_the_result_and_spares_the_batches(feed, spark, tmp_pat
     feed.partials += "-left"
     assert feed.served(compacted) == whole
     merged = spark.read.parquet(f"{compacted}/rows")
-    assert {"through", "date"} <= set(merged.columns)
+    assert {"span", "date"} <= set(merged.columns)
+
+
+def test_batches_written_after_compaction_are_served(feed, spark, tmp_path):
+    """A span never reaches beyond the batches that are there."""
+    compacted = str(tmp_path / "compacted")
+    feed.put(*_events(1, 30))
+    feed.put(*_events(2, 30))
+    feed.run()
+    with pytest.raises(ValueError, match="batch 1000 is not committed"):
+        compaction.compact_partials(spark, feed.partials, compacted, feed.checkpoint, 1000)
+    assert compaction.compact_partials(spark, feed.partials, compacted, feed.checkpoint) == 1
+    feed.put(*_events(3, 30))
+    feed.run()
+    assert feed.served(compacted) == feed.batch()
+    assert compaction.compact_partials(spark, feed.partials, compacted, feed.checkpoint) == 2
+    assert feed.served(compacted) == feed.batch()
+
+
+def test_spans_are_merged_with_each_other(feed, spark, tmp_path):
+    compacted = str(tmp_path / "compacted")
+    for seed in range(5):
+        feed.put(*_events(seed, 20))
+        feed.run()
+        compaction.compact_partials(spark, feed.partials, compacted, feed.checkpoint, most_spans=2)
+        assert len(compaction._finished_spans(spark, compacted)) <= 2
+        assert feed.served(compacted) == feed.batch()
+    compaction.remove_merged(spark, compacted)
+    assert feed.served(compacted) == feed.batch()
+    assert len(names_in(spark, f"{compacted}/rows")) == len(compaction._finished_spans(spark, compacted))
+
+
+def test_a_batch_not_committed_is_not_served(feed, spark):
+    write = kpi_stream.write_partials(feed.partials)
+    feed.put(*_events(5))
+    feed.run()
+    before = feed.served()
+    feed.put(*_events(6))
+
+    def fails(df, batch_id):
+        write(df, batch_id)
+        raise RuntimeError("lost")
+
+    with pytest.raises(Exception, match="lost"):
+        feed.run(write=fails)
+    assert feed.served() == before
+    feed.run()
+    assert feed.served() == feed.batch() != before
+
+
+def test_a_second_stream_with_a_checkpoint_of_its_own_is_refused(feed):
+    feed.put(event(at(1, 8)))
+    feed.run()
+    first, other = feed.partials, feed.checkpoint + "-other"
+    feed.partials, feed.checkpoint = feed.partials + "-other", other
+    feed.run()
+    feed.partials = first
+    with pytest.raises(ValueError, match="another checkpoint"):
+        feed.run()
 
 
 def test_an_unfinished_span_is_not_read(feed, spark, tmp_path):
@@ -157,14 +216,59 @@ def test_an_unfinished_span_is_not_read(feed, spark, tmp_path):
     feed.put(*_events(9, 30))
     feed.run()
     compacted = tmp_path / "compacted"
-    compaction.compact_partials(spark, feed.partials, str(compacted), 0)
-    half = spark.read.parquet(str(compacted / "rows" / "through=0"))
-    half.write.partitionBy("date").parquet(str(compacted / "rows" / "through=1"))
+    compaction.compact_partials(spark, feed.partials, str(compacted), feed.checkpoint, 0)
+    half = spark.read.parquet(str(compacted / "rows" / "span=-1~0"))
+    half.write.partitionBy("date").parquet(str(compacted / "rows" / "span=0~1"))
     assert feed.served(str(compacted)) == feed.batch()
-    compaction.compact_partials(spark, feed.partials, str(compacted), 1)
+    compaction.compact_partials(spark, feed.partials, str(compacted), feed.checkpoint, 1)
     assert feed.served(str(compacted)) == feed.batch()
 
 
+def test_dropped_events_are_counted(feed):
+    # An event is measured against the limit that the batch before the last one has set.
+    for number, when in enumerate((at(1, 8), at(9, 8), at(9, 9), at(1, 8))):
+        feed.put(event(when, node=number))
+    query = kpi_stream.start_kpi_stream(
+        feed.stream(), feed.partials, feed.checkpoint, once=True, distinct_within="1 hour")
+    query.awaitTermination()
+    assert kpi_stream.late_dropped(query) == 1
+
+
+def test_streamed_sink_rows(feed, spark, tmp_path):
+    jobs = spark.createDataFrame([(1, 10, 1, 1)], "id int, company_id int, group_id int, campaign_id int")
+    path, checkpoint, tries = str(tmp_path / "sink"), str(tmp_path / "progress"), []
+    put = sink_stream.to_files(path)
+
+    def fails_once(rows, batch_id):
+        put(rows, batch_id)
+        tries.append(batch_id)
+        if tries == [0, 1]:
+            raise RuntimeError("lost")
+
+    def run():
+        sink_stream.start_sink_stream(
+            feed.stream(), jobs, path, checkpoint, once=True, write=fails_once).awaitTermination()
+
+    for seed in range(3):
+        feed.put(*_events(seed, 30))
+    with pytest.raises(Exception, match="lost"):
+        run()
+    run()
+    assert tries == [0, 1, 1, 2]
+    merged = reports.sink_merged(sink_stream.streamed_rows(spark, path, checkpoint))
+    found = {(r.job_id, str(r.dates), r.hours): (r.clicks, r.conversion, r.company_id) for r in merged.collect()}
+    whole = kpis.hourly_kpis(tracking_events(spark.read.parquet(feed.inbox))).collect()
+    assert found == {
+        (r.job_id, str(r.date), r.hour): (r.clicks, r.conversions, 10 if r.job_id == 1 else None) for r in whole}
+
+
+def test_replacing_a_batch_in_a_database():
+    assert sink_stream.replace_statements("kpi", ["job_id", "clicks"]) == [
+        "DELETE FROM kpi WHERE batch_id = ?",
+        "INSERT INTO kpi (job_id, clicks, batch_id) SELECT job_id, clicks, ? FROM kpi_staging",
+    ]
+
+
 PAYLOADS = [(i, t) for i, t in enumerate([
     '{"job_id":1,"bid":2}', '{"job_id":1}', '{"job_id":2,"custom_track":"qualified"}', "nope", "[]",
     '{"custom_track":"view"}',
@@ -200,7 +304,22 @@ def test_payloads_are_landed_once_on_the_side_they_belong(spark, tmp_path, strea
         kpi_stream.start_kpi_stream(
             read_log(spark, landing, stream=True), partials, checkpoint, once=True
         ).awaitTermination()
-        found = reports.kpi_merged(compaction.served_partials(spark, partials))
+        found = reports.kpi_merged(compaction.served_partials(spark, partials, checkpoint))
         assert sorted((r.job_id, r.clicks, r.spend_hour, r.qualified) for r in found.collect()) == [
             (1, 2, 2, None), (2, None, None, 1),
         ]
+
+
+def test_a_batch_and_a_stream_land_at_one_place(spark, tmp_path):
+    inbox, landing = str(tmp_path / "inbox"), str(tmp_path / "landing")
+    payloads = spark.createDataFrame(PAYLOADS, "offset bigint, body string")
+    land_payloads(payloads.where("offset = 0"), *_columns(), landing)
+    payloads.where("offset IN (1, 2, 3)").write.parquet(inbox)
+    for _ in range(2):
+        ingest_stream.start_ingest_stream(
+            spark.readStream.schema(payloads.schema).parquet(inbox), *_columns(), landing,
+            str(tmp_path / "progress"), once=True).awaitTermination()
+        payloads.where("offset = 4").write.mode("append").parquet(inbox)
+    land_payloads(payloads.where("offset = 5"), *_columns(), landing)
+    assert read_log(spark, landing).count() == 4 and read_refused(spark, landing).count() == 2
+    assert names_in(spark, f"{landing}/_staged") == []
