@@ -145,7 +145,8 @@ def count_tokens(docs: DataFrame, cache_path: str, path: str | None = None, limi
     # Rows that agree in id and text are encoded once each, and stored once.
     coded = first.select("content", "text").mapInArrow(_encode(path, version, parts_at_space), CACHE_SCHEMA)
     coded.groupBy("content", "version").agg(F.max("n_tokens").alias("n_tokens")).write.mode("append").parquet(cache_path)
-    return sizes.join(stored(), "content").select(
+    # Joined from files, so that a content on a third of all rows can be split at run time.
+    return sizes.join(kept(stored(), "token-counts"), "content").select(
         "doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
 
 
