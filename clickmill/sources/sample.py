@@ -12,15 +12,18 @@ from pyspark.sql import functions as F
 from clickmill.functions.time_uuid import mint_time_uuid
 from clickmill.session import apply_settings
 
-# ``k`` is the number in an event's ``props``.
+# ``k`` is the number in an event's ``props``. Two thirds of the events go to three jobs, two
+# publishers and two campaigns; the others to hundreds of jobs, some of them unknown.
 TRACKING_COLUMNS = {
     "custom_track": "CASE event_type WHEN 'click' THEN 'click' WHEN 'purchase' THEN 'conversion' "
                     "WHEN 'signup' THEN 'qualified' WHEN 'error' THEN 'unqualified' "
                     "ELSE event_type END",
-    "job_id": "CASE WHEN event_id % 50 = 0 THEN NULL ELSE CAST(user_id AS INT) END",
+    "job_id": "CASE WHEN event_id % 50 = 0 THEN NULL WHEN event_id % 3 = 0 THEN CAST(user_id * 11 AS INT) "
+              "ELSE CAST(user_id % 3 AS INT) END",
     "bid": "CASE WHEN k % 10 = 0 THEN NULL WHEN k % 4 = 3 THEN 5 ELSE CAST(k % 4 AS INT) END",
-    "publisher_id": "CASE WHEN event_id % 17 = 0 THEN NULL ELSE CAST(1 + k % 7 AS INT) END",
-    "campaign_id": "CAST(user_id % 11 AS INT)",
+    "publisher_id": "CASE WHEN event_id % 17 = 0 THEN NULL "
+                    "ELSE CAST(1 + k % CASE WHEN event_id % 3 = 0 THEN 7 ELSE 2 END AS INT) END",
+    "campaign_id": "CAST(user_id % CASE WHEN event_id % 3 = 0 THEN 11 ELSE 2 END AS INT)",
     "group_id": "CASE WHEN user_id % 3 = 2 THEN NULL ELSE CAST(user_id % 3 AS INT) END",
 }
 # Every eleventh event reaches the log a day and a half late.
