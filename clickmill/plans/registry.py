@@ -281,7 +281,7 @@ def stream_kpis_stateful(spark, sf_dir):
     kpi_stream.start_stateful_stream(
         _streamed_log(spark, sf_dir), totals, checkpoint, delay="40 days", once=True
     ).awaitTermination()
-    return kpi_stream.latest_totals(spark.read.parquet(totals))
+    return kpi_stream.latest_totals(compaction.served_totals(spark, totals, checkpoint))
 
 
 def stream_replay(spark, sf_dir):

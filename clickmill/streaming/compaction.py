@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from clickmill.operators.kpis import PARTIAL_COLUMNS, merge_partials
-from clickmill.schemas import PARTIALS
+from clickmill.schemas import COUNTS, GRAIN, PARTIALS
 from clickmill.sources.files import create_empty, names_in, remove
 from clickmill.sources.readers import read_if_present
 from clickmill.sources.writers import by_partition
@@ -83,6 +83,38 @@ def compact_partials(
     return max(end, done)
 
 
+def compact_totals(spark: SparkSession, totals_path: str, compacted_path: str, checkpoint: str) -> int:
+    """Keep of the running totals of a stateful stream the newest of every key; the last batch merged.
+
+    Each run reads the rows kept by the one before and the batches committed since.
+    """
+    newest = committed_through(spark, checkpoint)
+    done = max((int(n) for n in names_in(spark, f"{compacted_path}/spans") if n.isdigit()), default=-1)
+    if newest > done:
+        rows = served_totals(spark, totals_path, checkpoint, compacted_path)
+        kept = rows.groupBy(*GRAIN).agg(F.max_by(F.struct(*COUNTS, "bid_sum", "batch_id"), "batch_id").alias("newest"))
+        merged = by_partition(kept.select(*GRAIN, "newest.*"), "date")
+        merged.write.mode("overwrite").partitionBy("date").parquet(f"{compacted_path}/rows/through={newest}")
+        create_empty(spark, f"{compacted_path}/spans/{newest}")
+    return max(newest, done)
+
+
+def served_totals(
+    spark: SparkSession, totals_path: str, checkpoint: str, compacted_path: str | None = None
+) -> DataFrame:
+    """The totals kept last and those of committed batches after them, for ``latest_totals``."""
+    spans = names_in(spark, f"{compacted_path}/spans") if compacted_path else []
+    done = max((int(n) for n in spans if n.isdigit()), default=-1)
+    keyed = StructType([f for f in PARTIALS if f.name != "max_ts"] + [StructField("batch_id", LongType())])
+    batch = F.col("batch_id")
+    fresh = read_if_present(spark, totals_path, keyed).filter(
+        (batch > done) & (batch <= committed_through(spark, checkpoint)))
+    if done < 0:
+        return fresh
+    kept = read_if_present(spark, f"{compacted_path}/rows/through={done}", keyed)
+    return kept.unionByName(fresh)
+
+
 def remove_merged(spark: SparkSession, compacted_path: str) -> None:
     """Delete spans that a merged one stands for, when no reader is at them any more."""
     served = {f"{a}~{b}" for a, b in _finished_spans(spark, compacted_path)}

@@ -128,10 +128,16 @@ def test_stateful_totals_equal_the_batch_unless_an_event_is_too_late(feed, spark
         ).awaitTermination()
         return rows(kpi_stream.latest_totals(spark.read.parquet(totals)))
 
+    def compact():
+        compaction.compact_totals(spark, totals, compacted, feed.checkpoint)
+        served = compaction.served_totals(spark, totals, feed.checkpoint, compacted)
+        return rows(kpi_stream.latest_totals(served))
+
+    compacted = str(tmp_path / "compacted")
     in_time = run()
-    assert in_time == feed.batch()
+    assert in_time == feed.batch() == compact()
     feed.put(event(at(20, 8)))
-    run()
+    assert run() == compact() == feed.batch()
     feed.put(event(at(1, 0), node=999))
     assert len(run()) == len(in_time) + 1
 
