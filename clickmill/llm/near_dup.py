@@ -166,10 +166,11 @@ def components(edges: DataFrame) -> DataFrame:
     last = None
     while True:
         both = state.union(state.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        least = kept(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "least")
+        large = kept(both.join(least, "a").where("b > a").select(
+            F.col("b").alias("a"), F.col("m").alias("b")).distinct(), "links")
         # Every edge now leads from a node to a smaller one: those are the smaller neighbours.
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
+        low = kept(large.groupBy("a").agg(F.min("b").alias("m")), "least")
         joined = large.join(low, "a")
         linked = joined.where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         state = kept(linked.union(low.select("a", F.col("m").alias("b"))).distinct(), "links")
@@ -183,7 +184,8 @@ def components(edges: DataFrame) -> DataFrame:
 
 def _centred(members: DataFrame, order: Column) -> DataFrame:
     """Pairs of each member with the member that comes first in its bucket."""
-    first = members.groupBy("bucket").agg(F.min_by("node", order).alias("centre"), F.min_by("component", order).alias("own"))
+    first = kept(members.groupBy("bucket").agg(
+        F.min_by("node", order).alias("centre"), F.min_by("component", order).alias("own")), "centres")
     return members.join(first, "bucket").where("component != own").select(
         F.greatest("node", "centre").alias("a"), F.least("node", "centre").alias("b")).distinct()
 
@@ -209,6 +211,8 @@ def _across(members: DataFrame, classes: DataFrame, settings: Settings) -> DataF
     def compared(batches):
         held = None
         for batch in batches:
+            if not batch.num_rows:
+                continue
             held = batch if held is None else pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
             cell = np.stack([held.column(c).to_numpy() for c in ("bucket", "i", "j")], 1)
             cuts = np.flatnonzero((cell[1:] != cell[:-1]).any(axis=1)) + 1
@@ -253,7 +257,8 @@ def link(docs: DataFrame, settings: Settings = Settings()) -> tuple[DataFrame, D
         F.min("doc_id").alias("node"), F.first("signature").alias("signature")), "classes")
     rows = signed.join(classes.select("digest", "node"), "digest", "left").select("doc_id", "n_shingles", "node")
     keyed = buckets(classes, settings)
-    shared = keyed.groupBy("bucket").agg(F.min("node").alias("x"), F.max("node").alias("y")).where("x < y").select("bucket")
+    # Joined from files, here and below, so that a hot key can be split at run time.
+    shared = kept(keyed.groupBy("bucket").agg(F.min("node").alias("x"), F.max("node").alias("y")).where("x < y").select("bucket"), "buckets")
     members = kept(keyed.join(shared, "bucket"), "members")
     sets = None
     edges = None
