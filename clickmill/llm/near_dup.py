@@ -109,75 +109,70 @@ def buckets(classes: DataFrame, settings: Settings) -> DataFrame:
     return classes.select(F.explode(keys).alias("bucket"), "node")
 
 
-def agreeing(pairs: DataFrame, classes: DataFrame, settings: Settings) -> DataFrame:
-    """Pairs whose signatures agree in enough minima."""
-    def alike(batches):
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(batch.num_rows, -1)
-                    for c in ("sa", "sb"))
-            yield batch.select(["a", "b"]).filter(pa.array((a == b).sum(axis=1) >= settings.min_agree))
-
-    one = classes.select(F.col("node").alias("a"), F.col("signature").alias("sa"))
-    two = classes.select(F.col("node").alias("b"), F.col("signature").alias("sb"))
-    return pairs.join(one, "a").join(two, "b").select("a", "b", "sa", "sb").mapInArrow(alike, "a bigint, b bigint")
-
-
-def set_table(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``node, found``: the full sets of the documents named."""
+def set_table(docs: DataFrame, nodes: DataFrame, settings: Settings) -> DataFrame:
+    """``node, found, signature``: the full sets of the documents named, with their minima."""
     def collected(batches):
+        family = hash_family(settings)
         for part, texts in text_rows(batches):
+            sets = [shingles(t) for t in texts]
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.array([shingles(t).tobytes() for t in texts], pa.binary())], ["node", "found"])
+                [part.column("doc_id"), pa.array([x.tobytes() for x in sets], pa.binary()),
+                 pa.array([minima(x, family).tobytes() for x in sets], pa.binary())], ["node", "found", "signature"])
 
     chosen = docs.select("doc_id", "text").join(small(nodes.select(F.col("node").alias("doc_id"))), "doc_id", "left_semi")
-    return chosen.mapInArrow(collected, "node bigint, found binary").where(F.length("found") > 0)
+    return chosen.mapInArrow(collected, "node bigint, found binary, signature binary").where(F.length("found") > 0)
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame:
-    """Pairs whose full sets are similar enough."""
+    """Pairs whose signatures agree in enough minima and whose full sets are similar enough."""
+    def similar(x: bytes, y: bytes) -> bool:
+        p, q = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+        if 100 * min(len(p), len(q)) < settings.similarity * max(len(p), len(q)):
+            return False
+        both = len(np.intersect1d(p, q, assume_unique=True))
+        return 100 * both >= settings.similarity * (len(p) + len(q) - both)
+
     def exact(batches):
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
-                ok = []
-                for x, y in zip(part.column("fa").to_pylist(), part.column("fb").to_pylist(), strict=True):
-                    p, q = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                    if 100 * min(len(p), len(q)) < settings.similarity * max(len(p), len(q)):
-                        ok.append(False)
-                        continue
-                    both = len(np.intersect1d(p, q, assume_unique=True))
-                    ok.append(100 * both >= settings.similarity * (len(p) + len(q) - both))
+                one, two = (np.frombuffer(b"".join(part.column(c).to_pylist()), np.uint16).reshape(part.num_rows, -1)
+                            for c in ("sa", "sb"))
+                part = part.filter(pa.array((one == two).sum(axis=1) >= settings.min_agree))
+                ok = [similar(x, y) for x, y in zip(
+                    part.column("fa").to_pylist(), part.column("fb").to_pylist(), strict=True)]
                 yield part.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    one = sets.select(F.col("node").alias("a"), F.col("found").alias("fa"))
-    two = sets.select(F.col("node").alias("b"), F.col("found").alias("fb"))
-    return pairs.join(one, "a").join(two, "b").select("a", "b", "fa", "fb").mapInArrow(exact, "a bigint, b bigint")
+    one, two = (sets.select(F.col("node").alias(n), F.col("found").alias(f"f{n}"), F.col("signature").alias(f"s{n}"))
+                for n in "ab")
+    return pairs.join(one, "a").join(two, "b").select("a", "b", "fa", "fb", "sa", "sb").mapInArrow(
+        exact, "a bigint, b bigint")
+
+
+def _is_forest(links: DataFrame) -> bool:
+    """Whether every node has one link to a smaller one, and that has none itself."""
+    ends = links.select(F.col("a").alias("node"), F.lit(1).alias("up")).union(links.select("b", F.lit(0)))
+    odd = ends.groupBy("node").agg(F.sum("up").alias("ups"), F.min("up").alias("low"))
+    return odd.where("ups > 1 OR (ups = 1 AND low = 0)").isEmpty()
 
 
 def components(edges: DataFrame) -> DataFrame:
     """``node, component`` (the least node reachable) for every node of an edge ``a, b``.
 
-    Large-star links every larger neighbour to the least neighbour, small-star every smaller one,
-    until nothing changes. Each step keeps its edges in the shared folder.
+    Links lead from a node to a smaller one. Large-star moves every link of a node's larger
+    neighbours to its least neighbour; small-star those of its smaller neighbours. They alternate
+    until every component is a star. Each step keeps its links in the shared folder, and a node's
+    least neighbour is found by partial sums before links are joined to it, from files, so that a
+    node with a third of all links can be split.
     """
     state = kept(edges.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
-    last = None
-    while True:
-        both = state.union(state.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = kept(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "least")
-        large = kept(both.join(least, "a").where("b > a").select(
-            F.col("b").alias("a"), F.col("m").alias("b")).distinct(), "links")
-        # Every edge now leads from a node to a smaller one: those are the smaller neighbours.
+    while not _is_forest(state):
+        low = kept(state.groupBy("a").agg(F.min("b").alias("m")), "least").select(F.col("a").alias("n"), "m")
+        large = kept(state.join(low, F.col("b") == F.col("n"), "left").select(
+            "a", F.coalesce("m", "b").alias("b")).distinct(), "links")
         low = kept(large.groupBy("a").agg(F.min("b").alias("m")), "least")
-        joined = large.join(low, "a")
-        linked = joined.where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        state = kept(linked.union(low.select("a", F.col("m").alias("b"))).distinct(), "links")
-        mark = state.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if mark == last:
-            break
-        last = mark
+        rest = large.join(low, "a").where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        state = kept(rest.union(low.select("a", F.col("m").alias("b"))).distinct(), "links")
     return state.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
         state.select(F.col("b"), F.col("b"))).distinct()
 
@@ -190,17 +185,13 @@ def _centred(members: DataFrame, order: Column) -> DataFrame:
         F.greatest("node", "centre").alias("a"), F.least("node", "centre").alias("b")).distinct()
 
 
-def _still_open(members: DataFrame, edges: DataFrame | None) -> DataFrame:
+def _still_open(members: DataFrame, known: DataFrame) -> DataFrame:
     """Members with their component, of buckets of three and more that hold several components.
 
     In a bucket of two the only pair has been looked at.
     """
-    bare = members.select("bucket", "node")
-    if edges is None:
-        return bare.withColumn("component", F.col("node"))
-    known = components(edges)
-    named = bare.join(known, "node", "left").withColumn("component", F.coalesce("component", "node")).select(
-        "bucket", "node", "component")
+    named = members.select("bucket", "node").join(known, "node", "left").select(
+        "bucket", "node", F.coalesce("component", "node").alias("component"))
     wide = named.groupBy("bucket").agg(
         F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("n")).where("x < y AND n > 2")
     return named.join(wide.select("bucket"), "bucket", "left_semi")
@@ -247,7 +238,7 @@ def _across(members: DataFrame, classes: DataFrame, settings: Settings) -> DataF
 
 
 def link(docs: DataFrame, settings: Settings = Settings()) -> tuple[DataFrame, DataFrame]:
-    """(``doc_id, n_shingles, node`` per row, links ``a, b`` between nodes and of ids to nodes).
+    """(``doc_id, n_shingles, node`` per row, ``node, component`` of the nodes that have links).
 
     A node is the least id of the documents with the same set, null for a document without words.
     """
@@ -260,30 +251,27 @@ def link(docs: DataFrame, settings: Settings = Settings()) -> tuple[DataFrame, D
     # Joined from files, here and below, so that a hot key can be split at run time.
     shared = kept(keyed.groupBy("bucket").agg(F.min("node").alias("x"), F.max("node").alias("y")).where("x < y").select("bucket"), "buckets")
     members = kept(keyed.join(shared, "bucket"), "members")
-    sets = None
-    edges = None
-    still = _still_open(members, None)
+    sets = kept(set_table(docs, members.select("node").distinct(), settings), "sets")
+    # The same id may stand on rows with different sets.
+    twice = usable.groupBy("doc_id").agg(F.min("digest").alias("p"), F.max("digest").alias("q")).where("p != q")
+    edges = rows.where("node != doc_id").select(F.col("doc_id").alias("a"), F.col("node").alias("b")).join(
+        twice.select(F.col("doc_id").alias("a")), "a", "left_semi")
+    still, known = members.withColumn("component", F.col("node")), None
     for turn in range(settings.centres + 2):
-        if turn > 0:
-            still = kept(_still_open(still, edges), "members")
-            if still.isEmpty():
-                break
         if turn == 0:
             pairs = _centred(still, F.col("node"))
         elif turn <= settings.centres:
             pairs = _centred(still, F.xxhash64(F.lit(turn), "bucket", "node"))
         else:
             pairs = _across(still, classes, settings)
-        pairs = kept(agreeing(pairs, classes, settings), "pairs")
-        if sets is None:
-            sets = kept(set_table(docs, members.select("node").distinct()), "sets")
-        found = kept(confirmed(pairs, sets, settings), "links")
-        edges = found if edges is None else edges.union(found)
-    # The same id may stand on rows with different sets.
-    many = rows.where("node IS NOT NULL AND doc_id IS NOT NULL AND node != doc_id").select(
-        F.col("doc_id").alias("a"), F.col("node").alias("b"))
-    repeated = usable.groupBy("doc_id").agg(F.min("digest").alias("p"), F.max("digest").alias("q")).where("p != q")
-    return rows, edges.union(many.join(repeated.select(F.col("doc_id").alias("a")), "a", "left_semi"))
+        found = kept(confirmed(kept(pairs, "pairs"), sets, settings), "links")
+        edges = edges.union(found)
+        if known is None or not found.isEmpty():
+            known = kept(components(edges), "components")
+        still = kept(_still_open(still, known), "members")
+        if still.isEmpty():
+            break
+    return rows, known
 
 
 def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -293,8 +281,7 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     nothing: its component is null and it is kept. Rows sharing an id are one document, linked by
     whatever links any of their texts. Other columns are not read; no rows give no rows.
     """
-    rows, edges = link(docs, settings)
-    named = components(edges)
+    rows, named = link(docs, settings)
     labelled = rows.withColumn("node", F.coalesce("node", "doc_id")).join(named, "node", "left")
     component = F.coalesce("component", "node")
     return labelled.select(
