@@ -28,13 +28,14 @@ SHINGLES_AT_ONCE = 4096
 
 @dataclass(frozen=True)
 class Settings:
-    """With 32 bands of 4 minima, a pair at 0.75 shares no bucket once in 190,000 times; at least
-    72 of its 128 minima agree but once in a million."""
+    """With 32 bands of 4 minima, a pair at 0.75 shares no bucket once in 190,000 times. Members of
+    shared buckets get ``verify`` minima, of which at least 338 agree but once in 800,000."""
 
     bands: int = 32
     rows: int = 4
     similarity: int = 75  # hundredths
-    min_agree: int = 72
+    verify: int = 512
+    min_agree: int = 338
     cell: int = 256  # members of a block in the last round
     centres: int = 2  # rounds with further centres
     seed: int = 5
@@ -61,9 +62,8 @@ def shingles(text: str) -> np.ndarray:
     return np.unique(np.array(found, np.uint64))
 
 
-def hash_family(settings: Settings) -> tuple[np.ndarray, np.ndarray]:
+def hash_family(settings: Settings, size: int) -> tuple[np.ndarray, np.ndarray]:
     rng = np.random.default_rng(settings.seed)
-    size = settings.bands * settings.rows
     return (rng.integers(0, 1 << 63, size, dtype=np.uint64) * np.uint64(2) + np.uint64(1),
             rng.integers(0, 1 << 63, size, dtype=np.uint64))
 
@@ -83,7 +83,7 @@ def signatures(docs: DataFrame, settings: Settings) -> DataFrame:
     def signed(batches):
         import xxhash
 
-        family = hash_family(settings)
+        family = hash_family(settings, settings.bands * settings.rows)
         for part, texts in text_rows(batches):
             sizes, digests, marks = [], [], []
             for text in texts:
@@ -112,7 +112,7 @@ def buckets(classes: DataFrame, settings: Settings) -> DataFrame:
 def set_table(docs: DataFrame, nodes: DataFrame, settings: Settings) -> DataFrame:
     """``node, found, signature``: the full sets of the documents named, with their minima."""
     def collected(batches):
-        family = hash_family(settings)
+        family = hash_family(settings, settings.verify)
         for part, texts in text_rows(batches):
             sets = [shingles(t) for t in texts]
             yield pa.RecordBatch.from_arrays(
@@ -197,7 +197,7 @@ def _still_open(members: DataFrame, known: DataFrame) -> DataFrame:
     return named.join(wide.select("bucket"), "bucket", "left_semi")
 
 
-def _across(members: DataFrame, classes: DataFrame, settings: Settings) -> DataFrame:
+def _across(members: DataFrame, signed_nodes: DataFrame, settings: Settings) -> DataFrame:
     """Pairs of members of different components with like signatures, block against block."""
     def compared(batches):
         held = None
@@ -231,7 +231,7 @@ def _across(members: DataFrame, classes: DataFrame, settings: Settings) -> DataF
     cells = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "bucket", "node", "component", "block",
         F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
-    signed = cells.join(classes.select("node", "signature"), "node")
+    signed = cells.join(signed_nodes.select("node", "signature"), "node")
     spread = signed.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
     return spread.select("bucket", "i", "j", "block", "node", "component", "signature").mapInArrow(
         compared, "a bigint, b bigint").distinct()
@@ -256,15 +256,18 @@ def link(docs: DataFrame, settings: Settings = Settings()) -> tuple[DataFrame, D
     twice = usable.groupBy("doc_id").agg(F.min("digest").alias("p"), F.max("digest").alias("q")).where("p != q")
     edges = rows.where("node != doc_id").select(F.col("doc_id").alias("a"), F.col("node").alias("b")).join(
         twice.select(F.col("doc_id").alias("a")), "a", "left_semi")
-    still, known = members.withColumn("component", F.col("node")), None
+    still, known, tried = members.withColumn("component", F.col("node")), None, None
     for turn in range(settings.centres + 2):
         if turn == 0:
             pairs = _centred(still, F.col("node"))
         elif turn <= settings.centres:
             pairs = _centred(still, F.xxhash64(F.lit(turn), "bucket", "node"))
         else:
-            pairs = _across(still, classes, settings)
-        found = kept(confirmed(kept(pairs, "pairs"), sets, settings), "links")
+            pairs = _across(still, sets, settings)
+        # No pair is looked at twice.
+        pairs = kept(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
+        tried = pairs if tried is None else tried.union(pairs)
+        found = kept(confirmed(pairs, sets, settings), "links")
         edges = edges.union(found)
         if known is None or not found.isEmpty():
             known = kept(components(edges), "components")

@@ -75,7 +75,7 @@ def test_last_round_compares_all_members_across_components(spark):
     classes = spark.createDataFrame(rows, "node long, signature binary")
     members = classes.selectExpr("1L AS bucket", "node", "node AS component")
     for cell in (4, 64):
-        pairs = near_dup._across(members, classes, near_dup.Settings(cell=cell)).collect()
+        pairs = near_dup._across(members, classes, near_dup.Settings(cell=cell, min_agree=72)).collect()
         assert {(r["a"], r["b"]) for r in pairs} == {(a, b) for a in range(30) for b in range(a) if a % 3 == b % 3}
         assert len(pairs) == 3 * 45
 
