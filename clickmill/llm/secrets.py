@@ -59,9 +59,13 @@ class Novelty:
             level=19, dict_data=primed, write_checksum=False, write_content_size=False)
 
     def of(self, text: str, start: int, end: int) -> float:
-        """What ``text[start:end]`` adds to its surroundings."""
-        around = (text[max(0, start - AROUND):start] + text[end:end + AROUND]).encode("utf-8", "surrogatepass")
-        with_it = around + text[start:end].encode("utf-8", "surrogatepass")
+        """What ``text[start:end]`` adds to its surroundings, other copies of it left out."""
+        value = text[start:end]
+        # Room for copies that the edge would cut, as a part of one foretells as well.
+        before = text[max(0, start - AROUND - len(value)):start].replace(value, "")[-AROUND:]
+        after = text[end:end + AROUND + len(value)].replace(value, "")[:AROUND]
+        around = (before + after).encode("utf-8", "surrogatepass")
+        with_it = around + value.encode("utf-8", "surrogatepass")
         return (len(self.packer.compress(with_it)) - len(self.packer.compress(around))) / (end - start)
 
 

@@ -68,3 +68,13 @@ def test_redaction(spark):
         [(1, f"a token = {key} b {key} c"), (2, None), (3, "clean"), (4, "")], "doc_id long, text string")
     found = {r["doc_id"]: r["text"] for r in secrets.redact(docs).collect()}
     assert found == {1: "a [SECRET] b [SECRET] c", 2: None, 3: "clean", 4: ""}
+
+
+def test_repeated_secrets_do_not_foretell_themselves():
+    novelty = secrets.Novelty()
+    line = f"curl -H 'Authorization: Bearer {RANDOM}' https://example.com/api\n"
+    for times in (1, 2, 5, 40):
+        text = line * times
+        starts = [m.start() for m in re.finditer(RANDOM, text)]
+        assert secrets.find_spans(text, novelty) == [(s, s + len(RANDOM), "novel") for s in starts]
+    assert not secrets.find_spans("the private_key of database_connection_user_1\n" * 3, novelty)
