@@ -8,6 +8,7 @@ the dictionary or the surroundings foretell add little; keys add all their bits.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -25,11 +26,14 @@ ASSIGN_WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
 #: Words near a string that make it worth measuring.
 CONTEXT = re.compile(
-    r"password|passwd|passphrase|secret|token|api_?key|access_?key|private_?key|credential|bearer|authorization|signature",
+    r"password|passwd|passphrase|secret|token|(?:api|access|private)[ _-]?key|credential|bearer|authorization|signature",
     re.IGNORECASE | re.ASCII)
 CONTEXT_WORDS = ("passw", "passphrase", "secret", "token", "key", "credential", "bearer", "authorization", "signature")
 CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}")
-REACH = 64  # characters from a context word to a candidate
+#: What joins the parts of one secret: tokens in parts, keys over several lines, quoted or not.
+JOINT = re.compile(r"""[ \t\\,+]{0,40}[.\r\n"'][.\s"'\\,+]{0,40}""")
+PEM_TAIL = re.compile(r"""[\s"'\\,+]{1,40}([A-Za-z0-9+/=]{1,15})[\s"'\\,+]{1,40}-----END """)
+REACH = 64  # characters between a context word and a candidate
 AROUND = 512  # characters before and after a candidate that foretell it
 MIN_NOVELTY = 0.55
 
@@ -81,27 +85,56 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 
 
 def novel_spans(text: str, taken: list[tuple[int, int, str]], novelty: Novelty) -> list[tuple[int, int, str]]:
-    """Strings after a context word, outside the base spans, that nothing around them foretells."""
+    """Strings near a context word, outside the base spans, that nothing around them foretells.
+
+    What is joined to a reported string is in its context, before and after it.
+    """
     folded = text.lower()
     if not any(w in folded for w in CONTEXT_WORDS):
         return []
-    near = [m.end() for m in CONTEXT.finditer(text)]
-    found, place, cover, covers = [], 0, 0, sorted(taken)
-    for m in CANDIDATE.finditer(text) if near else ():
-        start, end = m.span()
-        while place + 1 < len(near) and near[place + 1] <= start:
-            place += 1
-        if not 0 <= start - near[place] <= REACH:
-            continue
-        while cover < len(covers) and covers[cover][1] <= start:
+    near = [m.span() for m in CONTEXT.finditer(text)]
+    if not near:
+        return []
+    spans = [m.span() for m in CANDIDATE.finditer(text)]
+    begins, ends = [s for s, _ in near], [e for _, e in near]
+    known: dict[int, bool] = {}
+    reported: list[bool] = []
+    covers, cover, most = sorted(taken), 0, 0
+
+    def judged(i: int) -> bool:
+        if i not in known:
+            start, end = spans[i]
+            value = text[start:end]
+            known[i] = (any(c.isdigit() for c in value) and any(c.isalpha() for c in value)
+                        and novelty.of(text, start, end) >= MIN_NOVELTY)
+        return known[i]
+
+    def joined(i: int) -> bool:
+        return JOINT.fullmatch(text, spans[i][1], spans[i + 1][0]) is not None
+
+    covered = []
+    for i, (start, end) in enumerate(spans):
+        while cover < len(covers) and covers[cover][0] < end:
+            most = max(most, covers[cover][1])
             cover += 1
-        if any(s < end and e > start for s, e, _ in covers[max(0, cover - 2):cover + 3]):
-            continue
-        value = m[0]
-        if not (any(c.isdigit() for c in value) and any(c.isalpha() for c in value)):
-            continue
-        if novelty.of(text, start, end) >= MIN_NOVELTY:
-            found.append((start, end, "novel"))
+        covered.append(most > start)
+        # The first word that ends within reach before the candidate, or begins within reach behind it.
+        at = bisect_left(ends, start - REACH)
+        beside = at < len(near) and begins[at] <= end + REACH
+        reported.append(covered[i] or (
+            (beside or (i > 0 and reported[i - 1] and joined(i - 1))) and judged(i)))
+    for i in range(len(spans) - 2, -1, -1):
+        if not reported[i] and reported[i + 1] and joined(i):
+            reported[i] = judged(i)
+    found = []
+    for i, (start, end) in enumerate(spans):
+        if reported[i]:
+            if not covered[i]:
+                found.append((start, end, "novel"))
+            # The last line of a key, which may be too short to measure.
+            tail = PEM_TAIL.match(text, end)
+            if tail and not any(s < tail.end(1) and e > tail.start(1) for s, e, _ in taken):
+                found.append((*tail.span(1), "novel"))
     return found
 
 

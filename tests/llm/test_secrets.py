@@ -78,3 +78,24 @@ def test_repeated_secrets_do_not_foretell_themselves():
         starts = [m.start() for m in re.finditer(RANDOM, text)]
         assert secrets.find_spans(text, novelty) == [(s, s + len(RANDOM), "novel") for s in starts]
     assert not secrets.find_spans("the private_key of database_connection_user_1\n" * 3, novelty)
+
+
+def test_long_secrets_are_found_whole():
+    import base64
+    import random
+
+    novelty = secrets.Novelty()
+    packed = base64.b64encode(random.Random(1).randbytes(1190)).decode()
+    lines = [packed[i:i + 64] for i in range(0, len(packed), 64)]
+    assert len(lines[-1]) < 64
+    for tail in (lines[-1], lines[-1][:9]):
+        for mark in ("RSA PRIVATE KEY", "PRIVATE KEY"):
+            block = [*lines[:-1], tail]
+            text = f"-----BEGIN {mark}-----\n" + "\n".join(block) + f"\n-----END {mark}-----\n"
+            assert [text[s:e] for s, e, _ in secrets.find_spans(text, novelty)] == block
+    token = ["eyJhbGciOiJIUzI1NiIsInR5cCI6IkpXVCJ9", packed[:150].replace("+", "-").replace("/", "_"), packed[200:243].replace("+", "-").replace("/", "_")]
+    text = "Authorization: Bearer " + ".".join(token) + " sent"
+    assert [text[s:e] for s, e, _ in secrets.find_spans(text, novelty)] == token
+    for text in (f"access-key: {RANDOM}", f"api key {RANDOM}", f"{RANDOM} is the signature", f"x {RANDOM}\n# our private-key"):
+        assert [text[s:e] for s, e, _ in secrets.find_spans(text, novelty)] == [RANDOM]
+    assert not secrets.find_spans(f"{RANDOM} {'far ' * 30} the signature", novelty)
