@@ -52,6 +52,7 @@ TOKEN = re.compile(
 ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
 DEPTH = 64  # elements nested deeper count as part of the one at this depth
 MAX_NODES = 2000  # nodes a wrapper remembers; rarer ones are then taken for varying
+CUT = "*"  # label of what those had, which no element has
 MIN_PAGES = 10  # pages that must agree before a text counts as template
 MAIN_SHARE = 0.8
 HOSTS_HELD = 500
@@ -227,7 +228,18 @@ def trimmed(wrapper: list) -> list:
 
 
 def _without(wrapper: list, least: int) -> list:
-    return [*wrapper[:-1], [_without(k, least) for k in wrapper[-1] if k[1] >= least]]
+    """Nodes of fewer pages are cut; their characters stay, as varying text, in one child ``CUT``."""
+    kids, lost = [], 0
+    for k in wrapper[-1]:
+        if k[0] != CUT and k[1] >= least:
+            kids.append(_without(k, least))
+        else:
+            lost += _characters(k)
+    return [*wrapper[:-1], [*kids, [CUT, 0, 0, True, lost, []]] if lost else kids]
+
+
+def _characters(wrapper: list) -> int:
+    return wrapper[4] + sum(map(_characters, wrapper[-1]))
 
 
 def compile_wrapper(wrapper: list) -> list:
@@ -248,7 +260,7 @@ def compile_wrapper(wrapper: list) -> list:
     def flagged(node, inside: bool) -> list:
         inside = inside or node is centre
         constant = total > 0 and node[1] >= MIN_PAGES and not node[3] and node[4] > 0
-        return [node[0], constant + 2 * inside, [flagged(k, inside) for k in node[-1]]]
+        return [node[0], constant + 2 * inside, [flagged(k, inside) for k in node[-1] if k[0] != CUT]]
 
     return flagged(wrapper, False)
 

@@ -75,3 +75,21 @@ def test_extraction_over_hosts_and_odd_rows(spark):
         expected = [(i, f"T{i}\ntext {i}") for i in range(60)] + [(5, "T5\ntext 5"), (100, "N\nn"), (101, "bare"), (102, ""), (-1, "")]
         assert got == sorted(expected)
     assert pages.extract_pages(frame.limit(0)).collect() == []
+
+
+def test_stories_with_labels_of_their_own_on_a_large_host(monkeypatch):
+    """What is cut from a large wrapper still counts as varying text where it was."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    make = lambda i: (
+        f"<body><div class=top>Our paper</div><div class=side><div class=day>day {i} of the year</div></div>"
+        f"<div class=wrap><div class='story {letters[i % 26]}{letters[i // 26]}x'><p>story {i} " + "words " * 30
+        + "</p></div></div></body>")
+    htmls = [make(i) for i in range(60)]
+    monkeypatch.setattr(pages, "MAX_NODES", 40)
+    whole = pages.wrapper_of(pages.parse(htmls[0])[0])
+    for h in htmls[1:]:
+        whole = pages.trimmed(pages.merge(whole, pages.wrapper_of(pages.parse(h)[0])))
+    assert pages._nodes(whole) <= 40
+    rules = pages.compile_wrapper(whole)
+    for i, h in enumerate(htmls):
+        assert pages.extract(h, rules) == f"story {i} " + " ".join(["words"] * 30)
