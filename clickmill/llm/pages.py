@@ -53,7 +53,8 @@ ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"
 DEPTH = 64  # elements nested deeper count as part of the one at this depth
 MAX_NODES = 2000  # nodes a wrapper remembers; rarer ones are then taken for varying
 CUT = "*"  # label of what those had, which no element has
-MIN_PAGES = 10  # pages that must agree before a text counts as template
+TEMPLATE_SHARE = 0.8  # of the host's distinct pages, two at least, that agree where a text is template
+FEW_PAGES = 10  # with fewer, template must not outweigh what varies: they may be near copies
 MAIN_SHARE = 0.8
 HOSTS_HELD = 500
 MERGED_AT_ONCE = 64
@@ -257,9 +258,19 @@ def compile_wrapper(wrapper: list) -> list:
             break
         centre = inner
 
+    enough = max(2, TEMPLATE_SHARE * wrapper[1])
+
+    def agreed(node) -> bool:
+        return total > 0 and node[1] >= enough and not node[3] and node[4] > 0
+
+    def template(node) -> int:
+        return node[4] * agreed(node) + sum(map(template, node[-1]))
+
+    trusted = wrapper[1] >= FEW_PAGES or template(wrapper) <= total
+
     def flagged(node, inside: bool) -> list:
         inside = inside or node is centre
-        constant = total > 0 and node[1] >= MIN_PAGES and not node[3] and node[4] > 0
+        constant = trusted and agreed(node)
         return [node[0], constant + 2 * inside, [flagged(k, inside) for k in node[-1] if k[0] != CUT]]
 
     return flagged(wrapper, False)
@@ -313,7 +324,7 @@ def with_host(pages: DataFrame) -> DataFrame:
 
 
 def induce(hosted: DataFrame) -> DataFrame:
-    """``host, rules`` from all pages of each host.
+    """``host, rules`` from all distinct pages of each host.
 
     Every task merges the pages it reads into one wrapper per host; those are merged by the
     dozens, level after level, so that no group holds more than ``MERGED_AT_ONCE`` wrappers.
@@ -356,7 +367,8 @@ def induce(hosted: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("host"), pa.array(rules, pa.string())], ["host", "rules"])
 
     parts = kept(
-        hosted.where("host IS NOT NULL").select("host", "html").mapInArrow(partial, "host string, wrapper string")
+        hosted.where("host IS NOT NULL").select("host", "html", F.md5(F.col("html").cast("binary")).alias("digest"))
+        .dropDuplicates(["host", "digest"]).select("host", "html").mapInArrow(partial, "host string, wrapper string")
         .withColumn("part", F.monotonically_increasing_id()), "wrappers")
     # Number the parts of each host from 0, so that neighbours can be merged.
     from pyspark.sql import Window

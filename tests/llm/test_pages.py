@@ -93,3 +93,20 @@ def test_stories_with_labels_of_their_own_on_a_large_host(monkeypatch):
     rules = pages.compile_wrapper(whole)
     for i, h in enumerate(htmls):
         assert pages.extract(h, rules) == f"story {i} " + " ".join(["words"] * 30)
+
+
+def test_copies_and_small_hosts(spark):
+    """Copies of a page do not make its blocks template; two distinct pages can show what is."""
+    tale = lambda i: " ".join(f"{w}{i}" for w in ("once", "upon", "a", "time", "far", "away"))
+    rows = [(i, "https://big.example.com/", f"<article><h1>T{i}</h1><p>{tale(i)}</p></article>") for i in range(40)]
+    copy = f"<article><h1>Copy</h1><p>{tale('c')}</p><ul><li>one<li>two</ul></article>"
+    rows += [(100 + i, "https://big.example.com/", copy) for i in range(12)]
+    rows += [(200 + i, "https://small.example.com/", f"<div><p>{tale(i)} {tale(i)}</p><div>Print me</div></div>") for i in range(3)]
+    # Near copies: what varies is not all that there is.
+    rows += [(300 + i, "https://near.example.com/", f"<div><p>{tale('n')}</p><div>day {i}</div></div>") for i in range(2)]
+    found = {r["page_id"]: r["text"] for r in pages.extract_pages(
+        spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).collect()}
+    assert all(found[100 + i] == f"Copy\n{tale('c')}\none\ntwo" for i in range(12))
+    assert all(found[i] == f"T{i}\n{tale(i)}" for i in range(40))
+    assert all(found[200 + i] == f"{tale(i)} {tale(i)}" for i in range(3))
+    assert all(found[300 + i].startswith(tale("n")) for i in range(2))
