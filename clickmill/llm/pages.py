@@ -36,6 +36,12 @@ NOT_CONTENT_NAMES = frozenset(
     "navigation menu breadcrumb breadcrumbs footer cookie cookies consent notice notices alert popup modal overlay "
     "newsletter subscribe subscription share sharing social comment comments respond replies disqus related "
     "recommended widget toolbar masthead login signup search pagination pager skip".split())
+#: Of those, names that parts of an article have too; inside one the wrapper decides.
+DOUBTFUL_NAMES = frozenset(
+    "notice notices alert related recommended social comment search banner promo promotion menu widget login signup "
+    "consent skip pager pagination navigation subscription subscribe overlay toolbar".split())
+REMARK_NAMES = frozenset("comment comments respond replies disqus".split())
+NEVER_BY_NAME = frozenset("html body".split())
 HEADER_NAMES = frozenset("header masthead topbar".split())
 NOT_CONTENT_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert".split())
 #: An open element of the key ends when one of the values opens; no value: any block does.
@@ -80,14 +86,36 @@ def _named(attributes: str) -> tuple[str, set[str], str]:
             role = value.strip()
         else:
             label.append(re.sub(r"\d+", "#", value))
-            tokens.update(re.findall(r"[a-z]+", value))
+            # A token of several words counts if all of them are names: "cookie-notice", not "has-sidebar".
+            for token in value.split():
+                words = re.findall(r"[a-z]+", token)
+                if len(words) == 1 or NOT_CONTENT_NAMES.issuperset(words):
+                    tokens.update(words)
     return ".".join(label), tokens, role
 
 
 def parse(text: str) -> tuple[Node, list[tuple[Node, str]]]:
-    """The tree of block elements and, in page order, the blocks of text with their nodes."""
+    """The tree of block elements and, in page order, the blocks of text with their nodes.
+
+    If all that a page marks as its article is called something else by name, be it the article
+    itself or what holds it, then the names of those elements do not count. Several articles of the
+    kind are a list of others, as long as there is text beside them; comments are never spared.
+    """
+    root, blocks, seen, named = _parsed(text, frozenset())
+    if seen or not named or (len(named) > 1 and any(not node.boiler for node, _ in blocks)):
+        return root, blocks
+    return _parsed(text, frozenset().union(*named))[:2]
+
+
+def _parsed(text: str, spared: frozenset[int]) -> tuple[Node, list[tuple[Node, str]], bool, list[set[int]]]:
+    """Tree and blocks, whether an article was seen that is not boilerplate, and for each one that
+    is only by name its place in the text and those of the elements around it. Names of elements
+    at the places ``spared`` are not regarded.
+    """
     root = Node("", False, False)
     stack: list[tuple[str, Node]] = [("", root)]
+    opened: list[tuple[int, bool]] = [(-1, False)]  # place of each open element; boilerplate other than by these names
+    seen, named = False, []
     blocks: list[tuple[Node, str]] = []
     words: list[str] = []
 
@@ -101,7 +129,7 @@ def parse(text: str) -> tuple[Node, list[tuple[Node, str]]]:
 
     def close(upto: int):
         flush()
-        del stack[upto:]
+        del stack[upto:], opened[upto:]
 
     at, end = 0, len(text)
     while at < end:
@@ -147,9 +175,21 @@ def parse(text: str) -> tuple[Node, list[tuple[Node, str]]]:
         parent = stack[-1][1]
         names, tokens, role = _named(m[3] or m[6] or "")
         inside = parent.main
+        if tag in NEVER_BY_NAME or m.start() in spared:
+            tokens = set()
+        elif inside:
+            tokens -= DOUBTFUL_NAMES
+        otherwise = (
+            opened[-1][1] or tag in NOT_CONTENT or role in NOT_CONTENT_ROLES or (not inside and tag == "header")
+            or bool(tokens & REMARK_NAMES))
         boiler = (
-            parent.boiler or tag in NOT_CONTENT or role in NOT_CONTENT_ROLES or bool(tokens & NOT_CONTENT_NAMES)
-            or (not inside and (tag == "header" or bool(tokens & HEADER_NAMES))))
+            parent.boiler or otherwise or bool(tokens & NOT_CONTENT_NAMES)
+            or (not inside and bool(tokens & HEADER_NAMES)))
+        opened.append((m.start(), otherwise))
+        if tag in MAIN or role == "main":
+            seen = seen or not boiler
+            if boiler and not otherwise:
+                named.append({place for place, _ in opened})
         if len(stack) >= DEPTH:
             # Still an element of its own for closing; its text belongs to the node above.
             stack.append((tag, parent if boiler == parent.boiler else Node(tag, boiler, inside)))
@@ -162,7 +202,7 @@ def parse(text: str) -> tuple[Node, list[tuple[Node, str]]]:
             parent.kids.append(last)
         stack.append((tag, last))
     flush()
-    return root, blocks
+    return root, blocks, seen, named
 
 
 # A wrapper node is [label, pages, mark of its text, whether that varies, characters, children].

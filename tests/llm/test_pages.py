@@ -110,3 +110,21 @@ def test_copies_and_small_hosts(spark):
     assert all(found[i] == f"T{i}\n{tale(i)}" for i in range(40))
     assert all(found[200 + i] == f"{tale(i)} {tale(i)}" for i in range(3))
     assert all(found[300 + i].startswith(tale("n")) for i in range(2))
+
+
+@pytest.mark.parametrize("html, text", [
+    ("<body class='single has-sidebar'><article><p>a</article>", "a"),
+    ("<html class=menu><body class='sidebar'><p>a<nav>n</nav>", "a"),
+    ("<body><article class='post comments-open'><p>a</article>", "a"),
+    ("<body><article class='sponsored'><p>a</article>", "a"),
+    ("<div class=widget><main class=search><p>a</main></div><div class=sidebar>s</div>", "a"),
+    ("<div id=content class=with-sidebar><p>a</div><div class=sidebar>s</div>", "a"),
+    ("<article><p>a<section id=related-work><p>b</section><p class=notice>c<div class=ad>d</div></article>", "a\nb\nc"),
+    ("<article><p>a</article><div id=comments><article class=comment><p>b</article></div>", "a"),
+    ("<p>a<div class='cookie-notice'>b</div><div class='ad-1'>c</div>", "a"),
+    ("<p>a<div id=comments><article><p>b</article></div>", "a"),
+    ("<p>a<div class=related><article>b</article><article>c</article></div>", "a"),
+    ("<aside><article class=comment><p>b</article></aside><p>a", "a"),
+])
+def test_names_that_do_not_make_boilerplate(html, text):
+    assert pages.extract(html, None) == text
