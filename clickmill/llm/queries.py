@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickmill.llm import decontaminate, mixing, near_dup, pages, passages, quality, rules, secrets, token_counts, warc
+from clickmill.llm import (
+    alignment, decontaminate, language, mixing, near_dup, pages, passages, prefix_trie, quality, rules, secrets,
+    token_counts, warc,
+)
 from clickmill.llm.common import read_table
 
 
@@ -56,11 +59,25 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.extract_pages(read_table(spark, sf_dir, "pages"))
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(read_table(spark, sf_dir, "conversations"), prefix_trie.by_hundreds())
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(read_table(spark, sf_dir, "documents"))
+
+
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return language.identify(docs, language.learn(docs))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_quality_classifier, op2_substring_dedup, op3_token_counts, op4_warc_revisits, op5_quality_rules,
         op6_minhash_dedup, op7_decontamination,
         op8_secret_scan, op9_source_mixing, op10_html_extraction,
+        op11_conversation_trie, op12_token_alignment, op13_language_id,
     )
 }
 _CANONICAL = """
