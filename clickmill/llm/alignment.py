@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+from functools import cache
 from itertools import chain
 
 import numpy as np
@@ -24,14 +25,20 @@ from pyspark.sql import functions as F
 from clickmill.llm.common import kept, text_rows
 
 #: Bytes of text of a block; a longer text is a block of its own.
-BLOCK_BYTES = 8 << 20
-#: Links of all remembered pieces beyond which a task forgets them.
-REMEMBERED = 4_000_000
+BLOCK_BYTES = 4 << 20
+#: Links of all remembered pieces beyond which a worker forgets those it met in the fewest blocks.
+REMEMBERED = 2_000_000
+#: Pieces handed to a tokenizer at once; its answers take a kilobyte each.
+PIECES_AT_ONCE = 4096
+#: Pieces encoded as one text.
+JOINED = 64
 #: Links of a group from which on equal ones are counted rather than listed.
 WIDE = 1024
 #: A pair of ids is ``a << B_BITS | b``.
 B_BITS = 24
 PIECE_SPACE = "▁"
+#: Bytes that begin a solid character: printable ASCII, or the first byte from a range without white space.
+SOLID = np.array([0x20 < c < 0x7F or 0xC2 < c < 0xE1 or c > 0xE3 for c in range(256)])
 
 
 def tokenizer_paths() -> tuple[str, str]:
@@ -81,9 +88,8 @@ class Flat:
         self.starts = np.cumsum(self.sizes) - self.sizes
         self.chars = np.frombuffer(b"".join(tokens), np.uint8)
 
-    def spells(self, ids: list[list[int]], texts: list[bytes]) -> np.ndarray:
+    def spells(self, flat: np.ndarray, counts: np.ndarray, texts: list[bytes]) -> np.ndarray:
         """Whether the tokens of each text, put together, are the text."""
-        flat, counts = laid_out(ids)
         sizes = np.fromiter(map(len, texts), np.int64, len(texts))
         owner = np.repeat(np.arange(len(texts)), counts)
         fits = np.bincount(owner, self.sizes[flat], len(texts)).astype(np.int64) == sizes
@@ -115,26 +121,41 @@ class Aligner:
         self.a_flat, self.b_flat = Flat(self.a_bytes), Flat(self.b_bytes)
         self.digits = [str(i) for i in range(max(len(self.a_bytes), len(pieces)))]
         self.cuts = _parts_at_spaces(json.loads(self.a.to_str()), pieces)
-        self.forget()
-
-    def forget(self) -> None:
         self.known: dict[bytes, int] = {}
         self.groups: list[str | None] = []
-        #: A row per piece: A tokens, B tokens, groups, links, places in ``links``.
-        self.numbers = np.zeros((0, 5), np.int64)
+        #: A row per piece: A tokens, B tokens, groups, links, places in ``links``; and the blocks it was in.
+        self.numbers, self.met = np.zeros((0, 5), np.int64), np.zeros(0, np.int64)
         #: Distinct pairs as they came, and by value; the links of all pieces as places of their pair.
         self.pairs, self.sorted, self.place = (np.zeros(0, np.int64) for _ in range(3))
         self.links, self.weights = np.zeros(0, np.int32), np.zeros(0, np.int32)
 
+    def forget(self, links: int) -> None:
+        """Keep at most ``links``: of the pieces met in most blocks."""
+        held = self.numbers[:, 4]
+        often = np.bincount(np.minimum(self.met, 64), held, 65)[::-1].cumsum()[::-1]
+        stays = np.minimum(self.met, 64) >= np.argmax(np.append(often, 0) <= links)
+        at = _ragged((np.cumsum(held) - held)[stays], held[stays])
+        self.links, self.weights = self.links[at], self.weights[at]
+        self.numbers, self.met = self.numbers[stays], self.met[stays]
+        self.groups = [g for g, ok in zip(self.groups, stays.tolist(), strict=True) if ok]
+        names = [p for p, ok in zip(self.known, stays.tolist(), strict=True) if ok]
+        self.known = dict(zip(names, range(len(names)), strict=True))
+
     def learn(self, pieces: list[bytes]) -> None:
         """Align pieces not known yet; each begins with a space. One that a tokenizer does not give back has no groups."""
-        texts = [p.decode("utf-8") for p in pieces]
-        a_ids = [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]
-        b_ids = self.b.encode([t[1:] for t in texts], num_threads=1)
-        whole = self.a_flat.spells(a_ids, pieces) & self.b_flat.spells(b_ids, pieces)
+        plain = [p for p in pieces if len(p) > 1 and SOLID[p[1]] and p[-1] != 0x20]
+        if len(plain) < len(pieces):
+            # Those that a tokenizer may not part from their neighbours come last, one by one.
+            odd = [p for p in pieces if not (len(p) > 1 and SOLID[p[1]] and p[-1] != 0x20)]
+            pieces = plain + odd
+            parts = [self._encoded(plain)] if self.cuts and plain else [self._ids(plain)] if plain else []
+            a, n_a, b, n_b = (np.concatenate(column) for column in zip(*parts, self._ids(odd), strict=True))
+        else:
+            a, n_a, b, n_b = self._encoded(pieces) if self.cuts else self._ids(pieces)
+        whole = self.a_flat.spells(a, n_a, pieces) & self.b_flat.spells(b, n_b, pieces)
         if not whole.all():
-            a_ids, b_ids = ([x if ok else [] for x, ok in zip(ids, whole, strict=True)] for ids in (a_ids, b_ids))
-        (a, n_a), (b, n_b) = laid_out(a_ids), laid_out(b_ids)
+            a, b = a[np.repeat(whole, n_a)], b[np.repeat(whole, n_b)]
+            n_a, n_b = n_a * whole, n_b * whole
         in_a, in_b = coalesce(self.a_flat.sizes[a], self.b_flat.sizes[b])
         groups = int(in_a[-1]) + 1 if len(in_a) else 0
         g_a, g_b = np.bincount(in_a, minlength=groups), np.bincount(in_b, minlength=groups)
@@ -152,11 +173,34 @@ class Aligner:
         order = np.argsort(owner[at], kind="stable")
         held = np.bincount(owner[at], minlength=len(pieces))
         self.known.update(zip(pieces, range(len(self.numbers), len(self.numbers) + len(pieces)), strict=True))
+        self.met = np.append(self.met, np.zeros(len(pieces), np.int64))
         all_links = np.bincount(owner, g_a * g_b, len(pieces)).astype(np.int64)
         self.numbers = np.concatenate((self.numbers, np.stack([n_a, n_b, n_groups, all_links, held], 1)))
         self.links = np.concatenate((self.links, self._places(pairs[order]).astype(np.int32)))
         self.weights = np.concatenate((self.weights, weights[order].astype(np.int32)))
 
+    def _ids(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of A, how many each text has, and the same of B, which adds the space before a text itself."""
+        said = [t.decode("utf-8") for t in texts]
+        a_ids = [e.ids for e in self.a.encode_batch_fast(said, add_special_tokens=False)]
+        return *laid_out(a_ids), *laid_out(self.b.encode([t[1:] for t in said], num_threads=1))
+
+    def _encoded(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """``_ids`` of all pieces. Both tokenizers part between them, so that many are encoded as one text."""
+        found = []
+        for start in range(0, len(pieces), PIECES_AT_ONCE):
+            part = pieces[start:start + PIECES_AT_ONCE]
+            joined = [b"".join(part[k:k + JOINED]) for k in range(0, len(part), JOINED)]
+            a, n_a, b, n_b = self._ids(joined)
+            if (self.a_flat.spells(a, n_a, joined) & self.b_flat.spells(b, n_b, joined)).all():
+                ends = np.cumsum(np.fromiter(map(len, part), np.int64, len(part)))
+                n_a, n_b = (np.diff(np.searchsorted(np.cumsum(flat.sizes[ids]), ends, "right"), prepend=0)
+                            for flat, ids in ((self.a_flat, a), (self.b_flat, b)))
+                found.append((a, n_a, b, n_b))
+            else:
+                found.append(self._ids(part))
+        return tuple(np.concatenate(column) for column in zip(*found, strict=True))
+
     def _places(self, pairs: np.ndarray) -> np.ndarray:
         """Places of pairs in ``pairs``, where new ones are added."""
         values, inverse = np.unique(pairs, return_inverse=True)
@@ -190,23 +234,28 @@ class Aligner:
         marks[begins] = True
         if self.cuts:
             chars = np.frombuffer(raw, np.uint8)
-            # Solid: printable ASCII, or the first byte of a character from a range without white space.
-            solid = ((chars > 0x20) & (chars < 0x7F)) | ((chars > 0xC2) & ((chars < 0xE1) | (chars > 0xE3)))
-            marks[1:-1] |= (chars[1:-1] == 0x20) & (chars[:-2] != 0x20) & solid[2:]
+            marks[1:-1] |= (chars[1:-1] == 0x20) & (chars[:-2] != 0x20) & SOLID[chars[2:]]
         starts = np.flatnonzero(marks)
         offsets = np.append(starts, len(raw))
         parts = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(raw)])
         coded = parts.dictionary_encode()
         distinct = coded.dictionary.to_pylist()
         if len(self.links) > REMEMBERED:
-            self.forget()
+            self.forget(REMEMBERED // 2)
         missing = [p for p in distinct if p not in self.known]
         if missing:
             self.learn(missing)
         numbers = np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))
+        self.met[numbers] += 1
         return numbers[coded.indices.to_numpy()], np.searchsorted(starts, begins)
 
 
+@cache
+def aligner_of(a_path: str, b_path: str) -> Aligner:
+    """A worker's aligner; what it remembers serves its later tasks too."""
+    return Aligner(a_path, b_path)
+
+
 def _parts_at_spaces(a_file: dict, b_pieces: list[str]) -> bool:
     """Whether the files say that no token of either lies across a space with other characters before it.
 
@@ -227,7 +276,8 @@ def _block(aligner: Aligner, number: int, ids: list, texts: list[str], spell: bo
     """Rows of a block's documents, and one with the pairs they hold and how many hold each."""
     there = [k for k, t in enumerate(texts) if t]
     counts = np.zeros((len(texts), 4), np.int64)
-    told, codes, times = [""] * len(texts), [b""] * len(texts), [b""] * len(texts)
+    told, sums = [""] * len(texts) if spell else [None] * len(texts), [""] * len(texts)
+    codes, times = [b""] * len(texts), [b""] * len(texts)
     used = np.zeros(0, np.int64)
     holders = used
     if there:
@@ -241,7 +291,10 @@ def _block(aligner: Aligner, number: int, ids: list, texts: list[str], spell: bo
             if None in parts:
                 good[k] = False
             else:
-                told[there[k]] = ";".join(parts)
+                line = ";".join(parts)
+                sums[there[k]] = hashlib.sha256(line.encode()).hexdigest()
+                if spell:
+                    told[there[k]] = line
         counts[np.array(there)[good]] = np.add.reduceat(numbers[pieces, :4], begins)[good]
         doc = np.repeat(np.arange(len(there)), np.diff(np.append(begins, len(pieces))))
         pieces, doc = pieces[good[doc]], doc[good[doc]]
@@ -268,10 +321,9 @@ def _block(aligner: Aligner, number: int, ids: list, texts: list[str], spell: bo
             codes[place] = code[edges[k]:edges[k + 1]].tobytes()
             times[place] = often[edges[k]:edges[k + 1]].tobytes()
     n = len(texts) + 1
-    sums = [hashlib.sha256(t.encode()).hexdigest() if t else "" for t in told]
     columns = [pa.array([number] * n, pa.int64()), pa.array([*ids, None], pa.int64())]
     columns += [pa.array([*c.tolist(), None], pa.int64()) for c in counts.T]
-    columns += [pa.array([*told, None] if spell else [None] * n, pa.string()), pa.array([*sums, None])]
+    columns += [pa.array([*x, None], pa.string()) for x in (told, sums)]
     columns += [pa.array([*x, None], pa.binary()) for x in (codes, times)]
     columns += [pa.ListArray.from_arrays(pa.array([None] * (n - 1) + [0, len(x)], pa.int32()), pa.array(x))
                 for x in (used, holders)]
@@ -285,7 +337,7 @@ def _encode(a_path: str, b_path: str, block_bytes: int, spell: bool):
         from pyspark import TaskContext
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        aligner, number = Aligner(a_path, b_path), TaskContext.get().partitionId() << 32
+        aligner, number = aligner_of(a_path, b_path), TaskContext.get().partitionId() << 32
         ids, texts, size = [], [], 0
         for part, more in text_rows(batches):
             for doc_id, text in zip(part.column("doc_id").to_pylist(), more, strict=True):
