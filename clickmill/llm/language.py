@@ -21,8 +21,10 @@ from clickmill.llm.common import held_out, text_rows
 
 SPACE = 32
 #: Documents bundled at once, and distinct n-grams held as vectors at once.
-DOCS_AT_ONCE = 32
+DOCS_AT_ONCE = 64
 GRAMS_AT_ONCE = 8192
+#: N-grams are numbered through a table where the alphabet's all fit into it, and sorted elsewhere.
+CODES = 1 << 21
 #: Unit vectors are added up as whole numbers of this part, so that no order of adding matters.
 GRAIN = 1 << 20
 UNDETERMINED = "und"
@@ -96,6 +98,30 @@ class Bundler:
             bound = bound * np.roll(table, n - 1 - k, axis=1)[places[:, k]]
         return bound
 
+    def _distinct(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """A row of each distinct n-gram, and the number of every row's n-gram."""
+        n = rows.shape[1]
+        there = np.zeros(0x110000, bool)
+        for k in range(n):
+            there[rows[:, k]] = True
+        alphabet = np.cumsum(there) - 1
+        size = int(alphabet[-1]) + 1
+        direct = size ** n <= CODES
+        codes = alphabet[rows[:, 0]] if direct else rows[:, 0].astype(np.uint64)
+        # Few letters are numbered; three of any fit side by side; longer n-grams are hashed to 64 bits.
+        step = size if direct else np.uint64(1 << 21 if n <= 3 else 0x9E3779B97F4A7C15)
+        for k in range(1, n):
+            codes = codes * step + (alphabet[rows[:, k]] if direct else rows[:, k])
+        if not direct:
+            _, first, gram = np.unique(codes, return_index=True, return_inverse=True)
+            return first, gram
+        place = np.full(size ** n, -1)
+        place[codes] = np.arange(len(codes))
+        found = np.flatnonzero(place >= 0)
+        first = place[found]
+        place[found] = np.arange(len(found))
+        return first, place[codes]
+
     def vectors(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """A vector a text, and whether it has a letter at all; without one all is 0."""
         n = self.settings.gram
@@ -111,12 +137,7 @@ class Bundler:
         if not windows:
             return out, np.zeros(len(texts), bool)
         rows, owner = np.concatenate(windows), np.concatenate(owners)
-        codes = rows[:, 0].astype(np.uint64)
-        # Up to three letters fit side by side; longer n-grams are hashed to 64 bits.
-        step = np.uint64(1 << 21 if n <= 3 else 0x9E3779B97F4A7C15)
-        for k in range(1, n):
-            codes = codes * step + rows[:, k]
-        _, first, gram = np.unique(codes, return_index=True, return_inverse=True)
+        first, gram = self._distinct(rows)
         for start in range(0, len(first), GRAMS_AT_ONCE):
             part = first[start:start + GRAMS_AT_ONCE]
             mine = (gram >= start) & (gram < start + len(part)) if len(first) > GRAMS_AT_ONCE else slice(None)

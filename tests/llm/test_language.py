@@ -95,6 +95,14 @@ def test_against_brute_force(spark, settings):
     same(predicted(spark, rows, settings), brute(rows, settings))
 
 
+def test_numbered_and_sorted_ngrams_agree(monkeypatch):
+    texts = [t for _, t, _ in corpus(6)] + ["日本語のテキスト 漢字", "", "a"]
+    one, _ = language.Bundler(SMALL).vectors(texts)
+    monkeypatch.setattr(language, "CODES", 0)
+    two, _ = language.Bundler(SMALL).vectors(texts)
+    assert np.array_equal(one, two) and one.any(axis=1).sum() == len(texts) - 1
+
+
 def test_many_ngrams_and_a_very_long_text(spark, monkeypatch):
     monkeypatch.setattr(language, "GRAMS_AT_ONCE", 10)
     rng = random.Random(4)
