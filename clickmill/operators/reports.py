@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickmill.operators.enrich import SINK_NAMES, attach
@@ -76,3 +76,36 @@ def kpi_by_campaign(kpis: DataFrame) -> DataFrame:
         F.sum("spend_hour").alias("spend"),
     )
     return totals.withColumn("cost_per_conversion", F.try_divide(F.col("spend"), F.col("conversions")))
+
+
+# A report's name by the bits of its grouping id: of publisher, campaign, job and date, those left out.
+_REPORTS = {0b1100: "job_day", 0b0111: "publisher", 0b1011: "campaign"}
+
+
+def kpi_reports(kpis: DataFrame, publishers: DataFrame, **join: int) -> DataFrame:
+    """The three reports above as one table, from one pass over the KPIs and one shuffle.
+
+    ``report`` names the one a row belongs to; keys and measures that it does not have are NULL.
+    """
+    publisher, campaign, job, date = (F.col(c) for c in ("publisher_id", "campaign_id", "job_id", "date"))
+    judged = F.coalesce("qualified", F.lit(0)) + F.coalesce("unqualified", F.lit(0))
+    totals = kpis.groupingSets([[job, date], [publisher], [campaign]], publisher, campaign, job, date).agg(
+        F.grouping_id().alias("left_out"), *[F.sum(c).alias(c) for c in COUNTS],
+        F.sum("spend_hour").alias("spend"), F.sum(judged).alias("judged"),
+    )
+    report = F.element_at(F.create_map(*[F.lit(x) for pair in _REPORTS.items() for x in pair]), F.col("left_out").cast("int"))
+
+    def only(names: list[str], value: Column) -> Column:
+        return F.when(F.col("report").isin(names), value)
+
+    named = totals.withColumn("report", report).select(
+        "report", "job_id", F.col("date").alias("dates"), "publisher_id", "campaign_id", "clicks",
+        only(["job_day", "campaign"], F.col("conversions")).alias("conversions"),
+        only(["job_day", "publisher"], F.col("qualified")).alias("qualified"),
+        only(["job_day", "publisher"], F.col("unqualified")).alias("unqualified"),
+        only(["job_day", "campaign"], F.col("spend")).alias("spend"),
+        only(["publisher"], F.try_divide(F.coalesce("qualified", F.lit(0)), F.col("judged"))).alias("quality"),
+        only(["campaign"], F.try_divide(F.col("spend"), F.col("conversions"))).alias("cost_per_conversion"),
+    )
+    names = publishers.select(F.col("id").alias("publisher_id"), "publisher_name")
+    return attach(named, names, "publisher_id", ["publisher_id"], salts=1, **join)

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from clickmill.functions.time_uuid import utc_instant
@@ -12,7 +13,7 @@ from clickmill.operators.enrich import SINK_NAMES, company_enriched, sink_rows
 from clickmill.operators.kpis import batch_high_mark, finish_partials, hourly_partials
 from clickmill.operators.tracking import LOG_DATE, incremental_slice
 from clickmill.schemas import DEFAULT_SOURCE, TAILS
-from clickmill.session import scratch
+from clickmill.session import observed
 from clickmill.sources.sinks import Run, Sink
 
 
@@ -44,7 +45,9 @@ def rows_of(partials: DataFrame, jobs: DataFrame, source: str = DEFAULT_SOURCE)
 
 
 def tails_of(events: DataFrame, mark: int) -> DataFrame:
-    """Partials of the second ``mark`` (microseconds), which an inclusive run counts again."""
+    """Partials of the second ``mark`` (microseconds), which an inclusive run counts again.
+
+    A log read from files is the same one that the run has read, as they were listed before."""
     last = incremental_slice(events, mark).where(F.unix_micros("ts") == mark)
     named = hourly_partials(last).withColumnsRenamed(SINK_NAMES).withColumnRenamed("bid_sum", "spend_hour")
     stamped = named.withColumn("updated_at", F.timestamp_micros(F.lit(mark)))
@@ -53,14 +56,17 @@ def tails_of(events: DataFrame, mark: int) -> DataFrame:
 
 def run_incremental(
     events: DataFrame, jobs: DataFrame, sink: Sink, source: str = DEFAULT_SOURCE,
-    inclusive: bool = True, since: int | dt.datetime | str | None = None,
+    inclusive: bool = True, since: int | dt.datetime | str | None = None, name: str | None = None,
 ) -> bool:
-    """Publish the KPIs of events at or after the sink's mark; tells whether there were events.
+    """Publish the KPIs of events at or after the sink's mark; tells whether there were any to count.
 
     ``events`` come from a log kept by date (``write_log``), so that a run reads the dates and row
-    groups it needs and decodes no id; a raw log is refused. A run that fails leaves nothing to
-    be seen and is simply run again. A run that finds only the newest second of the one before,
-    or no event of a counted kind, leaves the sink as it is.
+    groups it needs and decodes no id; a raw log is refused. One job goes from the events to
+    the sink's rows; the newest event time, and whether anything was counted, are observed on the
+    way. A run that fails leaves nothing to be seen and is simply run again; under a ``name`` of
+    the caller's it replaces what a lost try has left, and does nothing once published. A run that
+    finds only the newest second of the one before, or no event of a counted kind, leaves the sink
+    as it is.
 
     As the comparison is inclusive, the last second of a run is read again by the next; what is
     counted twice is kept next to the rows (``reports.sink_merged``). Events older than the mark
@@ -68,18 +74,26 @@ def run_incremental(
     """
     if LOG_DATE not in events.columns:
         raise ValueError("bring the log's new events into one kept by date first, with write_log")
-    spark = events.sparkSession
-    with sink.writing(), scratch(spark, "batch") as folder:
-        start = sink.mark() if since is None else _micros(spark, since)
-        fresh = incremental_slice(events, start, inclusive)
-        partials = stage_partials(fresh, f"{folder}/partials")
-        mark = partials.agg(F.max(F.unix_micros("max_ts"))).first()[0]
-        if mark is None:
-            return False
-        if not partials.where(F.col("job_id").isNotNull()).isEmpty():
-            tails = stage(tails_of(events, mark), f"{folder}/tails")
-            sink.publish(Run(rows_of(partials, jobs, source), tails, start, mark, inclusive))
+    if name is not None and sink.has(name):
         return True
+    start = sink.mark() if since is None else _micros(events.sparkSession, since)
+    name = name or f"{start}-{uuid.uuid4().hex}"
+    seen = Observation()
+    partials = hourly_partials(incremental_slice(events, start, inclusive), carry_other_kinds=True).observe(
+        seen, F.max(F.unix_micros("max_ts")).alias("mark"), F.count("job_id").alias("counted"))
+    kpis = company_enriched(finish_partials(partials), jobs)
+    try:
+        # Each row's mark is that of its run, which is known when all are written.
+        sink.write(sink_rows(kpis, F.lit(None), source), name)
+        mark, counted = observed(seen, "mark", "counted")
+        if counted and mark > start:
+            sink.publish(Run(name, start, mark, inclusive, tails_of(events, mark)))
+        else:
+            sink.discard(name)
+    except BaseException:
+        sink.discard(name)
+        raise
+    return bool(counted)
 
 
 def _micros(spark: SparkSession, moment: int | dt.datetime | str) -> int:

@@ -258,6 +258,11 @@ ORACLES: dict[str, str] = {
         SELECT {", ".join("kpis." + k for k in KEYS)}, bid_set, clicks, spend_hour, conversions,
                qualified, unqualified, company_id
         FROM kpis LEFT JOIN job ON job.id = kpis.job_id""",
+    "company_bucketed": _with(EVENTS, TABLES, _kpis("tracking")) + f"""
+        SELECT {", ".join("kpis." + k for k in KEYS)}, bid_set, clicks, spend_hour, conversions,
+               qualified, unqualified, company_id
+        FROM kpis LEFT JOIN job ON job.id = kpis.job_id""",
+    "log_replayed": KPIS,
     "batch_high_mark": _with(EVENTS) + "SELECT max(ts) AS high_mark FROM tracking",
     "sink_rows": _with(EVENTS, TABLES, _kpis("tracking"))
         + _sink("kpis", "(SELECT max(ts) FROM tracking)"),
@@ -271,6 +276,9 @@ ORACLES: dict[str, str] = {
         FROM tracking, mark WHERE arrived_at >= {CUT} AND ts < high_mark GROUP BY ALL""",
     "incremental_run": INCREMENTAL,
     "incremental_retry": INCREMENTAL,
+    "empty_batch": _with(EVENTS, TABLES, EARLY, MARK, _kpis("early", "first_run"))
+        + "SELECT *, FALSE AS found, TRUE AS mark_kept FROM ("
+        + _sink("first_run", "(SELECT high_mark FROM mark)") + ")",
     "sink_merged": COUNTED + _merged("kpis"),
     "sink_by_job_day": COUNTED + """SELECT job_id, date AS dates, CAST(sum(clicks) AS BIGINT) AS clicks,
         CAST(sum(conversions) AS BIGINT) AS conversions, CAST(sum(qualified) AS BIGINT) AS qualified,
@@ -334,6 +342,28 @@ totals AS (
                CAST(spend AS DOUBLE) / conversions AS cost_per_conversion FROM totals""",
     "stream_hourly_kpis": KPIS,
     "stream_hourly_kpis_stateful": KPIS,
+    "kpi_reports": _with(EVENTS, TABLES, _kpis("tracking")) + """
+        SELECT 'job_day' AS report, job_id, date AS dates, CAST(NULL AS INT) AS publisher_id,
+               CAST(NULL AS INT) AS campaign_id, CAST(sum(clicks) AS BIGINT) AS clicks,
+               CAST(sum(conversions) AS BIGINT) AS conversions, CAST(sum(qualified) AS BIGINT) AS qualified,
+               CAST(sum(unqualified) AS BIGINT) AS unqualified, CAST(sum(spend_hour) AS BIGINT) AS spend,
+               CAST(NULL AS DOUBLE) AS quality, CAST(NULL AS DOUBLE) AS cost_per_conversion,
+               CAST(NULL AS VARCHAR) AS publisher_name
+        FROM kpis GROUP BY job_id, date
+        UNION ALL
+        SELECT 'publisher', NULL, NULL, publisher_id, NULL, CAST(sum(clicks) AS BIGINT), NULL,
+               CAST(sum(qualified) AS BIGINT), CAST(sum(unqualified) AS BIGINT), NULL,
+               CAST(coalesce(sum(qualified), 0) AS DOUBLE)
+                   / nullif(coalesce(sum(qualified), 0) + coalesce(sum(unqualified), 0), 0), NULL,
+               any_value(publisher_name)
+        FROM kpis LEFT JOIN publisher ON publisher.id = publisher_id GROUP BY publisher_id
+        UNION ALL
+        SELECT 'campaign', NULL, NULL, NULL, campaign_id, CAST(sum(clicks) AS BIGINT),
+               CAST(sum(conversions) AS BIGINT), NULL, NULL, CAST(sum(spend_hour) AS BIGINT), NULL,
+               CAST(sum(spend_hour) AS DOUBLE) / sum(conversions), NULL
+        FROM kpis GROUP BY campaign_id""",
+    "stream_state_totals": KPIS,
+    "stream_late_side": KPIS,
     "stream_replay": KPIS,
     "stream_compacted": KPIS,
     "ingest_accepted": ACCEPTED,
@@ -347,5 +377,7 @@ totals AS (
     ) + f"""SELECT {KEY_LIST}, bid_set, clicks, spend_hour, conversions, qualified, unqualified
         FROM kpis""",
     "schema_contract": _contract(),
+    "create_if_missing": _with(EVENTS, TABLES, _kpis("tracking"))
+        + _sink("kpis", "(SELECT max(ts) FROM tracking)"),
     "bootstrap_if_empty": _with(TABLES) + "SELECT id, company_id, group_id, campaign_id FROM job",
 }

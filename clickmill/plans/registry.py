@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
-from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,14 +14,14 @@ from clickmill.operators import enrich, kpis, reports
 from clickmill.operators import tracking as track
 from clickmill.operators.ingest import ACCEPTED
 from clickmill.plans.incremental import rows_of, run_incremental, stage_partials
-from clickmill.schemas import JOB, PUBLISHER, TRACKING
+from clickmill.schemas import DEFAULT_SOURCE, HOURLY_KPI, JOB, PUBLISHER, TRACKING
 from clickmill.session import scratch_dir
 from clickmill.sources import landing, sample
 from clickmill.sources.contract import schema_contract
 from clickmill.sources.readers import read_if_present, sink_watermark
-from clickmill.sources.sinks import Run, Sink, parquet_sink
-from clickmill.sources.writers import bootstrap_if_empty, by_partition, write_log
-from clickmill.streaming import compaction, ingest_stream, kpi_stream, sink_stream
+from clickmill.sources.sinks import ParquetSink, Run, Sink, parquet_sink
+from clickmill.sources.writers import bootstrap_if_empty, by_partition, create_table_if_missing, write_log
+from clickmill.streaming import compaction, ingest_stream, kpi_stream, late_split, sink_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -77,9 +77,16 @@ def _kept_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def incremental_slice(spark, sf_dir):
-    """Dates and row groups before the watermark are not read."""
-    events = track.tracking_events(_kept_log(spark, sf_dir))
-    return _without_zone(track.incremental_slice(events, sample.CUT).drop(track.LOG_DATE), "ts")
+    return _without_zone(track.incremental_slice(_events(spark, sf_dir), sample.CUT), "ts")
+
+
+def log_replayed(spark, sf_dir):
+    """A log written in two calls that overlap, the second of them twice: each event once."""
+    path, log = scratch_dir(spark, "log"), sample.tracking(spark, sf_dir)
+    write_log(log.where(F.col("arrived_at") < F.lit(sample.CUT).cast("timestamp")), path)
+    for _ in range(2):
+        write_log(log, path)
+    return kpis.hourly_kpis(track.tracking_events(spark.read.parquet(path)))
 
 
 # --- aggregates and joins ----------------------------------------------------------------------
@@ -111,6 +118,17 @@ def company_salted(spark, sf_dir):
         hourly_kpis(spark, sf_dir), sample.jobs(spark, sf_dir), broadcast_bytes=-1)
 
 
+def company_bucketed(spark, sf_dir):
+    """The same from tables kept in buckets of the job, joined where they lie."""
+    named = {n: f"clickmill_{n}_{uuid.uuid4().hex}" for n in ("kpis", "jobs")}
+    kept = {"kpis": hourly_kpis(spark, sf_dir), "jobs": enrich.job_dim(sample.jobs(spark, sf_dir))}
+    tables = [enrich.keep_bucketed(kept[n], table, scratch_dir(spark, n), buckets=8) for n, table in named.items()]
+    joined = enrich.company_bucketed(*tables)
+    for table in named.values():
+        spark.sql(f"DROP TABLE {table}")  # the catalog's entry; the files stay for the result
+    return joined
+
+
 def fractional_bids(spark, sf_dir):
     """Clicks priced in quarters; sums of decimals do not depend on the order of events."""
     raw = sample.events(spark, sf_dir).select("event_id", (F.col("k").cast("decimal(10,2)") / 4).cast("decimal(10,2)").alias("bid"))
@@ -158,26 +176,44 @@ def _plain_money(rows: DataFrame) -> DataFrame:
     return rows.withColumns({c: F.col(c).cast(kind) for c, kind in types.items()})
 
 
+class _Lossy(ParquetSink):
+    """A sink whose runs get half of their dates in and end."""
+
+    def write(self, rows: DataFrame, name: str) -> None:
+        super().write(rows.where(F.dayofmonth("dates") % 2 == 0), name)
+        raise RuntimeError("the run was lost")
+
+    def discard(self, name: str) -> None:
+        """A lost run takes nothing away."""
+
+
 def _two_runs(spark: SparkSession, sf_dir: str, fail: bool = False) -> Sink:
     """Two runs over a log kept by event date, the second when all events have arrived."""
     log, jobs = _kept_log(spark, sf_dir), sample.jobs(spark, sf_dir)
-    sink = parquet_sink(spark, scratch_dir(spark, "sink"))
+    path = scratch_dir(spark, "sink")
+    sink = parquet_sink(spark, path)
     run_incremental(_arrived(log, early=True), jobs, sink)
     if fail:
-        def half(run: Run) -> None:
-            """Half of the dates get into the sink, and the run ends."""
-            some = run.rows.where(F.dayofmonth("dates") % 2 == 0)
-            sink.publish(replace(run, rows=some, mark=run.since))
-            raise RuntimeError("the run was lost")
-
         try:
-            run_incremental(track.tracking_events(log), jobs, replace(sink, publish=half))
+            run_incremental(track.tracking_events(log), jobs, _Lossy(spark, path), name="second")
         except RuntimeError:
             pass
-    run_incremental(track.tracking_events(log), jobs, sink)
+    run_incremental(track.tracking_events(log), jobs, sink, name="second")
     return sink
 
 
+def empty_batch(spark, sf_dir):
+    """A run that finds no events leaves the sink and its mark as they were."""
+    log, jobs = _kept_log(spark, sf_dir), sample.jobs(spark, sf_dir)
+    sink = parquet_sink(spark, scratch_dir(spark, "sink"))
+    run_incremental(_arrived(log, early=True), jobs, sink)
+    before, nothing = sink.mark(), _arrived(log, early=True)
+    found = run_incremental(nothing, jobs, sink, inclusive=False)
+    rows = _plain_money(sink.rows().drop("id")).withColumns({
+        "found": F.lit(found), "mark_kept": F.lit(sink.mark() == before)})
+    return _without_zone(rows, "updated_at")
+
+
 def incremental_run(spark, sf_dir):
     rows = _two_runs(spark, sf_dir).rows().drop("id")
     return _without_zone(_plain_money(rows), "updated_at")
@@ -238,6 +274,10 @@ def kpi_by_campaign(spark, sf_dir):
     return reports.kpi_by_campaign(hourly_kpis(spark, sf_dir))
 
 
+def kpi_reports(spark, sf_dir):
+    return reports.kpi_reports(hourly_kpis(spark, sf_dir), sample.publishers(spark, sf_dir))
+
+
 # --- streams -----------------------------------------------------------------------------------
 
 
@@ -253,7 +293,7 @@ def stream_kpis(spark, sf_dir):
     partials, checkpoint = scratch_dir(spark, "partials"), scratch_dir(spark, "progress")
     log = _streamed_log(spark, sf_dir)
     kpi_stream.start_kpi_stream(log, partials, checkpoint, once=True).awaitTermination()
-    return reports.kpi_merged(compaction.served_partials(spark, partials, checkpoint))
+    return reports.kpi_merged(compaction.served_partials(spark, partials))
 
 
 def stream_distinct(spark, sf_dir):
@@ -264,7 +304,7 @@ def stream_distinct(spark, sf_dir):
     partials, checkpoint = scratch_dir(spark, "partials"), scratch_dir(spark, "progress")
     kpi_stream.start_kpi_stream(
         twice, partials, checkpoint, once=True, distinct_within="60 days").awaitTermination()
-    return reports.kpi_merged(compaction.served_partials(spark, partials, checkpoint))
+    return reports.kpi_merged(compaction.served_partials(spark, partials))
 
 
 def stream_sink_rows(spark, sf_dir):
@@ -272,16 +312,50 @@ def stream_sink_rows(spark, sf_dir):
     sink, checkpoint = scratch_dir(spark, "sink"), scratch_dir(spark, "progress")
     sink_stream.start_sink_stream(
         _streamed_log(spark, sf_dir), sample.jobs(spark, sf_dir), sink, checkpoint, once=True).awaitTermination()
-    rows = reports.sink_merged(sink_stream.streamed_rows(spark, sink, checkpoint))
+    rows = reports.sink_merged(sink_stream.streamed_rows(spark, sink))
     return _plain_money(rows).drop("updated_at")
 
 
 def stream_kpis_stateful(spark, sf_dir):
-    totals, checkpoint = scratch_dir(spark, "totals"), scratch_dir(spark, "progress")
-    kpi_stream.start_stateful_stream(
-        _streamed_log(spark, sf_dir), totals, checkpoint, delay="40 days", once=True
+    """Totals of hours still open, served from the stream's state."""
+    closed, checkpoint = scratch_dir(spark, "closed"), scratch_dir(spark, "progress")
+    kpi_stream.start_state_stream(
+        _streamed_log(spark, sf_dir), closed, checkpoint, delay="40 days", once=True
     ).awaitTermination()
-    return kpi_stream.latest_totals(compaction.served_totals(spark, totals, checkpoint))
+    return kpi_stream.kpis_of_totals(kpi_stream.state_totals(spark, closed, checkpoint))
+
+
+def _split_log(spark: SparkSession, sf_dir: str, delay: str) -> str:
+    """The streamed log parted into events in time and late ones; the place of both."""
+    path = scratch_dir(spark, "split")
+    late_split.start_late_split(
+        _streamed_log(spark, sf_dir), path, scratch_dir(spark, "progress"), delay, once=True).awaitTermination()
+    return path
+
+
+def _late_partials(spark: SparkSession, path: str) -> DataFrame:
+    return kpis.hourly_partials(track.tracking_events(late_split.read_late(spark, path)))
+
+
+def stream_late_side(spark, sf_dir):
+    """Events in time through a stateful step, late ones from the side: together all of them."""
+    path = _split_log(spark, sf_dir, "12 hours")
+    partials, checkpoint = scratch_dir(spark, "partials"), scratch_dir(spark, "progress")
+    kpi_stream.start_kpi_stream(
+        late_split.read_kept(spark, path, stream=True), partials, checkpoint, once=True,
+        distinct_within="12 hours").awaitTermination()
+    served = compaction.served_partials(spark, partials)
+    return reports.kpi_merged(served.unionByName(_late_partials(spark, path)))
+
+
+def stream_state_totals(spark, sf_dir):
+    """Closed hours as written, open ones from the state, and late events from the side."""
+    path = _split_log(spark, sf_dir, "2 days")
+    closed, checkpoint = scratch_dir(spark, "closed"), scratch_dir(spark, "progress")
+    kept = late_split.read_kept(spark, path, stream=True)
+    kpi_stream.start_state_stream(kept, closed, checkpoint, delay="2 days", once=True).awaitTermination()
+    totals = kpi_stream.state_totals(spark, closed, checkpoint)
+    return kpi_stream.kpis_of_totals(totals, _late_partials(spark, path))
 
 
 def stream_replay(spark, sf_dir):
@@ -297,11 +371,11 @@ def stream_replay(spark, sf_dir):
         kpi_stream.start_kpi_stream(
             log, partials, checkpoint, once=True, write=twice
         ).awaitTermination()
-    return reports.kpi_merged(compaction.served_partials(spark, partials, checkpoint))
+    return reports.kpi_merged(compaction.served_partials(spark, partials))
 
 
 def stream_compacted(spark, sf_dir):
-    """Streamed partials, compacted while the stream goes on, spans merged with each other."""
+    """Streamed partials, compacted while the stream goes on, once for dates compacted before."""
     partials, compacted = scratch_dir(spark, "partials"), scratch_dir(spark, "compacted")
     log, checkpoint = _streamed_log(spark, sf_dir), scratch_dir(spark, "progress")
     write = kpi_stream.write_partials(partials)
@@ -309,11 +383,11 @@ def stream_compacted(spark, sf_dir):
     def write_and_compact(events: DataFrame, batch_id: int) -> None:
         write(events, batch_id)
         if batch_id % 2:
-            compaction.compact_partials(spark, partials, compacted, checkpoint, most_spans=1)
+            compaction.compact_partials(spark, partials, compacted)
 
     kpi_stream.start_kpi_stream(
         log, partials, checkpoint, once=True, write=write_and_compact).awaitTermination()
-    return reports.kpi_merged(compaction.served_partials(spark, partials, checkpoint, compacted))
+    return reports.kpi_merged(compaction.served_partials(spark, partials, compacted))
 
 
 # --- ingestion ---------------------------------------------------------------------------------
@@ -379,7 +453,7 @@ def stream_ingest_to_kpis(spark, sf_dir):
     log = landing.read_log(spark, _streamed(spark, sf_dir), stream=True)
     partials, checkpoint = scratch_dir(spark, "partials"), scratch_dir(spark, "progress")
     kpi_stream.start_kpi_stream(log, partials, checkpoint, once=True).awaitTermination()
-    return reports.kpi_merged(compaction.served_partials(spark, partials, checkpoint))
+    return reports.kpi_merged(compaction.served_partials(spark, partials))
 
 
 # --- schemas and reference tables --------------------------------------------------------------
@@ -416,6 +490,25 @@ def bootstrapped(spark, sf_dir):
     return read_if_present(spark, path, jobs.schema)
 
 
+def create_if_missing(spark, sf_dir):
+    """A table made once, with defaults for the columns that the rows leave out."""
+    name, path = f"clickmill_sink_{uuid.uuid4().hex}", scratch_dir(spark, "created")
+    rows = _sink_rows(spark, _events(spark, sf_dir), sf_dir).drop("impression", "sources")
+    typed = enrich.to_sink_types(rows.withColumns({"impression": F.lit(0), "sources": F.lit(None)}))
+    given = typed.drop("impression", "sources")
+    for early in (True, False):
+        create_table_if_missing(
+            spark, name, HOURLY_KPI, {"impression": "0", "sources": f"'{DEFAULT_SOURCE}'"}, "dates", path)
+        half = F.col("hours") < 12
+        given.where(half if early else ~half).createOrReplaceTempView(f"{name}_rows")
+        columns = ", ".join(given.columns)
+        spark.sql(f"INSERT INTO {name} ({columns}) SELECT {columns} FROM {name}_rows")
+    spark.catalog.dropTempView(f"{name}_rows")
+    spark.sql(f"DROP TABLE {name}")  # the catalog's entry; the files stay
+    found = read_if_present(spark, path, HOURLY_KPI).drop("id")
+    return _without_zone(_plain_money(found), "updated_at")
+
+
 QUERIES: dict[str, Query] = {
     "tracking_events": tracking_events,
     "job_dim": job_dim,
@@ -424,6 +517,7 @@ QUERIES: dict[str, Query] = {
     "filled_events": filled_events,
     "decode_time_uuid": decode_ids,
     "incremental_slice": incremental_slice,
+    "log_replayed": log_replayed,
     "clicks_hourly": clicks_hourly,
     "conversions_hourly": _kind_query("conversion"),
     "qualified_hourly": _kind_query("qualified"),
@@ -432,6 +526,7 @@ QUERIES: dict[str, Query] = {
     "hourly_kpis_join": hourly_kpis_join,
     "company_enriched": company_enriched,
     "company_salted": company_salted,
+    "company_bucketed": company_bucketed,
     "fractional_bids": fractional_bids,
     "batch_high_mark": batch_high_mark,
     "sink_rows": sink_rows,
@@ -440,6 +535,7 @@ QUERIES: dict[str, Query] = {
     "late_events": late_events,
     "incremental_run": incremental_run,
     "incremental_retry": incremental_retry,
+    "empty_batch": empty_batch,
     "sink_merged": sink_merged,
     "sink_by_job_day": sink_by_job_day,
     "sink_by_publisher": sink_by_publisher,
@@ -448,8 +544,11 @@ QUERIES: dict[str, Query] = {
     "kpi_by_job_day": kpi_by_job_day,
     "kpi_by_publisher": kpi_by_publisher,
     "kpi_by_campaign": kpi_by_campaign,
+    "kpi_reports": kpi_reports,
     "stream_hourly_kpis": stream_kpis,
     "stream_hourly_kpis_stateful": stream_kpis_stateful,
+    "stream_state_totals": stream_state_totals,
+    "stream_late_side": stream_late_side,
     "stream_replay": stream_replay,
     "stream_distinct": stream_distinct,
     "stream_sink_rows": stream_sink_rows,
@@ -462,4 +561,5 @@ QUERIES: dict[str, Query] = {
     "stream_ingest_to_kpis": stream_ingest_to_kpis,
     "schema_contract": contract,
     "bootstrap_if_empty": bootstrapped,
+    "create_if_missing": create_if_missing,
 }

@@ -11,7 +11,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from functools import cache
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Observation, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -72,6 +72,20 @@ def _own_root() -> str:
     return root
 
 
+def observed(seen: Observation, *names: str) -> tuple:
+    """Values observed by a finished job; None where the optimizer has found it to have no rows at all."""
+    if seen._jo.get().isEmpty():
+        return (None,) * len(names)
+    found = seen.get
+    return tuple(found[n] for n in names)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that the caller has made."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 @contextmanager
 def scratch(spark: SparkSession, purpose: str) -> Iterator[str]:
     """A new folder under the shared folder, removed with all in it when the work ends or fails."""
@@ -79,5 +93,4 @@ def scratch(spark: SparkSession, purpose: str) -> Iterator[str]:
     try:
         yield path
     finally:
-        place = spark._jvm.org.apache.hadoop.fs.Path(path)
-        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+        remove(spark, path)

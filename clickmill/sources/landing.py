@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,11 +13,12 @@ from clickmill.functions.time_uuid import utc_date
 from clickmill.operators.ingest import ACCEPTED, classify
 from clickmill.operators.tracking import LOG_DATE, LOG_TIME
 from clickmill.schemas import struct
-from clickmill.sources.files import move_into_place
-from clickmill.sources.writers import by_partition
+from clickmill.sources.readers import is_present
+from clickmill.sources.writers import by_partition, replace_partitions
 
 PARTITIONS = ["status", LOG_DATE]
-PART = "part"
+#: A landing place holds what batches have landed and what a stream has, each under a name of its own.
+BATCHES, STREAM, PART = "batches", "stream", "part"
 LANDED = struct(
     "create_time string, bid int, campaign_id int, custom_track string, group_id int, "
     "job_id int, publisher_id int, ts string, raw string, reason string, "
@@ -43,11 +45,12 @@ def to_landed(payloads: DataFrame, raw: Column, arrived_at: Column, identity: Co
 
 def land_payloads(
     payloads: DataFrame, raw: Column, arrived_at: Column, identity: Column, path: str,
-    in_order: bool = False,
+    in_order: bool = False, name: str | None = None,
 ) -> None:
     """Classify a batch of payloads in one pass and add it to the landing table.
 
-    Batches and streams may land at one place.
+    Batches and a stream may land at one place. A batch that is landed again under its ``name``
+    replaces itself.
 
     Payloads ``in_order`` of arrival are written where they are, as a task holds few dates then;
     others are first brought together by partition.
@@ -55,25 +58,18 @@ def land_payloads(
     landed = to_landed(payloads, raw, arrived_at, identity)
     if not in_order:
         landed = by_partition(landed, *PARTITIONS)
-    put_in_place(landed, path, f"batch-{uuid.uuid4().hex}")
-
-
-def put_in_place(landed: DataFrame, path: str, name: str) -> None:
-    """Add landed rows as a part of their own, seen as a whole or not at all.
-
-    The part is written where no reader looks and then renamed. A part that is there already stays:
-    a stream's batch that is delivered again has the same rows, ids included.
-    """
-    spark = landed.sparkSession
-    staged = f"{path}/_staged/{uuid.uuid4().hex}"
-    landed.write.partitionBy(*PARTITIONS).parquet(staged)
-    move_into_place(spark, staged, f"{path}/{PART}={name}")
+    named = landed.withColumn(PART, F.lit(name or uuid.uuid4().hex))
+    replace_partitions(named, f"{path}/{BATCHES}", PART, *PARTITIONS)
 
 
 def _read(spark: SparkSession, path: str, stream: bool, status: str) -> DataFrame:
+    """Landed rows of one side; of a stream's files those that its sink lists as committed."""
+    schemas = {BATCHES: StructType([*LANDED.fields, StructField(PART, StringType())]), STREAM: LANDED}
     reader = spark.readStream if stream else spark.read
-    schema = StructType([*LANDED.fields, StructField(PART, StringType())])
-    return reader.schema(schema).parquet(path).filter(F.col("status") == status)
+    sides = [reader.schema(schema).parquet(f"{path}/{side}").select(*LANDED.names)
+             for side, schema in schemas.items() if is_present(spark, f"{path}/{side}")]
+    rows = reduce(DataFrame.unionByName, sides) if sides else spark.createDataFrame([], LANDED)
+    return rows.filter(F.col("status") == status)
 
 
 def read_log(spark: SparkSession, path: str, stream: bool = False) -> DataFrame:

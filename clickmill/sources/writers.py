@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from clickmill.operators.enrich import to_sink_types
 from clickmill.operators.tracking import LOG_DATE, with_event_time
+from clickmill.session import observed, scratch
 from clickmill.sources.contract import require_schema
 from clickmill.sources.readers import read_if_present
 
@@ -20,13 +22,42 @@ def by_partition(df: DataFrame, *columns: str) -> DataFrame:
     return df.hint("rebalance", *columns)
 
 
+def replace_partitions(df: DataFrame, path: str, *partitions: str) -> None:
+    """Write rows in place of the partitions they belong to; other partitions stay.
+
+    A job that fails leaves the table as it was, and one that is tried again replaces what an
+    earlier try has left.
+    """
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*partitions).parquet(path)
+
+
 def write_log(log: DataFrame, path: str) -> None:
-    """Append raw events to a log kept with their event times and partitioned by date.
+    """Add raw events to a log kept with their event times and partitioned by date, each id once.
+
+    Later reads skip dates, row groups and the ids themselves. An event whose ``create_time`` is in
+    the log already, or came earlier among the new ones, is not added again, so that a call
+    may be repeated, also one that was lost halfway. Events without an id are all kept. One call
+    at a time: two at once do not see each other's events.
 
-    Later reads skip dates, row groups and the ids themselves.
+    The new events are decoded once, into the shared folder, where the dates they span are
+    observed. Of the log the ids of those dates are read, and only those of new events, found
+    through a bloom filter where the log is large, meet them again.
     """
-    timed = by_partition(with_event_time(log), LOG_DATE)
-    timed.write.mode("append").partitionBy(LOG_DATE).parquet(path)
+    spark = log.sparkSession
+    with scratch(spark, "log") as folder:
+        seen, key = Observation(), F.col("create_time")
+        timed = with_event_time(log).observe(
+            seen, F.min(LOG_DATE).alias("first"), F.max(LOG_DATE).alias("last"), F.count_if(F.col(LOG_DATE).isNull()).alias("undated"))
+        timed.write.parquet(folder)
+        fresh = spark.read.schema(timed.schema).parquet(folder)
+        first, last, undated = observed(seen, "first", "last", "undated")
+        span = F.col(LOG_DATE).between(F.lit(first), F.lit(last)) if first else F.lit(False)
+        kept = read_if_present(spark, path, fresh.schema).where(span | F.col(LOG_DATE).isNull() if undated else span)
+        ids = kept.select("create_time").join(fresh.select("create_time"), "create_time", "left_semi")
+        once = fresh.where(key.isNotNull()).dropDuplicates(["create_time"]).join(ids, "create_time", "left_anti")
+        added = once.select(*fresh.columns).unionAll(fresh.where(key.isNull()))
+        by_partition(added, LOG_DATE).write.mode("append").partitionBy(LOG_DATE).parquet(path)
 
 
 def append_kpis(rows: DataFrame, path: str) -> None:

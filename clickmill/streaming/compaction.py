@@ -4,139 +4,61 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from clickmill.operators.kpis import PARTIAL_COLUMNS, merge_partials
-from clickmill.schemas import COUNTS, GRAIN, PARTIALS
-from clickmill.sources.files import create_empty, names_in, remove
+from clickmill.schemas import PARTIALS
 from clickmill.sources.readers import read_if_present
-from clickmill.sources.writers import by_partition
-from clickmill.streaming.kpi_stream import committed_through
+from clickmill.sources.writers import by_partition, replace_partitions
+from clickmill.streaming.kpi_stream import read_batches
 
-# Finished spans side by side before they are merged with each other.
-SPANS = 8
 
+def _compacted(spark: SparkSession, compacted_path: str | None, schema: StructType) -> DataFrame:
+    """Merged partials, each with the batch ``through`` which its date is merged."""
+    keyed = StructType([*schema.fields, StructField("through", LongType())])
+    if compacted_path is None:
+        return spark.createDataFrame([], keyed)
+    return read_if_present(spark, compacted_path, keyed)
 
-def read_batches(spark: SparkSession, partials_path: str, schema: StructType = PARTIALS) -> DataFrame:
-    """Partials as the stream wrote them, with their ``batch_id``."""
-    keyed = StructType(schema.fields + [StructField("batch_id", LongType())])
-    return read_if_present(spark, partials_path, keyed)
 
-
-def _finished_spans(spark: SparkSession, compacted_path: str) -> list[tuple[int, int]]:
-    """The finished spans that are served, oldest first: each after one batch, through another.
-
-    Where spans have been merged, the merged one stands for them.
-    """
-    names = names_in(spark, f"{compacted_path}/spans")
-    found = sorted(tuple(map(int, n.split("~"))) for n in names if "~" in n and not n.startswith("."))
-    served, end = [], max((through for _, through in found), default=-1)
-    while end > -1:
-        after = min(a for a, through in found if through == end)
-        served.append((after, end))
-        end = after
-    return served[::-1]
-
-
-def _rows(spark: SparkSession, compacted_path: str, schema: StructType, spans: list[tuple[int, int]]) -> DataFrame:
-    keyed = StructType(schema.fields + [StructField("span", StringType())])
-    rows = read_if_present(spark, f"{compacted_path}/rows", keyed)
-    return rows.filter(F.col("span").isin([f"{a}~{b}" for a, b in spans])).select(*PARTIAL_COLUMNS)
-
-
-def _write(span: DataFrame, compacted_path: str, name: str) -> None:
-    """Merge a span's partials, keep them by date, and list the span once all rows are there."""
-    spark = span.sparkSession
-    merged = by_partition(merge_partials(span).select(*PARTIAL_COLUMNS), "date")
-    merged.write.mode("overwrite").partitionBy("date").parquet(f"{compacted_path}/rows/span={name}")
-    create_empty(spark, f"{compacted_path}/spans/{name}")
+def _unmerged(spark: SparkSession, partials_path: str, compacted: DataFrame, schema: StructType) -> DataFrame:
+    """Partials of batches after the one through which their date is merged."""
+    # One row per date, so small enough to broadcast after any number of years.
+    dates = compacted.groupBy("date").agg(F.max("through").alias("through"))
+    batches = read_batches(spark, partials_path, schema)
+    return batches.join(F.broadcast(dates), "date", "left").where(
+        F.col("batch_id") > F.coalesce("through", F.lit(-1))).drop("through")
 
 
 def compact_partials(
-    spark: SparkSession, partials_path: str, compacted_path: str, checkpoint: str,
-    through: int | None = None, schema: StructType = PARTIALS, most_spans: int = SPANS,
-) -> int:
-    """Merge the finished batches that are not in a span yet, kept by date; the last one merged.
-
-    A span ends at the newest batch that the stream's checkpoint lists as committed, or at an
-    earlier one given as ``through``; a later one is refused, since batches up to it would still
-    be written and never be read. A run that fails leaves rows nobody reads. Batches in a finished
-    span are not read again by ``served_partials`` and may be removed.
-
-    More than ``most_spans`` spans are merged into one, so that neither rows per key nor files per
-    date grow with the number of runs.
-    """
-    newest = committed_through(spark, checkpoint)
-    end = newest if through is None else through
-    if end > newest:
-        raise ValueError(f"batch {end} is not committed yet; the newest one is {newest}")
-    spans = _finished_spans(spark, compacted_path)
-    done = spans[-1][1] if spans else -1
-    if end > done:
-        batch = F.col("batch_id")
-        fresh = read_batches(spark, partials_path, schema).filter((batch > done) & (batch <= end))
-        _write(fresh, compacted_path, f"{done}~{end}")
-        spans.append((done, end))
-    if len(spans) > most_spans:
-        whole = f"{spans[0][0]}~{spans[-1][1]}"
-        _write(_rows(spark, compacted_path, schema, spans), compacted_path, whole)
-    return max(end, done)
-
-
-def compact_totals(spark: SparkSession, totals_path: str, compacted_path: str, checkpoint: str) -> int:
-    """Keep of the running totals of a stateful stream the newest of every key; the last batch merged.
+    spark: SparkSession, partials_path: str, compacted_path: str, through: int | None = None,
+    schema: StructType = PARTIALS,
+) -> None:
+    """Merge the batches up to ``through``, all if not given, into one row per key, kept by date.
 
-    Each run reads the rows kept by the one before and the batches committed since.
+    One grouped rewrite of the dates those batches touch; other dates stay as they are. Every row
+    tells through which batch its date is merged, and a date is replaced as a whole: a run that is
+    lost halfway has finished some dates and left the others, and readers see each event once
+    before, during and after it. Batches merged may be removed when no reader is at them any more.
     """
-    newest = committed_through(spark, checkpoint)
-    done = max((int(n) for n in names_in(spark, f"{compacted_path}/spans") if n.isdigit()), default=-1)
-    if newest > done:
-        rows = served_totals(spark, totals_path, checkpoint, compacted_path)
-        kept = rows.groupBy(*GRAIN).agg(F.max_by(F.struct(*COUNTS, "bid_sum", "batch_id"), "batch_id").alias("newest"))
-        merged = by_partition(kept.select(*GRAIN, "newest.*"), "date")
-        merged.write.mode("overwrite").partitionBy("date").parquet(f"{compacted_path}/rows/through={newest}")
-        create_empty(spark, f"{compacted_path}/spans/{newest}")
-    return max(newest, done)
-
-
-def served_totals(
-    spark: SparkSession, totals_path: str, checkpoint: str, compacted_path: str | None = None
-) -> DataFrame:
-    """The totals kept last and those of committed batches after them, for ``latest_totals``."""
-    spans = names_in(spark, f"{compacted_path}/spans") if compacted_path else []
-    done = max((int(n) for n in spans if n.isdigit()), default=-1)
-    keyed = StructType([f for f in PARTIALS if f.name != "max_ts"] + [StructField("batch_id", LongType())])
-    batch = F.col("batch_id")
-    fresh = read_if_present(spark, totals_path, keyed).filter(
-        (batch > done) & (batch <= committed_through(spark, checkpoint)))
-    if done < 0:
-        return fresh
-    kept = read_if_present(spark, f"{compacted_path}/rows/through={done}", keyed)
-    return kept.unionByName(fresh)
-
-
-def remove_merged(spark: SparkSession, compacted_path: str) -> None:
-    """Delete spans that a merged one stands for, when no reader is at them any more."""
-    served = {f"{a}~{b}" for a, b in _finished_spans(spark, compacted_path)}
-    for name in names_in(spark, f"{compacted_path}/spans"):
-        if "~" in name and name not in served:
-            remove(spark, f"{compacted_path}/spans/{name}")
-            remove(spark, f"{compacted_path}/rows/span={name}")
+    compacted = _compacted(spark, compacted_path, schema)
+    fresh = _unmerged(spark, partials_path, compacted, schema)
+    if through is not None:
+        fresh = fresh.where(F.col("batch_id") <= through)
+    newest = fresh.agg(F.max("batch_id")).first()[0]
+    if newest is None:
+        return
+    touched = compacted.join(F.broadcast(fresh.select("date").distinct()), "date", "left_semi")
+    merged = merge_partials(fresh.select(*PARTIAL_COLUMNS).unionByName(touched.select(*PARTIAL_COLUMNS)))
+    stamped = merged.select(*PARTIAL_COLUMNS, F.lit(newest).cast("bigint").alias("through"))
+    replace_partitions(by_partition(stamped, "date"), compacted_path, "date")
 
 
 def served_partials(
-    spark: SparkSession, partials_path: str, checkpoint: str, compacted_path: str | None = None,
+    spark: SparkSession, partials_path: str, compacted_path: str | None = None,
     schema: StructType = PARTIALS,
 ) -> DataFrame:
-    """Finished spans and the committed batches after them, to be merged by ``kpi_merged``.
-
-    A batch that is being written, or written again after a failure, is not served.
-    """
-    batch = F.col("batch_id")
-    newest = committed_through(spark, checkpoint)
-    batches = read_batches(spark, partials_path, schema).filter(batch <= newest)
-    spans = _finished_spans(spark, compacted_path) if compacted_path else []
-    if not spans:
-        return batches.select(*PARTIAL_COLUMNS)
-    recent = batches.filter(batch > spans[-1][1])
-    return _rows(spark, compacted_path, schema, spans).unionByName(recent.select(*PARTIAL_COLUMNS))
+    """Merged dates and the batches after them, to be merged by ``kpi_merged``."""
+    compacted = _compacted(spark, compacted_path, schema)
+    recent = _unmerged(spark, partials_path, compacted, schema)
+    return compacted.select(*PARTIAL_COLUMNS).unionByName(recent.select(*PARTIAL_COLUMNS))

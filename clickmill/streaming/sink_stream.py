@@ -5,20 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import LongType, StructField, StructType
 
 from clickmill.operators.enrich import to_sink_types
 from clickmill.operators.tracking import tracking_events
 from clickmill.plans.incremental import rows_of, stage_partials
 from clickmill.schemas import DEFAULT_SOURCE, HOURLY_KPI
 from clickmill.session import scratch
-from clickmill.sources.readers import read_if_present
 from clickmill.sources.writers import jdbc_write_options
-from clickmill.streaming.kpi_stream import (
-    EVERY, _claim, _refuse_foreign_table, committed_through, replace_batch, trigger,
-)
+from clickmill.streaming.kpi_stream import EVERY, read_batches, replace_batch, trigger
+from clickmill.streaming.progress import with_progress
 
 RowWriter = Callable[[DataFrame, int], None]
 
@@ -64,8 +60,6 @@ def start_sink_stream(
     Each event is in one batch's rows, so ``reports.sink_merged`` adds them up as they are. Without
     ``write`` they go to files below ``sink_path``.
     """
-    spark = log.sparkSession
-    _refuse_foreign_table(log, sink_path, checkpoint)
     put = write or to_files(sink_path)
 
     def add(events: DataFrame, batch_id: int) -> None:
@@ -73,18 +67,15 @@ def start_sink_stream(
             partials = stage_partials(events, folder)
             put(to_sink_types(rows_of(partials, jobs, source)), batch_id)
 
-    return _claim(
-        tracking_events(log).writeStream.queryName("sink_rows")
+    return (
+        with_progress(tracking_events(log)).writeStream.queryName("sink_rows")
         .foreachBatch(add)
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger(once, every))
-        .start(),
-        spark, sink_path,
+        .start()
     )
 
 
-def streamed_rows(spark: SparkSession, sink_path: str, checkpoint: str) -> DataFrame:
-    """The rows of committed batches."""
-    keyed = StructType(HOURLY_KPI.fields + [StructField("batch_id", LongType())])
-    rows = read_if_present(spark, sink_path, keyed)
-    return rows.filter(F.col("batch_id") <= committed_through(spark, checkpoint)).drop("batch_id")
+def streamed_rows(spark: SparkSession, sink_path: str) -> DataFrame:
+    """The rows of all batches."""
+    return read_batches(spark, sink_path, HOURLY_KPI).drop("batch_id")

@@ -65,3 +65,17 @@ def test_sink_rows_in_declared_types_with_a_repeatable_id(log, spark):
     first, again = rows(typed), rows(enrich.to_sink_types(plain.repartition(3)))
     assert first == again
     assert typed.select("id").distinct().count() == typed.count()
+
+
+def test_tables_in_buckets_are_joined_where_they_lie(log, spark, tmp_path):
+    facts, jobs = _facts(log), enrich.job_dim(_jobs(spark))
+    try:
+        kept = [enrich.keep_bucketed(df, f"bucketed_{name}", str(tmp_path / name), buckets=4)
+                for name, df in (("facts", facts), ("jobs", jobs))]
+        joined = enrich.company_bucketed(*kept)
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "SortMergeJoin" in plan and plan.count("Bucketed: true") == 2
+        assert rows(joined) == rows(enrich.company_enriched(facts, _jobs(spark)))
+    finally:
+        for name in ("facts", "jobs"):
+            spark.sql(f"DROP TABLE IF EXISTS bucketed_{name}")

@@ -10,9 +10,7 @@ from clickmill.plans.incremental import run_incremental
 from clickmill.schemas import FIRST_WATERMARK, HOURLY_KPI
 from clickmill.sources.readers import read_events, read_if_present, sink_watermark, watermark_value
 from clickmill.session import scratch_dir
-from clickmill.sources import sinks
-from clickmill.sources.files import only_writer
-from clickmill.sources.sinks import parquet_sink
+from clickmill.sources.sinks import ParquetSink, Run, parquet_sink, publish_statements
 from clickmill.sources.writers import write_log
 from tests.helpers import at, event, rows
 
@@ -78,7 +76,7 @@ def test_an_exclusive_run_without_news_writes_nothing(spark, log, jobs, sink):
 
 
 def test_kinds_not_counted_move_the_mark_only_with_others(spark, log, jobs, sink):
-    assert _run(spark, log(event(at(1, 9), "view")), jobs, sink)
+    assert not _run(spark, log(event(at(1, 9), "view")), jobs, sink)
     assert parquet_sink(spark, sink).mark() == micros(dt.datetime.fromisoformat(FIRST_WATERMARK))
     assert _run(spark, log(event(at(1, 8)), event(at(1, 9), "view")), jobs, sink)
     assert _sink(spark, sink) == [(8, 1, None, 10, at(1, 9))]
@@ -133,36 +131,96 @@ def test_a_mark_comes_back_as_it_was_in_any_session_zone(spark, log, jobs, sink,
     assert empty.mark() == micros(dt.datetime.fromisoformat(FIRST_WATERMARK))
 
 
-def test_a_run_lost_halfway_is_not_seen_and_is_made_good(spark, log, jobs, sink, monkeypatch):
-    first, later = [event(at(1, 8)), event(at(1, 9))], [event(at(1, 10)), event(at(2, 8)), event(at(3, 8))]
-    assert _run(spark, log(*first), jobs, sink)
-    before = _sink(spark, sink)
-    create = sinks.create_empty
+class Lost(ParquetSink):
+    """Breaks down in one of its steps, and takes nothing away when it has."""
 
-    def lost(session, path):
-        if "/marks/" in path:
+    def __init__(self, spark, path, step):
+        super().__init__(spark, path)
+        self.step = step
+
+    def write(self, rows, name):
+        super().write(rows.where("hours <> 8") if self.step == "write" else rows, name)
+        if self.step == "write":
             raise RuntimeError("lost")
-        return create(session, path)
 
-    monkeypatch.setattr(sinks, "create_empty", lost)
+    def _put(self, df, name, part, *partitions):
+        super()._put(df, name, part, *partitions)
+        if self.step == part:
+            raise RuntimeError("lost")
+
+    def discard(self, name):
+        pass
+
+
+@pytest.mark.parametrize("step", ["write", "tails", "recounted"])
+@pytest.mark.parametrize("name", [None, "nightly"])
+def test_a_run_lost_halfway_is_not_seen_and_is_made_good(spark, log, jobs, sink, step, name):
+    first, later = [event(at(1, 8)), event(at(1, 9))], [event(at(1, 10)), event(at(2, 8)), event(at(3, 8))]
+    assert _run(spark, log(*first), jobs, sink)
+    before = _sink(spark, sink)
     with pytest.raises(RuntimeError, match="lost"):
-        _run(spark, log(*first, *later), jobs, sink)
+        events = tracking_events(with_event_time(log(*first, *later)))
+        run_incremental(events, jobs, Lost(spark, sink, step), name=name)
     assert _sink(spark, sink) == before
-    monkeypatch.undo()
     more = event(at(3, 9))
-    assert _run(spark, log(*first, *later, more), jobs, sink)
+    assert _run(spark, log(*first, *later, more), jobs, sink, name=name)
     assert len(_sink(spark, sink)) == 2 + 5
     merged = sink_merged(parquet_sink(spark, sink).rows(), parquet_sink(spark, sink).recounted())
     assert sum(r.clicks for r in merged.collect()) == 6
 
 
-def test_a_second_writer_is_refused_and_a_dead_ones_lock_taken_over(spark, log, jobs, sink):
-    with only_writer(spark, sink):
-        with pytest.raises(RuntimeError, match="another run"):
-            _run(spark, log(event(at(1, 8))), jobs, sink)
-    assert _run(spark, log(event(at(1, 8))), jobs, sink)
-    with only_writer(spark, sink), only_writer(spark, sink, lease=-1):
-        pass
+def test_a_named_run_is_published_once(spark, log, jobs, sink):
+    first = [event(at(1, 8)), event(at(1, 9))]
+    for _ in range(2):
+        assert _run(spark, log(*first), jobs, sink, name="2024-03-01T10.00")
+    before = _sink(spark, sink)
+    assert _run(spark, log(*first, event(at(1, 11))), jobs, sink, name="2024-03-01T10.00")
+    assert _sink(spark, sink) == before
+    with pytest.raises(ValueError, match="no name of a run"):
+        _run(spark, log(*first, event(at(1, 11))), jobs, sink, name="a/b")
+
+
+def test_of_two_writers_from_one_mark_the_first_counts(spark, log, jobs, sink):
+    """Both have read the mark; one sees fewer events, and whichever publishes second adds nothing."""
+    first = [event(at(1, 8)), event(at(1, 9))]
+    assert _run(spark, log(*first), jobs, sink)
+    start = parquet_sink(spark, sink).mark()
+    assert _run(spark, log(*first, event(at(1, 10)), event(at(1, 11))), jobs, sink)
+    before, mark = _sink(spark, sink), parquet_sink(spark, sink).mark()
+    slow = log(*first, event(at(1, 10)))
+    assert _run(spark, slow, jobs, sink, since=start)
+    assert _sink(spark, sink) == before and parquet_sink(spark, sink).mark() == mark
+    assert _run(spark, log(*first, event(at(1, 10)), event(at(1, 11)), event(at(1, 12))), jobs, sink)
+    table = parquet_sink(spark, sink)
+    merged = sink_merged(table.rows(), table.recounted()).collect()
+    assert {r.hours: r.clicks for r in merged} == {h: 1 for h in (8, 9, 10, 11, 12)}
+
+
+def test_a_failed_or_idle_run_takes_its_rows_away(spark, log, jobs, sink, tmp_path):
+    raw = log(event(at(1, 8)))
+    assert _run(spark, raw, jobs, sink)
+    folders = sorted(p.name for p in (tmp_path / "sink" / "rows").glob("run=*"))
+    assert _run(spark, raw, jobs, sink) and not _run(spark, raw, jobs, sink, inclusive=False)
+    with pytest.raises(Exception):
+        _run(spark, log(event(at(1, 9))), jobs.drop("company_id"), sink)
+    assert sorted(p.name for p in (tmp_path / "sink" / "rows").glob("run=*")) == folders
+
+
+def test_a_run_reads_the_events_once(spark, log, jobs, tmp_path):
+    """The mark is observed while rows are written; only the newest second is read again."""
+    path, sink = str(tmp_path / "log"), parquet_sink(spark, str(tmp_path / "sink"))
+    write_log(log(*[event(at(d, 8), node=d) for d in (1, 2, 3)]), path)
+    jobs_seen = []
+    written = sink.write
+
+    def write(rows, name):
+        jobs_seen.append(_plan(rows).count("FileScan parquet"))
+        written(rows, name)
+
+    sink.write = write
+    run_incremental(tracking_events(read_events(spark, kept=True, path=path)), jobs, sink)
+    assert jobs_seen == [1]
+    assert sink.mark() == micros(at(3, 8))
 
 
 def test_merged_rows_count_the_shared_second_once(spark, log, jobs, sink):
@@ -184,16 +242,52 @@ def test_a_raw_log_is_refused(spark, log, jobs, sink):
         run_incremental(tracking_events(log(event(at(1, 8)))), jobs, parquet_sink(spark, sink))
 
 
-def test_a_run_leaves_nothing_in_the_shared_folder(spark, log, jobs, sink, tmp_path, monkeypatch):
+def test_writing_the_log_leaves_nothing_in_the_shared_folder(spark, log, tmp_path, monkeypatch):
     shared = tmp_path / "shared"
     shared.mkdir()
-    old = spark.conf.get("spark.checkpoint.dir", None)
     monkeypatch.setattr("clickmill.session.scratch_dir", lambda s, p: f"{shared}/{p}")
-    assert _run(spark, log(event(at(1, 8))), jobs, sink)
+    write_log(log(event(at(1, 8))), str(tmp_path / "log"))
     assert list(shared.iterdir()) == []
     with pytest.raises(Exception):
-        _run(spark, log(event(at(1, 9))), jobs.drop("company_id"), sink)
-    assert list(shared.iterdir()) == [] and spark.conf.get("spark.checkpoint.dir", None) == old
+        write_log(log(event(at(1, 8))), "nosuchscheme://x")
+    assert list(shared.iterdir()) == []
+
+
+def test_events_are_added_to_the_log_once(spark, log, tmp_path):
+    path = str(tmp_path / "log")
+    first = [event(at(1, 8)), event(at(2, 8)), event(at(2, 8)), event(at(3, 8), node=7)]
+    undated = [{"create_time": "x", "custom_track": "click", "job_id": 1}, {"create_time": None, "custom_track": "click", "job_id": 1}]
+    write_log(log(*first, *undated[:1]), path)
+    assert spark.read.parquet(path).count() == 4
+    for _ in range(2):
+        write_log(log(*first, event(at(2, 9)), undated[0]), path)
+    found = spark.read.parquet(path)
+    assert found.count() == found.select("create_time").distinct().count() == 5
+    # Without an id nothing tells an event from another.
+    write_log(log(undated[1], undated[1]), path)
+    assert spark.read.parquet(path).count() == 7
+    write_log(log(), path)
+    assert spark.read.parquet(path).count() == 7
+
+
+def test_a_lost_append_is_made_good(spark, log, tmp_path):
+    path, events = str(tmp_path / "log"), [event(at(d, 8), node=d) for d in range(1, 6)]
+    write_log(log(*events[:2]), path)
+    write_log(log(*events), path)
+    assert sorted(str(r[0]) for r in spark.read.parquet(path).select(LOG_DATE).collect()) == [
+        f"2024-03-0{d}" for d in range(1, 6)]
+
+
+def test_only_the_dates_of_new_events_are_read(spark, log, tmp_path, monkeypatch):
+    path, plans = str(tmp_path / "log"), []
+    write_log(log(*[event(at(d, 8), node=d) for d in range(1, 9)]), path)
+    from clickmill.sources import writers
+
+    rebalance = writers.by_partition
+    monkeypatch.setattr(writers, "by_partition", lambda df, *c: plans.append(_plan(df)) or rebalance(df, *c))
+    write_log(log(event(at(3, 8), node=3), event(at(4, 9))), path)
+    scans = [line for line in plans[0].splitlines() if "FileScan" in line and LOG_DATE in line]
+    assert any("2024-03-03" in line and "2024-03-04" in line for line in scans)
 
 
 def test_a_cluster_must_name_its_shared_folder():
@@ -209,8 +303,39 @@ def test_a_cluster_must_name_its_shared_folder():
         scratch_dir(Session, "x")
 
 
-def test_publishing_to_a_database():
-    assert sinks.publish_statement("kpi", ["job_id", "updated_at"]) == (
-        "INSERT INTO kpi (job_id, updated_at) SELECT job_id, updated_at FROM kpi_staging s "
-        "WHERE NOT EXISTS (SELECT 1 FROM kpi t WHERE t.updated_at = s.updated_at)")
-    assert sinks.recount_statement("kpi").startswith("INSERT INTO kpi_recounted (job_id, dates")
+def test_publishing_to_a_database(spark):
+    """Two runs from one mark, in a database of this process: one of them is moved, whole."""
+    duckdb = pytest.importorskip("duckdb")
+    base = duckdb.connect()
+    tails = "job_id INT, dates DATE, hours INT, publisher_id INT, campaign_id INT, group_id INT, clicks BIGINT, " \
+        "conversion BIGINT, qualified_application BIGINT, disqualified_application BIGINT, spend_hour DECIMAL(21,2)"
+    rows_ = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in HOURLY_KPI if f.name not in ("id", "updated_at"))
+    for name in ("kpi_tails", "kpi_recounted"):
+        base.execute(f"CREATE TABLE {name} ({tails}, updated_at TIMESTAMP)")
+    base.execute(f"CREATE TABLE kpi ({rows_}, updated_at TIMESTAMP)")
+    base.execute(f"CREATE TABLE kpi_staging ({rows_}, run TEXT)")
+    base.execute(f"CREATE TABLE kpi_tails_staging ({tails}, run TEXT)")
+
+    def publish(name, since, mark, inclusive=True):
+        base.execute("BEGIN")
+        for text, values in publish_statements("kpi", Run(name, since, mark, inclusive, None)):
+            base.execute(text, [v if isinstance(v, str) else dt.datetime(1970, 1, 1) + dt.timedelta(microseconds=v) for v in values])
+        base.execute("COMMIT")
+
+    def stage(name, *clicks):
+        for n in clicks:
+            base.execute("INSERT INTO kpi_staging (job_id, clicks, run) VALUES (1, ?, ?)", [n, name])
+        base.execute("INSERT INTO kpi_tails_staging (job_id, clicks, run) VALUES (1, 1, ?)", [name])
+
+    count = lambda table: base.execute(f"SELECT count(*), sum(clicks) FROM {table}").fetchone()
+    stage("a", 1, 2)
+    stage("b", 10, 20, 30)  # staged side by side
+    publish("b", 100, 200)
+    assert count("kpi") == (3, 60) and count("kpi_tails") == (1, 1) and count("kpi_recounted")[0] == 0
+    publish("a", 100, 190)
+    assert count("kpi") == (3, 60) and count("kpi_tails") == (1, 1)
+    assert count("kpi_staging")[0] == count("kpi_tails_staging")[0] == 0
+    stage("c", 5)
+    publish("c", 200, 300)
+    publish("c", 200, 300)
+    assert count("kpi") == (4, 65) and count("kpi_recounted") == (1, 1)

@@ -149,3 +149,24 @@ def test_one_scan_one_shuffle_no_join_no_python(log, spark, tmp_path):
     assert "utm_source" not in one_pass
     branches = _plan(kpis.hourly_kpis_join(tracking_events(spark.read.parquet(path))))
     assert branches.count("FileScan") == 4
+
+
+def test_the_three_reports_in_one_pass(log, spark, tmp_path):
+    events = tracking_events(log(
+        event(at(1, 8), bid=3), event(at(1, 9), bid=2), event(at(2, 9), "qualified"), event(at(2, 9), "unqualified", publisher_id=None),
+        event(at(1, 9), "conversion", campaign_id=2), event(at(1, 9), "qualified", publisher_id=2, campaign_id=0, job=0),
+    ))
+    path = str(tmp_path / "kpis")
+    kpis.hourly_kpis(events).write.parquet(path)
+    hourly, names = spark.read.parquet(path), spark.createDataFrame([(1, "one")], "id int, publisher_name string")
+    whole = reports.kpi_reports(hourly, names)
+    for name, single in {
+        "job_day": reports.kpi_by_job_day(hourly), "publisher": reports.kpi_by_publisher(hourly, names),
+        "campaign": reports.kpi_by_campaign(hourly),
+    }.items():
+        part = whole.where(F.col("report") == name)
+        assert rows(part.select(*single.columns)) == rows(single)
+        rest = [c for c in whole.columns if c not in (*single.columns, "report")]
+        assert rest and all(part.where(F.col(c).isNotNull()).isEmpty() for c in rest)
+    plan = _plan(whole)
+    assert plan.count("FileScan parquet") == plan.count("Exchange hashpartitioning") == 1

@@ -1,4 +1,5 @@
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,8 +8,8 @@ from clickmill.operators import kpis, reports
 from clickmill.operators.tracking import LOG_DATE, tracking_events
 from clickmill.schemas import TRACKING
 from clickmill.sources.landing import land_payloads, read_log, read_refused
-from clickmill.sources.files import names_in
-from clickmill.streaming import compaction, ingest_stream, kpi_stream, sink_stream
+from clickmill.streaming import compaction, ingest_stream, kpi_stream, late_split, sink_stream
+from clickmill.streaming.progress import ProgressRecorder
 from tests.helpers import at, event, rows
 
 
@@ -35,7 +36,7 @@ class Feed:
 
     def served(self, compacted=None):
         return rows(reports.kpi_merged(
-            compaction.served_partials(self.spark, self.partials, self.checkpoint, compacted)
+            compaction.served_partials(self.spark, self.partials, compacted)
         ))
 
     def batch(self):
@@ -104,7 +105,7 @@ def test_a_new_checkpoint_does_not_take_over_a_table(feed):
     feed.put(event(at(1, 8)))
     feed.run()
     feed.checkpoint += "-new"
-    with pytest.raises(ValueError, match="another checkpoint"):
+    with pytest.raises(Exception, match="another checkpoint"):
         feed.run()
 
 
@@ -117,29 +118,91 @@ def test_a_log_with_repeated_events(feed):
     assert [r[clicks] for r in feed.served()] == [2]
 
 
-def test_stateful_totals_equal_the_batch_unless_an_event_is_too_late(feed, spark, tmp_path):
+def test_totals_in_state_equal_the_batch_unless_an_event_is_too_late(feed, spark, tmp_path):
     feed.put(*_events(6, 60))
     feed.put(*_events(7, 60))
-    totals = str(tmp_path / "totals")
+    closed = str(tmp_path / "closed")
 
     def run():
-        kpi_stream.start_stateful_stream(
-            feed.stream(), totals, feed.checkpoint, delay="3 days", once=True
-        ).awaitTermination()
-        return rows(kpi_stream.latest_totals(spark.read.parquet(totals)))
-
-    def compact():
-        compaction.compact_totals(spark, totals, compacted, feed.checkpoint)
-        served = compaction.served_totals(spark, totals, feed.checkpoint, compacted)
-        return rows(kpi_stream.latest_totals(served))
+        query = kpi_stream.start_state_stream(feed.stream(), closed, feed.checkpoint, delay="3 days", once=True)
+        query.awaitTermination()
+        return rows(kpi_stream.kpis_of_totals(kpi_stream.state_totals(spark, closed, feed.checkpoint))), query
 
-    compacted = str(tmp_path / "compacted")
-    in_time = run()
-    assert in_time == feed.batch() == compact()
+    assert run()[0] == feed.batch()
     feed.put(event(at(20, 8)))
-    assert run() == compact() == feed.batch()
+    assert run()[0] == feed.batch()
+    # The hours of the first days are closed now: written once, and no longer in the state.
+    assert spark.read.format("statestore").load(feed.checkpoint).count() == 1
+    in_time = feed.batch()
     feed.put(event(at(1, 0), node=999))
-    assert len(run()) == len(in_time) + 1
+    found, query = run()
+    assert found == in_time and kpi_stream.late_dropped(query) == 1
+
+
+def test_an_hour_being_closed_counts_once(feed, spark, tmp_path):
+    """Closed hours written by a batch that is not committed are still served from the state."""
+    closed = str(tmp_path / "closed")
+    for when in (at(1, 8), at(9, 8), at(20, 8)):
+        feed.put(event(when))
+    kpi_stream.start_state_stream(feed.stream(), closed, feed.checkpoint, delay="1 day", once=True).awaitTermination()
+    before = feed.batch()
+    served = lambda: rows(kpi_stream.kpis_of_totals(kpi_stream.state_totals(spark, closed, feed.checkpoint)))
+    assert served() == before
+    newest = spark.read.format("state-metadata").load(feed.checkpoint).first()["maxBatchId"]
+    ahead = spark.read.parquet(closed).limit(1).drop("batch_id")
+    ahead.write.parquet(f"{closed}/stream=x/batch_id={newest + 1}")
+    assert served() == before
+
+
+@pytest.mark.parametrize("delay, late", [("1 hour", 2), ("30 days", 0)])
+def test_late_events_are_kept_aside(feed, spark, tmp_path, delay, late):
+    path = str(tmp_path / "split")
+    for number, when in enumerate((at(1, 8), at(9, 8), at(9, 9), at(1, 8), at(9, 8, 30))):
+        feed.put(event(when, node=number))
+    feed.put(event(at(9, 10), node=50), event(at(2, 8), node=51))
+
+    def split():
+        late_split.start_late_split(feed.stream(), path, str(tmp_path / "cp"), delay, once=True).awaitTermination()
+
+    split()
+    assert late_split.read_late(spark, path).count() == late
+    kept = late_split.read_kept(spark, path, stream=True)
+    query = kpi_stream.start_kpi_stream(kept, feed.partials, feed.checkpoint, once=True, distinct_within=delay)
+    query.awaitTermination()
+    assert kpi_stream.late_dropped(query) == 0
+    parts = compaction.served_partials(spark, feed.partials).unionByName(
+        kpis.hourly_partials(tracking_events(late_split.read_late(spark, path))))
+    assert rows(reports.kpi_merged(parts)) == feed.batch()
+    split()
+    assert late_split.read_late(spark, path).count() + late_split.read_kept(spark, path).count() == 7
+
+
+def test_a_running_stream_reports_its_periods(feed, spark):
+    recorder = ProgressRecorder()
+    spark.streams.addListener(recorder)
+    try:
+        feed.put(event(at(1, 8)), event(at(1, 9)))
+        query = kpi_stream.start_kpi_stream(feed.stream(), feed.partials, feed.checkpoint, every="1 second")
+
+        def until(batches):
+            for _ in range(300):
+                if len({r.batch_id for r in recorder.kept if r.rows}) >= batches:
+                    return
+                time.sleep(0.1)
+
+        try:
+            until(1)
+            feed.put(event(at(2, 8)))
+            until(2)
+        finally:
+            query.stop()
+    finally:
+        spark.streams.removeListener(recorder)
+    found = [r for r in recorder.records(spark).orderBy("batch_id").collect() if r.rows]
+    assert [(r.query, r.batch_id, r.rows) for r in found] == [("hourly_kpis", 0, 2), ("hourly_kpis", 1, 1)]
+    assert [r.newest.replace(tzinfo=None) for r in found] == [at(1, 9), at(2, 8)]
+    assert all(r.lag_seconds == pytest.approx((r.at - r.newest).total_seconds()) and r.seconds > 0 for r in found)
+    assert feed.served() == feed.batch()
 
 
 def test_compaction_keeps_the_result_and_spares_the_batches(feed, spark, tmp_path):
@@ -148,51 +211,51 @@ def test_compaction_keeps_the_result_and_spares_the_batches(feed, spark, tmp_pat
     feed.run()
     whole, compacted = feed.served(), str(tmp_path / "compacted")
     for through in (0, 2, 1, 2):
-        compaction.compact_partials(spark, feed.partials, compacted, feed.checkpoint, through)
+        compaction.compact_partials(spark, feed.partials, compacted, through)
         assert feed.served(compacted) == whole
     # Compacted batches are not read any more.
     batches = spark.read.parquet(feed.partials)
-    batches.filter("batch_id > 2").write.partitionBy("batch_id").parquet(feed.partials + "-left")
+    batches.filter("batch_id > 2").write.partitionBy("stream", "batch_id").parquet(feed.partials + "-left")
     feed.partials += "-left"
     assert feed.served(compacted) == whole
-    merged = spark.read.parquet(f"{compacted}/rows")
-    assert {"span", "date"} <= set(merged.columns)
+    merged = spark.read.parquet(compacted)
+    assert merged.groupBy(*kpis.GRAIN).count().where("count > 1").isEmpty()
 
 
 def test_batches_written_after_compaction_are_served(feed, spark, tmp_path):
-    """A span never reaches beyond the batches that are there."""
     compacted = str(tmp_path / "compacted")
     feed.put(*_events(1, 30))
     feed.put(*_events(2, 30))
+    for seed in (3, 4):
+        feed.run()
+        compaction.compact_partials(spark, feed.partials, compacted, 1000)
+        assert feed.served(compacted) == feed.batch()
+        feed.put(*_events(seed, 30))
     feed.run()
-    with pytest.raises(ValueError, match="batch 1000 is not committed"):
-        compaction.compact_partials(spark, feed.partials, compacted, feed.checkpoint, 1000)
-    assert compaction.compact_partials(spark, feed.partials, compacted, feed.checkpoint) == 1
-    feed.put(*_events(3, 30))
-    feed.run()
-    assert feed.served(compacted) == feed.batch()
-    assert compaction.compact_partials(spark, feed.partials, compacted, feed.checkpoint) == 2
     assert feed.served(compacted) == feed.batch()
 
 
-def test_spans_are_merged_with_each_other(feed, spark, tmp_path):
-    compacted = str(tmp_path / "compacted")
-    for seed in range(5):
-        feed.put(*_events(seed, 20))
-        feed.run()
-        compaction.compact_partials(spark, feed.partials, compacted, feed.checkpoint, most_spans=2)
-        assert len(compaction._finished_spans(spark, compacted)) <= 2
-        assert feed.served(compacted) == feed.batch()
-    compaction.remove_merged(spark, compacted)
-    assert feed.served(compacted) == feed.batch()
-    assert len(names_in(spark, f"{compacted}/rows")) == len(compaction._finished_spans(spark, compacted))
+def test_a_compaction_lost_halfway_is_never_seen(feed, spark, tmp_path):
+    """Some dates are merged through a later batch than others."""
+    feed.put(*_events(8, 30))
+    feed.put(*_events(9, 30))
+    feed.run()
+    compacted, whole = tmp_path / "compacted", str(tmp_path / "whole")
+    compaction.compact_partials(spark, feed.partials, str(compacted), 0)
+    compaction.compact_partials(spark, feed.partials, whole, 0)
+    compaction.compact_partials(spark, feed.partials, whole)
+    one = spark.read.parquet(whole).where("date = '2024-03-01'").drop("date")
+    one.write.mode("overwrite").parquet(str(compacted / "date=2024-03-01"))
+    assert feed.served(str(compacted)) == feed.batch()
+    compaction.compact_partials(spark, feed.partials, str(compacted))
+    assert feed.served(str(compacted)) == feed.batch()
+    assert spark.read.parquet(str(compacted)).select("through").distinct().count() == 1
 
 
-def test_a_batch_not_committed_is_not_served(feed, spark):
+def test_a_batch_that_is_lost_and_repeated_counts_once_at_any_time(feed, spark):
     write = kpi_stream.write_partials(feed.partials)
     feed.put(*_events(5))
     feed.run()
-    before = feed.served()
     feed.put(*_events(6))
 
     def fails(df, batch_id):
@@ -201,9 +264,9 @@ def test_a_batch_not_committed_is_not_served(feed, spark):
 
     with pytest.raises(Exception, match="lost"):
         feed.run(write=fails)
-    assert feed.served() == before
+    assert feed.served() == feed.batch()
     feed.run()
-    assert feed.served() == feed.batch() != before
+    assert feed.served() == feed.batch()
 
 
 def test_a_second_stream_with_a_checkpoint_of_its_own_is_refused(feed):
@@ -213,23 +276,11 @@ def test_a_second_stream_with_a_checkpoint_of_its_own_is_refused(feed):
     feed.partials, feed.checkpoint = feed.partials + "-other", other
     feed.run()
     feed.partials = first
-    with pytest.raises(ValueError, match="another checkpoint"):
+    feed.put(event(at(1, 9)))
+    with pytest.raises(Exception, match="another checkpoint"):
         feed.run()
 
 
-def test_an_unfinished_span_is_not_read(feed, spark, tmp_path):
-    feed.put(*_events(8, 30))
-    feed.put(*_events(9, 30))
-    feed.run()
-    compacted = tmp_path / "compacted"
-    compaction.compact_partials(spark, feed.partials, str(compacted), feed.checkpoint, 0)
-    half = spark.read.parquet(str(compacted / "rows" / "span=-1~0"))
-    half.write.partitionBy("date").parquet(str(compacted / "rows" / "span=0~1"))
-    assert feed.served(str(compacted)) == feed.batch()
-    compaction.compact_partials(spark, feed.partials, str(compacted), feed.checkpoint, 1)
-    assert feed.served(str(compacted)) == feed.batch()
-
-
 def test_dropped_events_are_counted(feed):
     # An event is measured against the limit that the batch before the last one has set.
     for number, when in enumerate((at(1, 8), at(9, 8), at(9, 9), at(1, 8))):
@@ -261,7 +312,7 @@ def test_streamed_sink_rows(feed, spark, tmp_path):
         run()
     run()
     assert tries == [0, 1, 1, 2]
-    merged = reports.sink_merged(sink_stream.streamed_rows(spark, path, checkpoint))
+    merged = reports.sink_merged(sink_stream.streamed_rows(spark, path))
     found = {(r.job_id, str(r.dates), r.hours): (r.clicks, r.conversion, r.company_id) for r in merged.collect()}
     whole = kpis.hourly_kpis(tracking_events(spark.read.parquet(feed.inbox))).collect()
     assert found == {
@@ -310,7 +361,7 @@ def test_payloads_are_landed_once_on_the_side_they_belong(spark, tmp_path, strea
         kpi_stream.start_kpi_stream(
             read_log(spark, landing, stream=True), partials, checkpoint, once=True
         ).awaitTermination()
-        found = reports.kpi_merged(compaction.served_partials(spark, partials, checkpoint))
+        found = reports.kpi_merged(compaction.served_partials(spark, partials))
         assert sorted((r.job_id, r.clicks, r.spend_hour, r.qualified) for r in found.collect()) == [
             (1, 2, 2, None), (2, None, None, 1),
         ]
@@ -319,13 +370,20 @@ def test_payloads_are_landed_once_on_the_side_they_belong(spark, tmp_path, strea
 def test_a_batch_and_a_stream_land_at_one_place(spark, tmp_path):
     inbox, landing = str(tmp_path / "inbox"), str(tmp_path / "landing")
     payloads = spark.createDataFrame(PAYLOADS, "offset bigint, body string")
-    land_payloads(payloads.where("offset = 0"), *_columns(), landing)
-    payloads.where("offset IN (1, 2, 3)").write.parquet(inbox)
+    assert read_log(spark, landing).count() == 0
     for _ in range(2):
+        land_payloads(payloads.where("offset = 0"), *_columns(), landing, name="first")
+    payloads.where("offset IN (1, 2, 3)").write.parquet(inbox)
+
+    def run(checkpoint):
         ingest_stream.start_ingest_stream(
-            spark.readStream.schema(payloads.schema).parquet(inbox), *_columns(), landing,
-            str(tmp_path / "progress"), once=True).awaitTermination()
+            spark.readStream.schema(payloads.schema).parquet(inbox), *_columns(), landing, checkpoint,
+            once=True).awaitTermination()
+
+    for _ in range(2):
+        run(str(tmp_path / "progress"))
         payloads.where("offset = 4").write.mode("append").parquet(inbox)
     land_payloads(payloads.where("offset = 5"), *_columns(), landing)
     assert read_log(spark, landing).count() == 4 and read_refused(spark, landing).count() == 2
-    assert names_in(spark, f"{landing}/_staged") == []
+    with pytest.raises(ValueError, match="another checkpoint"):
+        run(str(tmp_path / "other"))
