@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickmill.session import scratch_dir
+from clickmill.session import scratch, scratch_dir
 
 #: ASCII white space; a word is a run of anything else.
 SPACES = b"\x20\x09\x0a\x0b\x0c\x0d"
@@ -25,13 +28,27 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_KEEPING: ContextVar[str | None] = ContextVar("keeping", default=None)
+
+
+@contextmanager
+def keeping(spark: SparkSession) -> Iterator[None]:
+    """Tables ``kept`` meanwhile are removed at the end, when what is made of them has been written."""
+    with scratch(spark, "kept") as folder:
+        token = _KEEPING.set(folder)
+        try:
+            yield
+        finally:
+            _KEEPING.reset(token)
+
+
 def kept(df: DataFrame, purpose: str) -> DataFrame:
     """The rows, written once to the shared folder and read from there.
 
     Later steps then start from files any executor can read, whichever executors are lost.
     """
-    spark = df.sparkSession
-    path = f"{scratch_dir(spark, purpose)}/rows"
+    spark, folder = df.sparkSession, _KEEPING.get()
+    path = f"{folder}/{purpose}-{uuid.uuid4().hex}" if folder else f"{scratch_dir(spark, purpose)}/rows"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -7,8 +7,8 @@ connected components by alternating large-star and small-star.
 
 Within a bucket not all pairs are made. Members are first paired with the bucket's least member;
 once links have joined them, only buckets that still hold several components go on: twice with
-another member as the centre, then, in blocks of bounded size, with every member of another
-component, where only pairs with like signatures come out.
+another member as the centre, then, in blocks of bounded size, every member with every member of
+another component on their full sets, where only links come out that join components.
 """
 
 from __future__ import annotations
@@ -36,7 +36,8 @@ class Settings:
     similarity: int = 75  # hundredths
     verify: int = 512
     min_agree: int = 338
-    cell: int = 256  # members of a block in the last round
+    cell: int = 2048  # members of a block in the last round, and bytes of their sets
+    cell_bytes: int = 16 << 20
     centres: int = 2  # rounds with further centres
     seed: int = 5
 
@@ -197,8 +198,44 @@ def _still_open(members: DataFrame, known: DataFrame) -> DataFrame:
     return named.join(wide.select("bucket"), "bucket", "left_semi")
 
 
-def _across(members: DataFrame, signed_nodes: DataFrame, settings: Settings) -> DataFrame:
-    """Pairs of members of different components with like signatures, block against block."""
+def _spanning(components: np.ndarray, sets: list[np.ndarray], left: np.ndarray, right: np.ndarray,
+              similarity: int) -> list[tuple[int, int]]:
+    """Links between members of different components, none between those joined by earlier ones.
+
+    Every left member meets every right one through an index of the right ones' shingles, which
+    gives the exact size of each intersection.
+    """
+    label, links = components.copy(), []
+    sizes = np.array([len(s) for s in sets])
+    values, inverse = np.unique(np.concatenate([sets[r] for r in right]), return_inverse=True)
+    counts = np.bincount(inverse, minlength=len(values))
+    starts = np.cumsum(counts) - counts
+    holders = np.repeat(np.arange(len(right)), sizes[right])[np.argsort(inverse, kind="stable")]
+    for at in left.tolist():
+        if (label[right] == label[at]).all():
+            continue
+        own = sets[at]
+        place = np.minimum(np.searchsorted(values, own), len(values) - 1)
+        place = place[values[place] == own]
+        runs, ends = counts[place], np.cumsum(counts[place])
+        shared = holders[np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts[place] - (ends - runs), runs)]
+        both = np.bincount(shared, minlength=len(right))
+        near = right[100 * both >= similarity * (len(own) + sizes[right] - both)]
+        for other in near.tolist():
+            if label[other] != label[at]:
+                links.append((at, other))
+                label[label == label[other]] = label[at]
+    return links
+
+
+def _across(members: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame:
+    """Confirmed links between members of different components of a bucket, block against block.
+
+    A block holds bounded members and bytes of sets, and a pair of blocks, a cell, is one task's
+    work. Every pair of a bucket meets in some cell, is compared on its full sets, and gives a link
+    only if nothing in the cell has joined its components before: a cell of m members gives less
+    than m links, however many of its pairs are similar.
+    """
     def compared(batches):
         held = None
         for batch in batches:
@@ -208,32 +245,31 @@ def _across(members: DataFrame, signed_nodes: DataFrame, settings: Settings) ->
             cell = np.stack([held.column(c).to_numpy() for c in ("bucket", "i", "j")], 1)
             cuts = np.flatnonzero((cell[1:] != cell[:-1]).any(axis=1)) + 1
             for start, end in zip(np.append(0, cuts), cuts, strict=False):
-                yield from _cell(held.slice(start, end - start))
+                yield _cell(held.slice(start, end - start))
             held = held.slice(int(cuts[-1])) if len(cuts) else held
         if held is not None:
-            yield from _cell(held)
+            yield _cell(held)
 
     def _cell(rows):
         i, j = rows.column("i")[0].as_py(), rows.column("j")[0].as_py()
-        block = rows.column("block").to_numpy()
-        node, component = rows.column("node").to_numpy(), rows.column("component").to_numpy()
-        marks = np.frombuffer(b"".join(rows.column("signature").to_pylist()), np.uint16).reshape(len(node), -1)
+        block, node = rows.column("block").to_numpy(), rows.column("node").to_numpy()
+        found = [np.frombuffer(x, np.uint64) for x in rows.column("found").to_pylist()]
         left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
-        for at in left:
-            other = right[(component[right] != component[at]) & ((node[right] > node[at]) if i == j else True)]
-            other = other[(marks[other] == marks[at]).sum(axis=1) >= settings.min_agree]
-            if len(other):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.maximum(node[other], node[at])), pa.array(np.minimum(node[other], node[at]))], ["a", "b"])
-
-    sizes = members.groupBy("bucket").agg(F.ceil(F.count("*") / settings.cell).cast("int").alias("blocks"))
-    placed = members.join(sizes, "bucket").withColumn("block", F.pmod(F.xxhash64(F.lit(settings.seed), "node"), F.col("blocks")).cast("int"))
+        links = _spanning(rows.column("component").to_numpy(), found, left, right, settings.similarity) if len(left) and len(right) else []
+        one, two = (node[[pair[k] for pair in links]] for k in (0, 1)) if links else (node[:0], node[:0])
+        return pa.RecordBatch.from_arrays([pa.array(np.maximum(one, two)), pa.array(np.minimum(one, two))], ["a", "b"])
+
+    weights = sets.select("node", "found", F.length("found").alias("bytes"))
+    sized = members.join(kept(weights.select("node", "bytes"), "weights"), "node")
+    sizes = kept(sized.groupBy("bucket").agg(F.greatest(
+        F.ceil(F.count("*") / settings.cell), F.ceil(F.sum("bytes") / settings.cell_bytes)).cast("int").alias("blocks")), "sizes")
+    placed = members.join(small(sizes), "bucket").withColumn("block", F.pmod(F.xxhash64(F.lit(settings.seed), "node"), F.col("blocks")).cast("int"))
     cells = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "bucket", "node", "component", "block",
         F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
-    signed = cells.join(signed_nodes.select("node", "signature"), "node")
-    spread = signed.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
-    return spread.select("bucket", "i", "j", "block", "node", "component", "signature").mapInArrow(
+    filled = cells.join(weights.select("node", "found"), "node")
+    spread = filled.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+    return spread.select("bucket", "i", "j", "block", "node", "component", "found").mapInArrow(
         compared, "a bigint, b bigint").distinct()
 
 
@@ -258,22 +294,21 @@ def link(docs: DataFrame, settings: Settings = Settings()) -> tuple[DataFrame, D
         twice.select(F.col("doc_id").alias("a")), "a", "left_semi")
     still, known, tried = members.withColumn("component", F.col("node")), None, None
     for turn in range(settings.centres + 2):
-        if turn == 0:
-            pairs = _centred(still, F.col("node"))
-        elif turn <= settings.centres:
-            pairs = _centred(still, F.xxhash64(F.lit(turn), "bucket", "node"))
+        if turn <= settings.centres:
+            pairs = _centred(still, F.col("node") if turn == 0 else F.xxhash64(F.lit(turn), "bucket", "node"))
+            # No pair is looked at twice.
+            pairs = kept(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
+            tried = pairs if tried is None else tried.union(pairs)
+            found = kept(confirmed(pairs, sets, settings), "links")
         else:
-            pairs = _across(still, sets, settings)
-        # No pair is looked at twice.
-        pairs = kept(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
-        tried = pairs if tried is None else tried.union(pairs)
-        found = kept(confirmed(pairs, sets, settings), "links")
+            found = kept(_across(still, sets, settings), "links")
         edges = edges.union(found)
         if known is None or not found.isEmpty():
             known = kept(components(edges), "components")
-        still = kept(_still_open(still, known), "members")
-        if still.isEmpty():
-            break
+        if turn <= settings.centres:
+            still = kept(_still_open(still, known), "members")
+            if still.isEmpty():
+                break
     return rows, known
 
 
@@ -281,7 +316,8 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     """``doc_id, n_shingles, component_id, kept`` for every row of ``docs`` (``doc_id, text``).
 
     A document without words or text is linked with nothing. A row with a null id takes part in
-    nothing: its component is null and it is kept. Rows sharing an id are one document, linked by
+    nothing: its component is null and it is kept. A very long text is a set like any other, held by
+    one task at a time. Rows sharing an id are one document, linked by
     whatever links any of their texts. Other columns are not read; no rows give no rows.
     """
     rows, named = link(docs, settings)

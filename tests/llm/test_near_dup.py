@@ -69,15 +69,56 @@ def test_components_match_brute_force(spark, seed):
     assert sizes == sorted(len(shingle_set(t)) for _, t in rows)
 
 
-def test_last_round_compares_all_members_across_components(spark):
-    """Members all near one another but not to the bucket's first one."""
-    rows = [(i, bytes(np.full(256, i % 3, np.uint8))) for i in range(30)]
-    classes = spark.createDataFrame(rows, "node long, signature binary")
-    members = classes.selectExpr("1L AS bucket", "node", "node AS component")
-    for cell in (4, 64):
-        pairs = near_dup._across(members, classes, near_dup.Settings(cell=cell, min_agree=72)).collect()
-        assert {(r["a"], r["b"]) for r in pairs} == {(a, b) for a in range(30) for b in range(a) if a % 3 == b % 3}
-        assert len(pairs) == 3 * 45
+@pytest.mark.parametrize("settings", [
+    near_dup.Settings(cell=4), near_dup.Settings(cell=64), near_dup.Settings(cell_bytes=100)])
+def test_last_round_links_all_that_is_near_and_no_more_than_needed(spark, settings):
+    """Members of three kinds, none near the bucket's first one."""
+    sets = {i: np.unique(np.append(np.arange(40, dtype=np.uint64) + 1000 * (i % 3), [7, i + 50_000]).astype(np.uint64)) for i in range(30)}
+    table = spark.createDataFrame([(i, bytes(s)) for i, s in sets.items()], "node long, found binary")
+    members = table.selectExpr("1L AS bucket", "node", "node AS component")
+    links = [tuple(r) for r in near_dup._across(members, table, settings).collect()]
+    found = dict(map(tuple, near_dup.components(spark.createDataFrame(links, "a long, b long")).collect()))
+    assert found == {i: i % 3 for i in range(30)}
+    if settings.cell == 64:
+        assert len(links) == 27
+
+
+def test_a_group_of_2000_near_copies_about_the_limit(spark):
+    """Similarities with a median of two thirds, many just above or below the limit."""
+    rng, base = random.Random(11), [f"w{i}" for i in range(80)]
+    rows = []
+    for i in range(2000):
+        words = list(base)
+        for _ in range(rng.choice([1, 2, 2, 3])):
+            words[rng.randrange(len(words))] = f"x{rng.randrange(10 ** 6)}"
+        rows.append((i, " ".join(words)))
+    sets = [shingle_set(t) for _, t in rows]
+    sample = [len(a & b) / len(a | b) for a, b in (rng.sample(sets, 2) for _ in range(2000))]
+    assert 0.6 < sorted(sample)[1000] < 0.72
+    found = near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    index, parent = {}, list(range(2000))
+    for i, s in enumerate(sets):
+        for x in s:
+            index.setdefault(x, []).append(i)
+
+    def top(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i, s in enumerate(sets):
+        shared = np.bincount(np.concatenate([index[x] for x in s]), minlength=2000)
+        for j in np.flatnonzero(100 * shared >= 75 * (len(s) + np.array([len(t) for t in sets]) - shared)):
+            x, y = top(i), top(int(j))
+            parent[max(x, y)] = min(x, y)
+    assert {r["doc_id"]: r["component_id"] for r in found} == {i: top(i) for i in range(2000)}
+
+
+def test_a_very_long_text(spark):
+    long = " ".join(f"w{i % 60_000}" for i in range(200_000))
+    rows = [(1, long), (2, long + " end"), (3, "short text of a few words")]
+    found = near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["component_id"] for r in found} == {1: 1, 2: 1, 3: 3}
 
 
 def test_components_of_a_chain_and_a_star(spark):

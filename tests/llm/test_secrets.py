@@ -37,8 +37,10 @@ def test_novel_strings_in_sensitive_context():
     text = f"set the signature to {RANDOM} now"
     start = text.index(RANDOM)
     assert secrets.find_spans(text, novelty) == [(start, start + len(RANDOM), "novel")]
-    # Foretold by its surroundings, without context, or a name: nothing is reported.
-    assert not secrets.find_spans(f"{RANDOM} {RANDOM} the signature {RANDOM}", novelty)
+    # A repeated secret does not foretell itself: each copy in reach of the context is reported.
+    thrice = secrets.find_spans(f"{RANDOM} {RANDOM} the signature {RANDOM}", novelty)
+    assert thrice == [(0, 26, "novel"), (27, 53, "novel"), (68, 94, "novel")]
+    # Without context, or a name: nothing is reported.
     assert not secrets.find_spans(f"set the colour to {RANDOM} now", novelty)
     assert not secrets.find_spans("the private_key of database_connection_user_1", novelty)
     assert novelty.of(text, start, start + len(RANDOM)) > 0.7
