@@ -6,9 +6,9 @@ paired, pairs with unlike signatures dropped, and the rest confirmed on the full
 connected components by alternating large-star and small-star.
 
 Within a bucket not all pairs are made. Members are first paired with the bucket's least member;
-once links have joined them, only buckets that still hold several components go on: twice with
-another member as the centre, then, in blocks of bounded size, every member with every member of
-another component on their full sets, where only links come out that join components.
+once links have joined them, only buckets that still hold several components go on: in blocks of
+bounded size every member meets every member of another component on their full sets, and only
+links come out that join components.
 """
 
 from __future__ import annotations
@@ -38,7 +38,6 @@ class Settings:
     min_agree: int = 338
     cell: int = 2048  # members of a block in the last round, and bytes of their sets
     cell_bytes: int = 16 << 20
-    centres: int = 2  # rounds with further centres
     seed: int = 5
 
 
@@ -178,12 +177,24 @@ def components(edges: DataFrame) -> DataFrame:
         state.select(F.col("b"), F.col("b"))).distinct()
 
 
-def _centred(members: DataFrame, order: Column) -> DataFrame:
-    """Pairs of each member with the member that comes first in its bucket."""
-    first = kept(members.groupBy("bucket").agg(
-        F.min_by("node", order).alias("centre"), F.min_by("component", order).alias("own")), "centres")
-    return members.join(first, "bucket").where("component != own").select(
-        F.greatest("node", "centre").alias("a"), F.least("node", "centre").alias("b")).distinct()
+def joined(known: DataFrame, links: DataFrame) -> DataFrame:
+    """Components ``known``, joined by further links: only components that a link touches are looked at."""
+    ends = links
+    for end, own in (("a", "p"), ("b", "q")):
+        own_of = known.select(F.col("node").alias(end), F.col("component").alias(own))
+        ends = ends.join(own_of, end, "left").withColumn(own, F.coalesce(own, end))
+    ends = kept(ends, "ends")
+    moved = kept(components(ends.select(F.col("p").alias("a"), F.col("q").alias("b"))), "moved")
+    nodes = known.union(ends.select("a", "p")).union(ends.select("b", "q")).distinct()
+    moves = small(moved.select(F.col("node").alias("component"), F.col("component").alias("to")))
+    return nodes.join(moves, "component", "left").select("node", F.coalesce("to", "component").alias("component"))
+
+
+def _centred(members: DataFrame) -> DataFrame:
+    """Pairs of each member with the least one of its bucket."""
+    first = kept(members.groupBy("bucket").agg(F.min("node").alias("centre")), "centres")
+    return members.join(first, "bucket").where("node != centre").select(
+        F.col("node").alias("a"), F.col("centre").alias("b")).distinct()
 
 
 def _still_open(members: DataFrame, known: DataFrame) -> DataFrame:
@@ -292,23 +303,13 @@ def link(docs: DataFrame, settings: Settings = Settings()) -> tuple[DataFrame, D
     twice = usable.groupBy("doc_id").agg(F.min("digest").alias("p"), F.max("digest").alias("q")).where("p != q")
     edges = rows.where("node != doc_id").select(F.col("doc_id").alias("a"), F.col("node").alias("b")).join(
         twice.select(F.col("doc_id").alias("a")), "a", "left_semi")
-    still, known, tried = members.withColumn("component", F.col("node")), None, None
-    for turn in range(settings.centres + 2):
-        if turn <= settings.centres:
-            pairs = _centred(still, F.col("node") if turn == 0 else F.xxhash64(F.lit(turn), "bucket", "node"))
-            # No pair is looked at twice.
-            pairs = kept(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
-            tried = pairs if tried is None else tried.union(pairs)
-            found = kept(confirmed(pairs, sets, settings), "links")
-        else:
-            found = kept(_across(still, sets, settings), "links")
-        edges = edges.union(found)
-        if known is None or not found.isEmpty():
-            known = kept(components(edges), "components")
-        if turn <= settings.centres:
-            still = kept(_still_open(still, known), "members")
-            if still.isEmpty():
-                break
+    pairs = kept(_centred(members), "pairs")
+    known = kept(components(edges.union(confirmed(pairs, sets, settings))), "components")
+    still = kept(_still_open(members, known), "members")
+    if not still.isEmpty():
+        found = kept(_across(still, sets, settings), "links")
+        if not found.isEmpty():
+            known = kept(joined(known, found), "components")
     return rows, known
 
 

@@ -56,7 +56,7 @@ def test_components_match_brute_force(spark, seed):
     rows += rows[:5] + [(rows[0][0], rows[9][1])]
     docs = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, kept int").repartition(4)
     # Blocks of four members, so that the last round is put to use.
-    found = near_dup.near_duplicates(docs, near_dup.Settings(cell=4, centres=1)).collect()
+    found = near_dup.near_duplicates(docs, near_dup.Settings(cell=4)).collect()
     assert len(found) == len(rows)
     expected = brute(rows)
     for r in found:
@@ -129,6 +129,13 @@ def test_components_of_a_chain_and_a_star(spark):
     assert found[5000] == found[4999] == 4999
 
 
+def test_links_join_known_components(spark):
+    known = spark.createDataFrame([(1, 1), (2, 1), (3, 3), (4, 3), (9, 8), (8, 8)], "node long, component long")
+    links = spark.createDataFrame([(4, 2), (20, 21), (20, 9)], "a long, b long")
+    found = sorted(map(tuple, near_dup.joined(known, links).collect()))
+    assert found == [(1, 1), (2, 1), (3, 1), (4, 1), (8, 8), (9, 8), (20, 8), (21, 8)]
+
+
 def test_keep_one(spark):
     text = " ".join(f"w{i}" for i in range(60))
     docs = spark.createDataFrame(
