@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickmill.llm.common import LOWER, text_rows
+from clickmill.llm.common import LOWER, kept, text_rows
 
 WINDOW = 10
 SHARD_WORDS = 1 << 19
@@ -59,19 +59,23 @@ class Items:
 
 
 def item_blocks(benchmark: DataFrame, most: int = BLOCK_BYTES) -> Iterator[Items]:
-    """The items in blocks of bounded size; items without words are left out."""
-    rows, size = [], 0
-    for row in benchmark.select("item_id", "text").toLocalIterator():
-        item = words(row["text"] or "")
-        if not item:
-            continue
-        rows.append((row["item_id"], item))
-        size += len(row["text"])
-        if size >= most:
-            yield Items.of(rows)
-            rows, size = [], 0
-    if rows:
-        yield Items.of(rows)
+    """The items in blocks of about ``most`` bytes of text, dealt by hash; those without words are left out.
+
+    The driver and a task hold one block at a time. Several blocks lie in the shared folder, from
+    where each is fetched when it is its turn.
+    """
+    items = benchmark.select("item_id", "text").where(F.length("text") > 0)
+    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    number = -(-size // most)
+    if number > 1:
+        place = F.pmod(F.xxhash64("item_id", "text"), F.lit(number))
+        items = kept(items.withColumn("block", place).repartition("block"), "benchmark")
+    for block in range(number):
+        rows = (items.where(F.col("block") == block) if number > 1 else items).select("item_id", "text").collect()
+        found = [(r["item_id"], words(r["text"])) for r in sorted(rows, key=lambda r: (str(r["item_id"]), r["text"]))]
+        found = [row for row in found if row[1]]
+        if found:
+            yield Items.of(found)
 
 
 def suffix_array(tokens: np.ndarray, depth: int) -> np.ndarray:
@@ -244,7 +248,8 @@ def matches(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTE
     end), ``items`` found, and the longest verbatim match with its place and item.
 
     The benchmark is read in blocks of bounded size; with several, the documents pass one block
-    after the other in the same tasks. Documents are never split, so a shard holds at least one.
+    after the other, kept in the shared folder in between. Documents are never split, so a shard
+    holds at least one, however long.
     Null or wordless texts match nothing and no item occurs without words. An item with a null id
     marks words but is not listed; equal ids count once. Rows of ``docs`` with null or repeated ids
     are searched each on its own. Only ``doc_id, text`` and ``item_id, text`` are read.
@@ -253,13 +258,17 @@ def matches(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTE
     rows = docs.select("doc_id", "text").selectExpr(
         "doc_id", "0L AS n_words", "0L AS n_hit", "cast('' AS binary) AS spans", "cast(array() AS array<string>) AS items",
         "0 AS longest_words", "cast(NULL AS int) AS longest_start", "cast(NULL AS string) AS longest_item", "text")
-    blocks = [spark.sparkContext.broadcast(b) for b in item_blocks(benchmark, block_bytes)]
-    if not blocks:
-        nothing = Items({}, np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), [], 1, 0)
-        blocks = [spark.sparkContext.broadcast(nothing)]
-    for i, block in enumerate(blocks):
-        last = i == len(blocks) - 1
-        rows = rows.mapInArrow(_pass(block, not last), STATE if last else STATE + ", text string")
+    nothing = Items({}, np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), [], 1, 0)
+    blocks = iter(item_blocks(benchmark, block_bytes))
+    block = next(blocks, nothing)
+    while block is not None:
+        after = next(blocks, None)
+        held = spark.sparkContext.broadcast(block)
+        rows = rows.mapInArrow(_pass(held, after is not None), STATE + ", text string" if after else STATE)
+        if after:
+            rows = kept(rows, "searched")
+            held.destroy()
+        block = after
     return rows
 
 
@@ -278,8 +287,10 @@ def clean(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES)
 
     Rows are told apart by position in their batch, not by id, so that null and repeated ids do no harm.
     """
-    spark = docs.sparkSession
-    for items in item_blocks(benchmark, block_bytes):
+    spark, blocks = docs.sparkSession, iter(item_blocks(benchmark, block_bytes))
+    items = next(blocks, None)
+    while items is not None:
+        after = next(blocks, None)
         block = spark.sparkContext.broadcast(items)
 
         def untouched(batches, block=block):
@@ -295,6 +306,10 @@ def clean(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES)
                     yield part.filter(pa.array(~hit))
 
         docs = docs.mapInArrow(untouched, docs.schema)
+        if after:
+            docs = kept(docs, "untouched")
+            block.destroy()
+        items = after
     return docs
 
 

@@ -96,8 +96,13 @@ def resolve(records: DataFrame) -> DataFrame:
     names = ("record_id", "kind", "captured", "etag", "last_modified", "headers", "payload_digest", "payload_length")
     usable = records.where(
         "kind = 'revisit' OR (kind = 'response' AND status = 200 AND url IS NOT NULL AND captured IS NOT NULL)")
-    found = latest_earlier(usable.select(*names, canonical(F.col("url")).alias("page")))
-    at = F.when(F.col("page").isNotNull() & F.col("captured").isNotNull(), F.col("response"))
+    placed = usable.select(*names, canonical(F.col("url")).alias("page"))
+    known = F.col("page").isNotNull() & F.col("captured").isNotNull()
+    found = latest_earlier(placed.where(known))
+    # Revisits without a place are set apart, as they would all meet in one window.
+    lost = placed.where(~known & (F.col("kind") == "revisit"))
+    found = found.unionByName(lost.withColumn("response", F.lit(None).cast(found.schema["response"].dataType)))
+    at = F.col("response")
 
     def bare(tag):
         return F.regexp_replace(tag, "^W/", "")

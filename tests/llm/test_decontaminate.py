@@ -97,3 +97,20 @@ def test_suffix_array(tokens, depth):
 
     assert sorted(found) == [i for i in range(len(tokens)) if tokens[i] > 0]
     assert [upto(i) for i in found] == sorted(upto(i) for i in found)
+
+
+def test_a_document_longer_than_a_shard(spark):
+    passage = " ".join(f"q{i}" for i in range(12))
+    text = "filler word " * (dc.SHARD_WORDS // 2) + passage + " end"
+    docs = spark.createDataFrame([(1, text), (2, "other")], "doc_id long, text string")
+    bench = spark.createDataFrame([("b", passage), ("c", None), ("d", "")], "item_id string, text string")
+    found = {r["doc_id"]: r for r in dc.report(dc.matches(docs, bench)).collect()}
+    assert (found[1]["n_hit"], found[1]["n_items"], found[1]["n_words"]) == (12, 1, dc.SHARD_WORDS + 13)
+    assert not found[2]["contaminated"]
+
+
+def test_blocks_hold_all_items_once(spark):
+    bench = spark.createDataFrame([(f"i{k}", f"word{k} " * 30) for k in range(40)] + [("x", "..."), ("y", None)], "item_id string, text string")
+    whole = [i for b in dc.item_blocks(bench) for i in b.item_ids]
+    parted = list(dc.item_blocks(bench, 1000))
+    assert len(parted) > 5 and sorted(i for b in parted for i in b.item_ids) == whole == sorted(f"i{k}" for k in range(40))
