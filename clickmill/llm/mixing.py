@@ -140,8 +140,8 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: float = CAP,
 
     ``taken`` is the size times the copies taken, at most ``cap`` of them. Null texts have size 0
     and are never taken; a null source is a source of its own; rows that agree in id, source and
-    size are rounded as separate units, null ids included. No rows give no rows. Other columns are
-    not read. Reruns agree: chance comes from hashes of the rows.
+    size are rounded as separate units, null ids included. A very long text is one unit of its size,
+    settled before shorter ones. No rows give no rows. Other columns are not read. Reruns agree: chance comes from hashes of the rows.
     """
     sizes = kept(sized(docs), "mix-sizes")
     goals = kept(targets(sizes, weights, cap), "mix-targets")

@@ -427,7 +427,8 @@ def extract_pages(pages: DataFrame, broadcast_bytes: int = 32 << 20) -> DataFram
 
     Null and empty pages have an empty text. Pages without a host are judged by their own elements
     alone. Null or repeated ids and urls are extracted each on its own; other columns are not read.
-    White space is what Unicode calls so, the no-break space included. ``br`` is white space.
+    White space is what Unicode calls so, the no-break space included. ``br`` is white space. A very
+    long page is read whole, by one task; no rows give no rows.
     """
     hosted = with_host(pages)
     rules = kept(induce(hosted), "wrapper-rules")

@@ -204,7 +204,8 @@ def judge(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -
 
     A text without words fails the base rules. Rows with null or repeated ids are judged each on
     its own; of several labels of a document the lowest counts, and null ones are ignored. Without
-    labels of both kinds the list is empty and the base rules decide. Other columns are not read.
+    labels of both kinds the list is empty and the base rules decide. A very long text is counted
+    whole, by one task. No rows give no rows. Other columns are not read.
     """
     stats = kept(statistics(docs), "rule-statistics")
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))

@@ -147,8 +147,12 @@ def find_spans(text: str, novelty: Novelty) -> list[tuple[int, int, str]]:
 def scan(docs: DataFrame) -> DataFrame:
     """``doc_id`` and ``found`` (an array of ``kind, start, end``) for every row of ``docs``.
 
-    Null and empty texts have no spans. Null or repeated ids and repeated rows are scanned each on
-    its own; columns other than ``doc_id, text`` are not read.
+    The fixed patterns find spans anywhere. Beside them a string is a candidate if it has 16 or more
+    characters and stands within ``REACH`` characters of a sensitive word, before or behind it,
+    or is joined to one that is reported; ``AROUND`` characters on either side foretell it.
+    Null and empty texts have no spans. A very long text is scanned whole, by one task. Null or repeated
+    ids and repeated rows are scanned each on its own; no rows give no rows; columns other than
+    ``doc_id, text`` are not read.
     """
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
 

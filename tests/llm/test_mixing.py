@@ -104,3 +104,10 @@ def test_nothing_to_mix(spark, docs):
 def test_no_python_in_the_plan(spark, docs):
     plan = mixing.mix(docs)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_a_very_long_text_is_one_unit(spark):
+    rows = [(1, "word " * 200_000, "a")] + [(i, "a few words more", "a") for i in range(2, 40)] + [(50, "x " * 100_000, "b")]
+    found = {r["doc_id"]: r for r in mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    assert found[1]["size"] == 200_000 and found[1]["taken"] % 200_000 == 0 and found[1]["taken"] <= 600_000
+    assert len(found) == 40

@@ -85,3 +85,12 @@ def test_odd_rows(spark):
     assert sorted(r["n_words"] for r in found) == [0, 0, 0, 60, 60, 60, 120]
     assert all(r["base_failed"] for r in found if r["n_words"] != 60)
     assert rules.judge(docs.limit(0), labels.limit(0)).collect() == []
+
+
+def test_a_very_long_text_is_counted_whole(spark):
+    text = "one two three four five\n" * 60_000
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    labels = spark.createDataFrame([], "doc_id long, quality int")
+    found = rules.judge(docs, labels).collect()[0]
+    assert (found["n_words"], found["n_dup_lines"], found["n_repeat_words"]) == (300_000, 59_999, 300_000)
+    assert found["base_failed"] and not found["kept"]
