@@ -1,11 +1,13 @@
 """HTML extraction by wrapper induction.
 
 Pages of a host are aligned by simple tree matching of their block elements, runs of like siblings
-counting as one. The merged tree, the host's wrapper, knows of every node how many pages have it
+counting as one; where siblings of a run begin with different elements, those of each kind are a
+run of their own. The merged tree, the host's wrapper, knows of every node how many pages have it
 and whether its text is always the same. Constant nodes are template; varying ones are content if
 they lie in the article or, on pages that mark none, in the part of the wrapper that holds most of
-the varying text. Menus, adverts, comments and the like are told by their element or class and are
-never content, even though they vary.
+the varying text. Menus, forms, comments and the like are told by their element and are never
+content, even though they vary. A class or id that names such a thing has a say only as far as the
+wrapper has none: if most of what varies on a host lies in one part of that name, it is content.
 """
 
 from __future__ import annotations
@@ -58,9 +60,10 @@ TOKEN = re.compile(
 ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
 DEPTH = 64  # elements nested deeper count as part of the one at this depth
 MAX_NODES = 2000  # nodes a wrapper remembers; rarer ones are then taken for varying
-CUT = "*"  # label of what those had, which no element has
+BY_NAME, BY_ELEMENT = 1, 2  # what makes a node boilerplate
+NAMED = "~"  # begins the label of a wrapper node that is boilerplate by name
+CUT = "*"  # label of what the cut nodes had, which no element has
 TEMPLATE_SHARE = 0.8  # of the host's distinct pages, two at least, that agree where a text is template
-FEW_PAGES = 10  # with fewer, template must not outweigh what varies: they may be near copies
 MAIN_SHARE = 0.8
 HOSTS_HELD = 500
 MERGED_AT_ONCE = 64
@@ -68,10 +71,10 @@ MERGED_AT_ONCE = 64
 
 @dataclass(slots=True)
 class Node:
-    """A block element of one page, or a run of siblings with the same label."""
+    """A block element of one page, or a run of like siblings."""
 
     label: str
-    boiler: bool
+    boiler: int
     main: bool
     kids: list[Node] = field(default_factory=list)
     texts: list[str] = field(default_factory=list)
@@ -102,9 +105,41 @@ def parse(text: str) -> tuple[Node, list[tuple[Node, str]]]:
     kind are a list of others, as long as there is text beside them; comments are never spared.
     """
     root, blocks, seen, named = _parsed(text, frozenset())
-    if seen or not named or (len(named) > 1 and any(not node.boiler for node, _ in blocks)):
-        return root, blocks
-    return _parsed(text, frozenset().union(*named))[:2]
+    if not (seen or not named or (len(named) > 1 and any(not node.boiler for node, _ in blocks))):
+        root, blocks, *_ = _parsed(text, frozenset().union(*named))
+    runs: dict[int, Node] = {}
+    _join_runs(root, runs)
+    return root, [(runs.get(id(node), node), block) for node, block in blocks]
+
+
+def _join_runs(node: Node, runs: dict[int, Node]):
+    """Like siblings that follow each other become one node; ``runs`` tells which (by ``id``).
+
+    Like are those of the same label. If they begin with different elements, as a menu, a story
+    and a footer do that are all a ``div``, that goes into the labels and parts them.
+    """
+    kids, start = node.kids, 0
+    node.kids = []
+    while start < len(kids):
+        first, stop = kids[start], start + 1
+        while stop < len(kids) and kids[stop].label == first.label and kids[stop].boiler == first.boiler:
+            stop += 1
+        begun = [k.kids[0].label.partition(".")[0] if k.kids else "" for k in kids[start:stop]]
+        if len(set(begun)) > 1:
+            for kid, by in zip(kids[start:stop], begun, strict=True):
+                kid.label += f">{by}" if by else ""
+        for kid in kids[start:stop]:
+            run = node.kids[-1] if node.kids else None
+            if run is not None and run.label == kid.label and run.boiler == kid.boiler:
+                run.kids += kid.kids
+                run.texts += kid.texts
+                run.main |= kid.main
+                runs[id(kid)] = run
+            else:
+                node.kids.append(kid)
+        start = stop
+    for kid in node.kids:
+        _join_runs(kid, runs)
 
 
 def _parsed(text: str, spared: frozenset[int]) -> tuple[Node, list[tuple[Node, str]], bool, list[set[int]]]:
@@ -112,7 +147,7 @@ def _parsed(text: str, spared: frozenset[int]) -> tuple[Node, list[tuple[Node, s
     is only by name its place in the text and those of the elements around it. Names of elements
     at the places ``spared`` are not regarded.
     """
-    root = Node("", False, False)
+    root = Node("", 0, False)
     stack: list[tuple[str, Node]] = [("", root)]
     opened: list[tuple[int, bool]] = [(-1, False)]  # place of each open element; boilerplate other than by these names
     seen, named = False, []
@@ -182,9 +217,8 @@ def _parsed(text: str, spared: frozenset[int]) -> tuple[Node, list[tuple[Node, s
         otherwise = (
             opened[-1][1] or tag in NOT_CONTENT or role in NOT_CONTENT_ROLES or (not inside and tag == "header")
             or bool(tokens & REMARK_NAMES))
-        boiler = (
-            parent.boiler or otherwise or bool(tokens & NOT_CONTENT_NAMES)
-            or (not inside and bool(tokens & HEADER_NAMES)))
+        by_name = parent.boiler or tokens & NOT_CONTENT_NAMES or (not inside and tokens & HEADER_NAMES)
+        boiler = BY_ELEMENT if otherwise else BY_NAME if by_name else 0
         opened.append((m.start(), otherwise))
         if tag in MAIN or role == "main":
             seen = seen or not boiler
@@ -196,11 +230,9 @@ def _parsed(text: str, spared: frozenset[int]) -> tuple[Node, list[tuple[Node, s
             continue
         main = inside or tag in MAIN or role == "main"
         label = f"{tag}.{names}" if names else tag
-        last = parent.kids[-1] if parent.kids else None
-        if last is None or last.label != label or last.boiler != boiler:
-            last = Node(label, boiler, main)
-            parent.kids.append(last)
-        stack.append((tag, last))
+        node = Node(label, boiler, main)
+        parent.kids.append(node)
+        stack.append((tag, node))
     flush()
     return root, blocks, seen, named
 
@@ -208,8 +240,12 @@ def _parsed(text: str, spared: frozenset[int]) -> tuple[Node, list[tuple[Node, s
 # A wrapper node is [label, pages, mark of its text, whether that varies, characters, children].
 def wrapper_of(node: Node) -> list:
     text = "\n".join(node.texts)
-    return [node.label, 1, zlib.crc32(text.encode("utf-8", "surrogatepass")), False, len(text),
-            [wrapper_of(k) for k in node.kids if not k.boiler]]
+    return [_label(node), 1, zlib.crc32(text.encode("utf-8", "surrogatepass")), False, len(text),
+            [wrapper_of(k) for k in node.kids if k.boiler != BY_ELEMENT]]
+
+
+def _label(node: Node) -> str:
+    return NAMED + node.label if node.boiler else node.label
 
 
 def _weight(one: list, two: list) -> int:
@@ -269,49 +305,69 @@ def trimmed(wrapper: list) -> list:
 
 
 def _without(wrapper: list, least: int) -> list:
-    """Nodes of fewer pages are cut; their characters stay, as varying text, in one child ``CUT``."""
-    kids, lost = [], 0
+    """Nodes of fewer pages are cut; their characters stay, as varying text, in a child ``CUT``."""
+    kids, lost = [], {CUT: 0, NAMED + CUT: 0}
     for k in wrapper[-1]:
-        if k[0] != CUT and k[1] >= least:
+        if k[0] not in lost and k[1] >= least:
             kids.append(_without(k, least))
         else:
-            lost += _characters(k)
-    return [*wrapper[:-1], [*kids, [CUT, 0, 0, True, lost, []]] if lost else kids]
+            lost[NAMED + CUT if k[0].startswith(NAMED) else CUT] += _characters(k)
+    return [*wrapper[:-1], kids + [[label, 0, 0, True, n, []] for label, n in lost.items() if n]]
 
 
 def _characters(wrapper: list) -> int:
     return wrapper[4] + sum(map(_characters, wrapper[-1]))
 
 
-def compile_wrapper(wrapper: list) -> list:
-    """The wrapper as [label, flags, children]: 1 for constant text, 2 for the part of the content."""
-    sums: dict[int, int] = {}
+def _varying(node: list, named: bool, sums: dict[int, int]) -> int:
+    """Characters of ``node`` and below that vary, by ``id`` in ``sums``; ``named``: of named nodes too."""
+    own = node[4] if (node[3] or node[1] < 2) and (named or not node[0].startswith(NAMED)) else 0
+    sums[id(node)] = own + sum(_varying(k, named, sums) for k in node[-1])
+    return sums[id(node)]
 
-    def varying(node) -> int:
-        sums[id(node)] = (node[4] if node[3] or node[1] < 2 else 0) + sum(map(varying, node[-1]))
-        return sums[id(node)]
 
-    total, centre = varying(wrapper), wrapper
-    while total:
-        inner = next((k for k in centre[-1] if sums[id(k)] >= MAIN_SHARE * total), None)
+def _centre(wrapper: list, sums: dict[int, int]) -> list:
+    """The innermost node, other than a leaf, that holds most of what varies."""
+    centre = wrapper
+    while sums[id(wrapper)]:
+        inner = next((k for k in centre[-1] if sums[id(k)] >= MAIN_SHARE * sums[id(wrapper)]), None)
         if inner is None or not inner[-1]:
             break
         centre = inner
+    return centre
 
+
+def compile_wrapper(wrapper: list) -> list:
+    """The wrapper as [label, flags, children]: 1 for constant text, 2 for the part of the content,
+    4 where that part is content in spite of its name.
+    """
+    sums: dict[int, int] = {}
+    _varying(wrapper, True, sums)
+    centre = _centre(wrapper, sums)
+    lifted = wrapper[1] > 1 and centre[0].startswith(NAMED)
+    if not lifted:
+        _varying(wrapper, False, sums)
+        centre = _centre(wrapper, sums)
     enough = max(2, TEMPLATE_SHARE * wrapper[1])
 
     def agreed(node) -> bool:
-        return total > 0 and node[1] >= enough and not node[3] and node[4] > 0
+        return node[1] >= enough and not node[3] and node[4] > 0
 
     def template(node) -> int:
-        return node[4] * agreed(node) + sum(map(template, node[-1]))
+        own = node[4] if agreed(node) and (lifted or not node[0].startswith(NAMED)) else 0
+        return own + sum(map(template, node[-1]))
+
+    def trusted(scope) -> bool:
+        """Where template outweighs what varies, the pages may be near copies of each other."""
+        return template(scope) <= sums[id(scope)]
 
-    trusted = wrapper[1] >= FEW_PAGES or template(wrapper) <= total
+    everywhere, within = trusted(wrapper), trusted(centre)
 
     def flagged(node, inside: bool) -> list:
         inside = inside or node is centre
-        constant = trusted and agreed(node)
-        return [node[0], constant + 2 * inside, [flagged(k, inside) for k in node[-1] if k[0] != CUT]]
+        constant = agreed(node) and (within if inside else everywhere)
+        return [node[0], constant + (2 + 4 * lifted) * inside,
+                [flagged(k, inside) for k in node[-1] if k[0].removeprefix(NAMED) != CUT]]
 
     return flagged(wrapper, False)
 
@@ -321,9 +377,9 @@ def chosen(root: Node, rules: list | None) -> set[int]:
     nodes: dict[int, tuple[Node, int]] = {}
 
     def walk(node: Node, rule: list | None, flags: int):
-        flags = rule[1] if rule is not None else flags & 2
+        flags = rule[1] if rule is not None else flags & 6
         nodes[id(node)] = node, flags
-        kids = [k for k in node.kids if not k.boiler]
+        kids = [k for k in node.kids if k.boiler != BY_ELEMENT]
         if rule is None:
             for k in kids:
                 walk(k, None, flags)
@@ -334,14 +390,14 @@ def chosen(root: Node, rules: list | None) -> set[int]:
                 walk(kids[j], None if i is None else rule[-1][i], flags)
 
     walk(root, rules, 2)
-    marked = any(n.main for n, _ in nodes.values())
+    marked = any(n.main and not n.boiler for n, _ in nodes.values())
     return {
         key for key, (n, flags) in nodes.items()
-        if not flags & 1 and (n.main if marked else flags & 2)}
+        if not flags & 1 and (n.main and not n.boiler if marked else flags & (4 if n.boiler else 2))}
 
 
 def _shape(node: Node) -> list:
-    return [node.label, 0, [_shape(k) for k in node.kids if not k.boiler]]
+    return [_label(node), 0, [_shape(k) for k in node.kids if k.boiler != BY_ELEMENT]]
 
 
 def extract(text: str, rules: list | None) -> str:

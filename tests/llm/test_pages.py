@@ -1,3 +1,4 @@
+import pyarrow.parquet as pq
 import pytest
 
 from clickmill.llm import pages
@@ -128,3 +129,46 @@ def test_copies_and_small_hosts(spark):
 ])
 def test_names_that_do_not_make_boilerplate(html, text):
     assert pages.extract(html, None) == text
+
+
+@pytest.mark.parametrize("names", [
+    ("class=ax", "class=bx", "class=cx", "class=dx"), ("class=c1", "class=c2", "class=c3", "class=c4"), ("", "", "", "")])
+def test_given_pages_by_the_wrapper_alone(names):
+    """With nothing but ``div`` for menu, advert, article and footer, the wrapper finds every article."""
+    rows = pq.read_table("/root/testdata/sf0.1/pages.parquet", columns=["url", "html"]).to_pylist()
+    hosts = {}
+    for r in rows:
+        plain = r["html"] or ""
+        for old, name in zip(("nav", 'div class="ad"', "article", "footer"), names, strict=True):
+            plain = plain.replace(f"<{old}>", f"<div {name}>").replace(f"</{old}>", "</div>")
+        hosts.setdefault(r["url"].split("/")[2], []).append((plain, pages.extract(r["html"] or "", None)))
+    for found in hosts.values():
+        assert len(found) >= 10
+        rules = induced(sorted({plain for plain, _ in found}))
+        assert [pages.extract(plain, rules) for plain, _ in found] == [text for _, text in found]
+
+
+def test_near_copies_on_a_large_host():
+    """Pages that differ in little keep what they have in common, however many they are."""
+    tale = " ".join(f"word{k}" for k in range(60))
+    for count in (2, 5, 30):
+        htmls = [f"<div class=top>Paper</div><article><div class=lead>{tale}</div><p>day {i}</article>" for i in range(count)]
+        rules = induced(htmls)
+        assert [pages.extract(h, rules) for h in htmls] == [f"{tale}\nday {i}" for i in range(count)]
+
+
+def test_names_give_way_to_the_wrapper():
+    """A part that holds most of what varies is content whatever it is called; elements and comments never are."""
+    make = lambda i, name: (
+        f"<body><div class=top>Our paper</div><div class={name}><h2>T{i}</h2>"
+        + f"<p>{i} " + "words " * 40 + f"</p></div><div class=day>day {i}</div></body>")
+    for name in ("widget", "related", "banner"):
+        htmls = [make(i, name) for i in range(4)]
+        rules = induced(htmls)
+        assert all(pages.extract(h, rules).startswith(f"T{i}\n{i} words") for i, h in enumerate(htmls))
+        assert all(pages.extract(h, None) == f"Our paper\nday {i}" for i, h in enumerate(htmls))
+    htmls = [make(i, "comments") for i in range(4)]
+    assert all("words" not in pages.extract(h, induced(htmls)) for h in htmls)
+    # A named part does not win where the story is as long.
+    htmls = [make(i, "related").replace("day ", "long story " * 20) for i in range(4)]
+    assert all("words" not in pages.extract(h, induced(htmls)) for h in htmls)
