@@ -22,6 +22,8 @@ CAP = 3
 BLOCK = 128  # documents rounded one after the other
 TIERS = (4.0, 0.5)  # lengths, against the mean of the source, above which documents go first
 EXPAND = 4096  # repeated rows unfolded at once
+RANGES = 512  # of sources, in each of which running sums are taken
+RANGE_ROWS = 10_000  # sources in a range, as long as there are fewer ranges
 SEED = 20240501
 UNIT = "struct<doc_id: bigint, size: bigint, copy: bigint, mass: double, luck: double>"
 
@@ -32,30 +34,54 @@ def sized(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "source", words.alias("size"))
 
 
-def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: float = CAP) -> DataFrame:
+def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: float = CAP, range_rows: int = RANGE_ROWS) -> DataFrame:
     """``source, source_size, documents, target`` for every source, null included and sorted last.
 
     Targets are ``min(cap * source_size, level * weight)``. The level at which they add up to all
     words is where sharing out the excess over the caps again and again ends. It is found from
-    running sums over the sources in the order in which they reach their caps.
+    running sums over the sources in the order in which they reach their caps. No task holds all
+    sources: places and sums are taken within ranges of the order, ``RANGES`` at most, of some
+    ``range_rows`` sources or more, and a row per range adds what lies before it.
     """
-    sources = sizes.groupBy("source").agg(F.sum("size").alias("source_size"), F.count_if(F.col("size") > 0).alias("documents"))
-    place = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
-    weight = F.element_at(F.array(*(F.lit(float(w)) for w in weights)), (place % len(weights) + 1).cast("int"))
-    weighed = sources.withColumn("weight", weight).withColumn("most", F.col("source_size") * float(cap))
-    full = Window.orderBy(F.col("most") / F.col("weight"), F.col("source").asc_nulls_last())
-    before = full.rowsBetween(Window.unboundedPreceding, -1)
-    everything = full.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    level = (
-        (F.sum("source_size").over(everything) - F.coalesce(F.sum("most").over(before), F.lit(0.0)))
-        / (F.sum("weight").over(everything) - F.coalesce(F.sum("weight").over(before), F.lit(0.0)))
-    )
-    leveled = weighed.withColumn("level", level).withColumn("capped", F.col("most") <= F.col("level") * F.col("weight"))
+    sources = kept(
+        sizes.groupBy("source").agg(F.sum("size").alias("source_size"), F.count_if(F.col("size") > 0).alias("documents")),
+        "mix-sources")
+    ranges = min(RANGES, 1 + sources.count() // range_rows)
+    by_name = [F.col("source").asc_nulls_last()]
+    placed = _running(sources, ranges, by_name, {"place": F.lit(1.0)}, "mix-places")
+    weight = F.element_at(F.array(*(F.lit(float(w)) for w in weights)), (F.col("place") % len(weights) + 1).cast("int"))
+    weighed = placed.withColumn("weight", weight).withColumn("most", F.col("source_size") * float(cap)).drop("place")
+    total = weighed.agg(F.sum("source_size").alias("words"), F.sum("weight").alias("weight")).first()
+    filled = _running(
+        weighed.withColumn("full", F.col("most") / F.col("weight")), ranges, [F.col("full").asc(), *by_name],
+        {"most_before": F.col("most"), "weight_before": F.col("weight")}, "mix-levels")
+    level = (F.lit(float(total["words"] or 0)) - F.col("most_before")) / (F.lit(total["weight"] or 0.0) - F.col("weight_before"))
+    leveled = filled.withColumn("level", level).withColumn("capped", F.col("most") <= F.col("level") * F.col("weight"))
     # Beyond the first source below its cap the running levels only fall.
-    final = F.max(F.when(~F.col("capped"), F.col("level"))).over(everything)
+    final = leveled.where(~F.col("capped")).agg(F.max("level")).first()[0]
     return leveled.select(
         "source", "source_size", "documents",
-        F.when(F.col("capped"), F.col("most")).otherwise(F.col("weight") * final).alias("target"))
+        F.when(F.col("capped"), F.col("most")).otherwise(F.col("weight") * F.lit(final)).alias("target"))
+
+
+def _running(rows: DataFrame, ranges: int, order: list[Column], sums: dict[str, Column], name: str) -> DataFrame:
+    """``rows`` with the sum, as a double, of each of ``sums`` over all rows before it in ``order``, which has no ties."""
+    parted = kept(rows.repartitionByRange(ranges, *order).withColumn("range", F.spark_partition_id()), name)
+    totals = parted.groupBy("range").agg(*(F.sum(c.cast("double")).alias(s) for s, c in sums.items()))
+    listed = totals.agg(F.collect_list(F.struct("range", *sums)).alias("all"))
+    before = listed.select(F.explode(F.transform("all", lambda one: F.struct(
+        one["range"].alias("range"), *(_before(one, s).alias(f"{s}_ranges") for s in sums)))).alias("r")).select("r.*")
+    within = Window.partitionBy("range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    summed = parted.select("*", *(F.coalesce(F.sum(c.cast("double")).over(within), F.lit(0.0)).alias(s) for s, c in sums.items()))
+    # A row per range: at most RANGES of them.
+    return summed.join(F.broadcast(before), "range").select(
+        *rows.columns, *((F.col(s) + F.col(f"{s}_ranges")).alias(s) for s in sums))
+
+
+def _before(one: Column, name: str) -> Column:
+    """The sum of ``name`` over the ranges before ``one``."""
+    return F.aggregate(
+        F.filter("all", lambda other: other["range"] < one["range"]), F.lit(0.0), lambda total, other: total + other[name])
 
 
 def _luck(seed: int, *by: Column) -> Column:

@@ -111,3 +111,18 @@ def test_a_very_long_text_is_one_unit(spark):
     found = {r["doc_id"]: r for r in mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
     assert found[1]["size"] == 200_000 and found[1]["taken"] % 200_000 == 0 and found[1]["taken"] <= 600_000
     assert len(found) == 40
+
+
+@pytest.mark.parametrize("range_rows", [1, 7, 10_000])
+def test_targets_of_many_sources_by_ranges(spark, range_rows):
+    """Running sums over ranges of sources give the targets of sharing the excess out, in any number of ranges."""
+    rng = random.Random(range_rows)
+    names = [None, "", "é", "Z", "z"] + [f"s{rng.randint(0, 9999):04d}" for _ in range(60)]
+    sizes = {n: rng.choice([0, 1, 7, 7, 50, 400, 5000]) for n in names}
+    frame = spark.createDataFrame([(i, n, s) for i, (n, s) in enumerate(sizes.items())], "doc_id long, source string, size long")
+    found = {r["source"]: r for r in mixing.targets(frame, range_rows=range_rows).collect()}
+    expected = water(sizes)
+    assert found.keys() == sizes.keys()
+    assert all(found[s]["target"] == pytest.approx(expected[s], abs=1e-6) for s in sizes)
+    assert all(found[s]["source_size"] == sizes[s] for s in sizes)
+    assert mixing.targets(frame.limit(0), range_rows=range_rows).collect() == []
