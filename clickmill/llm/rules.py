@@ -147,6 +147,32 @@ def _precision(hit: np.ndarray, bad: np.ndarray) -> float:
     return ((hit & bad).sum() + 0.5) / (hit.sum() + 1)
 
 
+def _merged(rule: Rule) -> Rule:
+    """The same rows with one condition, the tightest, for each side of a feature."""
+    sides: dict[tuple[str, bool], Condition] = {}
+    for c in rule:
+        old = sides.get((c.feature, c.above))
+        if old is None or (c.threshold > old.threshold) == c.above:
+            sides[c.feature, c.above] = c
+    return tuple(sides.values())
+
+
+def _pruned(values: dict[str, np.ndarray], rule: Rule, bad: np.ndarray, test: np.ndarray) -> Rule:
+    """Without the conditions, first the one of least use, that do not make the rule better on ``test`` rows.
+
+    Of equally useless ones the last grown goes first.
+    """
+    def worth(some: Rule) -> float:
+        return _precision(_covered(values, some, len(bad)) & test, bad)
+
+    while len(rule) > 1:
+        shorter = max((rule[:i] + rule[i + 1:] for i in reversed(range(len(rule)))), key=worth)
+        if worth(shorter) < worth(rule):
+            break
+        rule = shorter
+    return rule
+
+
 def learn(values: dict[str, np.ndarray], bad: np.ndarray, settings: Settings = Settings()) -> list[Rule]:
     """An ordered list of rules for ``bad`` rows; empty without rows of both kinds."""
     rules: list[Rule] = []
@@ -157,10 +183,7 @@ def learn(values: dict[str, np.ndarray], bad: np.ndarray, settings: Settings = S
     while len(rules) < settings.max_rules and (live & growing & bad).sum() >= settings.min_covered:
         rule = _grow(values, bad, live & growing, settings)
         test = live & ~growing
-        # Prune: drop last conditions while that does not make the rule worse on the other rows.
-        while len(rule) > 1 and _precision(_covered(values, rule[:-1], len(bad)) & test, bad) >= _precision(
-                _covered(values, rule, len(bad)) & test, bad):
-            rule = rule[:-1]
+        rule = _pruned(values, _merged(rule), bad, test)
         hit = _covered(values, rule, len(bad))
         if not rule or _precision(hit & live, bad) < settings.min_precision or _precision(
                 hit & test, bad) < settings.min_precision - 0.1:

@@ -44,6 +44,21 @@ def test_learns_planted_conjunctions():
     assert rules.learn(values, bad) == found
 
 
+def test_conditions_are_merged_and_any_may_be_dropped():
+    values, bad = planted()
+    above = lambda name, cut: rules.Condition(name, True, cut)
+    loose, tight, top = above("repeated_share", 0.2), above("repeated_share", 0.9), rules.Condition("repeated_share", False, 0.99)
+    merged = rules._merged((loose, top, tight, rules.Condition("repeated_share", False, 0.995)))
+    assert merged == (tight, top)
+    useless = above("digit_share", 0.3)
+    everywhere = np.ones(len(bad), bool)
+    for rule in ((useless, tight), (tight, useless), (above("words", 0.1), tight, useless)):
+        assert rules._pruned(values, rule, bad, everywhere) == (tight,)
+    both = above("symbols_per_word", 0.7), above("upper_share", 0.5)
+    assert rules._pruned(values, both, bad, everywhere) == both
+    assert all(len({(c.feature, c.above) for c in rule}) == len(rule) for rule in rules.learn(values, bad))
+
+
 def test_noise_makes_no_rule():
     rng = np.random.default_rng(1)
     values = {name: rng.random(300) for name in rules.FEATURES}
